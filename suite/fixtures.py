@@ -33,7 +33,7 @@ SELECT o_orderkey AS race_id, o_orderdate AS race_date,
        CAST(o_custkey % 12 AS BIGINT) AS category_id,
        CASE o_orderstatus WHEN 'P' THEN NULL ELSE o_orderstatus END AS subtype,
        CAST(o_orderkey % 13 AS BIGINT) AS race_number,
-       CONCAT('ZWC ', CAST(CAST(o_totalprice AS BIGINT) % 97 AS VARCHAR(10)), ',5 PDK ', CAST(o_custkey % 31 AS VARCHAR(10)), ',10') AS payments
+       CONCAT('ZWC ', CAST(CAST(FLOOR(o_totalprice) AS BIGINT) % 97 AS VARCHAR(10)), ',5 PDK ', CAST(o_custkey % 31 AS VARCHAR(10)), ',10') AS payments
 FROM orders
 """
 
