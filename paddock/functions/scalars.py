@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,6 +38,15 @@ def ratio(top: Column, bottom: Column) -> Column:
     return F.try_divide(top.cast("double"), bottom.cast("double"))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once per row.
+
+    Inside array functions the optimizer would otherwise put the expression in
+    place of every use and evaluate it per element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def is_win(place: Column = None) -> Column:
     return (F.col("finish_place") if place is None else place) == 1
 
@@ -93,14 +105,30 @@ def payout(text: Column, code: str) -> Column:
     return F.replace(found, F.lit(","), F.lit(".")).try_cast("double")
 
 
+@functools.cache
+def accent_table() -> tuple[str, str]:
+    """(from, to) for ``translate``: every letter that decomposes into a base and
+    combining marks, then the marks themselves, which have no counterpart and
+    are deleted."""
+    marks = "".join(map(chr, range(0x300, 0x370)))
+    marked, plain = [], []
+    for code in range(0xC0, 0xD800):
+        base, *rest = unicodedata.normalize("NFD", chr(code))
+        if rest and all(c in marks for c in rest):
+            marked.append(chr(code))
+            plain.append(base)
+    return "".join(marked) + marks, "".join(plain)
+
+
 def unaccent(text: Column, lenient: bool = False) -> Column:
-    """Strip Polish diacritics; NULL becomes the empty text.
+    """Strip diacritics; NULL becomes the empty text.
 
-    The stroke letters do not decompose and stay as they are unless ``lenient``.
+    Stroke letters (``ł``) do not decompose and stay as they are unless
+    ``lenient``.
     """
-    marked, plain = V.MARKED_LETTERS, V.PLAIN_LETTERS
+    marked, plain = accent_table()
     if lenient:
-        marked, plain = marked + V.STROKE_LETTERS, plain + V.STROKE_PLAIN
+        marked, plain = V.STROKE_LETTERS + marked, V.STROKE_PLAIN + plain
     return F.translate(F.coalesce(text, F.lit("")), marked, plain)
 
 

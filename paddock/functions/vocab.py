@@ -147,8 +147,5 @@ FX_TO_PLN = {
     "$": 4.0,
 }
 
-# --- fixed values: letters with marks and their plain forms ------------------
-MARKED_LETTERS = "ąćęńóśźżĄĆĘŃÓŚŹŻ"
-PLAIN_LETTERS = "acenoszzACENOSZZ"
-# These have no decomposed form, so only the lenient mode folds them.
+# --- fixed values: letters that have no decomposed form ----------------------
 STROKE_LETTERS, STROKE_PLAIN = "łŁ", "lL"

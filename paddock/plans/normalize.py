@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paddock.functions import scalars as S
 from paddock.operators.ordered import ROWS_PER_TASK, over_recent_rows
-from paddock.schema import RAW_CAREER
+from paddock.schema import RAW_CAREER, STAGED_RACE
 
 
 # ---- career -----------------------------------------------------------------
@@ -32,56 +33,62 @@ def _season_type(kind: Column) -> Column:
     return F.coalesce(S.blank_to_null(kind), F.lit("UNKNOWN"))
 
 
-def with_seasons(df: DataFrame, raw: str, out: str, compat_fx: bool = False) -> DataFrame:
-    """Fold each document's raw career array into seasons, inside its row.
+def normalize_career(raw: Column, compat_fx: bool = False) -> Column:
+    """Fold one document's raw career array into seasons, inside its row.
 
     A row with a year opens the season (year, type); the first row of a season
     gives its facts and later ones add nothing. A row without a year adds its
-    prize to the season opened last; prizes before any season are lost. The
-    steps are separate columns so that none is evaluated again per element.
+    prize to the season opened last; prizes before any season are lost.
     """
     empty = F.array()
-    rows = F.coalesce(F.col(raw), empty.cast(RAW_CAREER))
-    places = F.when(F.size("_raw") > 0, F.sequence(F.lit(0), F.size("_raw") - 1))
-    opens = F.filter(
-        F.coalesce(places, empty.cast("array<int>")),
-        lambda i: F.get("_raw", i)["raceYear"].isNotNull(),
-    )
 
-    def span(start: Column, nth: Column) -> Column:
-        head = F.get("_raw", start)
-        end = F.coalesce(F.get("_opens", nth + 1), F.size("_raw"))
-        prizes = F.slice("_raw", start + 2, end - start - 1)
+    def opening_places(rows: Column) -> Column:
+        places = F.when(F.size(rows) > 0, F.sequence(F.lit(0), F.size(rows) - 1))
+        return F.filter(
+            F.coalesce(places, empty.cast("array<int>")),
+            lambda i: F.get(rows, i)["raceYear"].isNotNull(),
+        )
+
+    def span(rows: Column, opens: Column, start: Column, nth: Column) -> Column:
+        end = F.coalesce(F.get(opens, nth + 1), F.size(rows))
+        prizes = F.slice(rows, start + 2, end - start - 1)
         won = F.aggregate(
             prizes, F.lit(0.0), lambda acc, r: acc + S.prize_in_pln(r["prize"], compat_fx)
         )
+        year = F.get(rows, start)["raceYear"].alias("year")
+        kind = _season_type(F.get(rows, start)["raceType"]).alias("kind")
         return F.struct(
-            F.struct(
-                head["raceYear"].alias("year"), _season_type(head["raceType"]).alias("kind")
-            ).alias("season"),
-            F.struct(*_career_facts(lambda f: head[f])).alias("facts"),
+            F.struct(year, kind).alias("season"),
+            F.struct(*_career_facts(lambda f: F.get(rows, start)[f])).alias("facts"),
             won.alias("won"),
         )
 
-    def entry(season: Column) -> Column:
-        own = F.filter("_spans", lambda s: s["season"] == season)
-        facts = F.get(own, F.lit(0))["facts"]
-        total = F.aggregate(own, F.lit(0.0), lambda acc, s: acc + s["won"])
-        return F.struct(
-            season["year"].alias("race_year"),
-            *[facts[c].alias(c) for c in CAREER_FACTS],
-            total.alias("prize_amounts"),
-            F.lit("PLN").alias("prize_currencies"),
+    def entry(spans: Column, season: Column) -> Column:
+        def fold(own: Column) -> Column:
+            total = F.aggregate(own, F.lit(0.0), lambda acc, s: acc + s["won"])
+            facts = F.get(own, F.lit(0))["facts"]
+            return F.struct(
+                season["year"].alias("race_year"),
+                *[facts[c].alias(c) for c in CAREER_FACTS],
+                total.alias("prize_amounts"),
+                F.lit("PLN").alias("prize_currencies"),
+            )
+
+        return S.let(F.filter(spans, lambda s: s["season"] == season), fold)
+
+    def seasons(spans: Column) -> Column:
+        names = F.array_distinct(F.transform(spans, lambda s: s["season"]))
+        return F.transform(names, lambda season: entry(spans, season))
+
+    def folded(rows: Column) -> Column:
+        return S.let(
+            opening_places(rows),
+            lambda opens: S.let(
+                F.transform(opens, lambda start, nth: span(rows, opens, start, nth)), seasons
+            ),
         )
 
-    return (
-        df.withColumn("_raw", rows)
-        .withColumn("_opens", opens)
-        .withColumn("_spans", F.transform("_opens", span))
-        .withColumn("_seasons", F.array_distinct(F.transform("_spans", lambda s: s["season"])))
-        .withColumn(out, F.transform("_seasons", entry))
-        .drop("_raw", "_opens", "_spans", "_seasons")
-    )
+    return S.let(F.coalesce(raw, empty.cast(RAW_CAREER)), folded)
 
 
 def normalize_career_rows(
@@ -167,7 +174,8 @@ def race_entry(r: Column) -> Column:
 
 
 def normalize_races(raw: Column) -> Column:
-    return F.coalesce(F.transform(raw, race_entry), F.transform(F.slice(raw, 1, 0), race_entry))
+    """Flatten every raw race entry of a document; no array gives an empty one."""
+    return F.coalesce(F.transform(raw, race_entry), F.array().cast(T.ArrayType(STAGED_RACE)))
 
 
 # ---- entities ---------------------------------------------------------------
@@ -179,7 +187,7 @@ def normalize_horse(raw: DataFrame, compat_fx: bool = False) -> DataFrame:
     h = F.col("horse")
     text, number = S.blank_to_null, S.zero_to_null
     no = F.lit(False)
-    return with_seasons(raw, "career", "_career", compat_fx).select(
+    return raw.select(
         "horse_id",
         text(h["name"]).alias("horse_name"),
         text(h["suffix"]).alias("horse_country"),
@@ -195,7 +203,7 @@ def normalize_horse(raw: DataFrame, compat_fx: bool = False) -> DataFrame:
         F.coalesce(h["horseFromPolishBreeding"], no).alias("polish_breeding"),
         F.coalesce(h["horseRanInForeignTraining"], no).alias("foreign_training"),
         text(F.get(h["raceOwners"], F.lit(0))["name"]).alias("owner_name"),
-        F.col("_career").alias("career"),
+        normalize_career(F.col("career"), compat_fx).alias("career"),
         normalize_races(F.col("races")).alias("races"),
     )
 

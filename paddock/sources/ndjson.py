@@ -44,14 +44,10 @@ def load_with_bad_budget(
     Counting stops at the budget: it never needs more than max_bad + 1 rows.
     """
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (
-        spark.read.schema(marked)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
-    # A filter on the corrupt column alone would be answered from an empty read.
-    bad = rows.where(F.col(CORRUPT).isNotNull()).select(schema.fields[0].name, CORRUPT)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    rows = lines.select(F.from_json("value", marked, options).alias("r")).select("r.*")
+    bad = rows.where(F.col(CORRUPT).isNotNull())
     seen = bad.limit(max_bad + 1).count()
     if seen > max_bad:
         raise BadRecordBudgetExceeded(f"more than {max_bad} malformed records in {path}")
