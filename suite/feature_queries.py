@@ -10,8 +10,9 @@ from paddock.operators.rates import band_families, rates_by, share, starts_and_w
 from paddock.plans import assembly, horses, people, races
 from paddock.plans.starts import after, asof_starts, one_year_before, up_to
 from suite.fixtures import AS_OF, racing, text_of, view
-from suite.registry import query, r6, sql_list
+from suite.registry import dbl, query, rnd, sql_list
 
+MEANS = "breeder_avg_win_pct breeder_avg_earnings"
 D = f"DATE '{AS_OF}'"
 RR = "race_records races"
 STARTS = f"""starts AS (
@@ -269,7 +270,7 @@ def _(spark, sf):
 @query(
     "win_counts",
     f"""WITH {STARTS} SELECT jockey_id, COUNT(*) AS starts, COUNT(*) FILTER (WHERE finish_place = 1) AS wins,
-        {r6("1.0 * COUNT(*) FILTER (WHERE finish_place = 1) / COUNT(*)", "win_pct")}
+        {dbl("1.0 * COUNT(*) FILTER (WHERE finish_place = 1) / COUNT(*)", "win_pct")}
         FROM starts WHERE jockey_id IS NOT NULL GROUP BY jockey_id""",
     RR,
 )
@@ -281,7 +282,7 @@ def _(spark, sf):
     "career_totals",
     """SELECT horse_id, COUNT(*) AS rows_all, COUNT(TRY_CAST(prize_amounts AS DOUBLE)) AS rows_priced,
               CAST(SUM(race_count) AS BIGINT) AS starts, MIN(race_year) AS first_year, MAX(race_year) AS last_year,
-              ROUND(AVG(race_won_count), 6) AS avg_won
+              AVG(race_won_count) AS avg_won
        FROM horse_careers GROUP BY horse_id""",
     "horse_careers",
 )
@@ -304,7 +305,7 @@ def person_sql(person: str, bands: dict) -> str:
     def rate(condition: str, name: str, default: bool = True) -> str:
         top = f"COUNT(*) FILTER (WHERE {win} AND {condition})"
         expr = f"1.0 * {top} / NULLIF(COUNT(*) FILTER (WHERE {condition}), 0)"
-        return r6(f"COALESCE({expr}, 0)" if default else expr, name)
+        return dbl(f"COALESCE({expr}, 0)" if default else expr, name)
 
     parts = [
         f"{person}_id",
@@ -347,7 +348,7 @@ def _(spark, sf):
 
 def _family_rates(prefix: str, families: dict[str, str]) -> str:
     return ", ".join(
-        r6(
+        dbl(
             f"COALESCE(1.0 * COUNT(*) FILTER (WHERE finish_place = 1 AND {c}) / NULLIF(COUNT(*) FILTER (WHERE {c}), 0), 0)",
             f"{prefix}_{n}",
         )
@@ -380,7 +381,7 @@ def _(spark, sf):
     f"""WITH {STARTS} SELECT horse_id,
         COUNT(*) FILTER (WHERE day >= {D} - 30) AS starts_30d, COUNT(*) FILTER (WHERE day >= {D} - 60) AS starts_60d,
         COUNT(*) FILTER (WHERE day > CAST({D} - INTERVAL 1 YEAR AS DATE)) AS starts_1yr,
-        {r6(f"1.0 * COUNT(*) FILTER (WHERE finish_place = 1 AND day >= {D} - 30) / NULLIF(COUNT(*) FILTER (WHERE day >= {D} - 30), 0)", "win_pct_30d")}
+        {dbl(f"1.0 * COUNT(*) FILTER (WHERE finish_place = 1 AND day >= {D} - 30) / NULLIF(COUNT(*) FILTER (WHERE day >= {D} - 30), 0)", "win_pct_30d")}
         FROM starts GROUP BY horse_id""",
     RR,
 )
@@ -415,9 +416,9 @@ def _(spark, sf):
 
 HORSES_CAREER = f"""SELECT horse_id, CAST(SUM(race_count) AS BIGINT) AS career_starts,
     CAST(SUM(race_won_count) AS BIGINT) AS career_wins,
-    {r6("1.0 * SUM(race_won_count) / NULLIF(SUM(race_count), 0)", "career_win_pct")},
-    {r6("SUM(TRY_CAST(prize_amounts AS DOUBLE))", "total_earnings")},
-    {r6("SUM(TRY_CAST(prize_amounts AS DOUBLE)) / NULLIF(SUM(race_count), 0)", "earnings_per_start")}
+    {dbl("1.0 * SUM(race_won_count) / NULLIF(SUM(race_count), 0)", "career_win_pct")},
+    {dbl("SUM(TRY_CAST(prize_amounts AS DOUBLE))", "total_earnings")},
+    {dbl("SUM(TRY_CAST(prize_amounts AS DOUBLE)) / NULLIF(SUM(race_count), 0)", "earnings_per_start")}
     FROM horse_careers WHERE race_year <= EXTRACT(YEAR FROM {D}) GROUP BY horse_id"""
 
 
@@ -430,11 +431,11 @@ Y = f"EXTRACT(YEAR FROM {D})"
 HORSES_RECENT = f"""
     SELECT h.horse_id, CAST(COALESCE(l.n, 0) AS BIGINT) AS rolling_race_count_last_3yrs,
         CAST(COALESCE(l.w, 0) AS BIGINT) AS rolling_win_count_last_3yrs,
-        {r6("COALESCE(1.0 * l.w / NULLIF(l.n, 0), 0)", "rolling_win_pct_last_3yrs")},
+        {dbl("COALESCE(1.0 * l.w / NULLIF(l.n, 0), 0)", "rolling_win_pct_last_3yrs")},
         CAST(COALESCE(c.n, 0) AS BIGINT) AS race_count_current_year,
         CAST(COALESCE(c.w, 0) AS BIGINT) AS win_count_current_year,
-        {r6("COALESCE(1.0 * c.w / NULLIF(c.n, 0), 0)", "win_pct_current_year")},
-        {r6("COALESCE(1.0 * c.w / NULLIF(c.n, 0), 0) - COALESCE(1.0 * l.w / NULLIF(l.n, 0), 0)", "current_vs_last3yrs_win_pct")},
+        {dbl("COALESCE(1.0 * c.w / NULLIF(c.n, 0), 0)", "win_pct_current_year")},
+        {dbl("COALESCE(1.0 * c.w / NULLIF(c.n, 0), 0) - COALESCE(1.0 * l.w / NULLIF(l.n, 0), 0)", "current_vs_last3yrs_win_pct")},
         date_diff('day', f.last_day, {D}) AS days_since_last_race
     FROM horses h
     LEFT JOIN (SELECT horse_id, SUM(n) AS n, SUM(w) AS w FROM annual
@@ -453,7 +454,7 @@ def _(spark, sf):
 @query(
     "rolling_3yr",
     f"""WITH {ANNUAL} SELECT horse_id, CAST(SUM(n) AS BIGINT) AS races, CAST(SUM(w) AS BIGINT) AS wins,
-        {r6("1.0 * SUM(w) / NULLIF(SUM(n), 0)", "win_pct")}
+        {dbl("1.0 * SUM(w) / NULLIF(SUM(n), 0)", "win_pct")}
         FROM annual WHERE race_year BETWEEN {Y} - 2 AND {Y} GROUP BY horse_id""",
     "horse_careers",
 )
@@ -496,7 +497,7 @@ def role_sql() -> tuple[str, str]:
         columns += [
             f"COALESCE({role}.n, 0) AS {role}_starts",
             f"COALESCE({role}.w, 0) AS {role}_wins",
-            r6(f"COALESCE(1.0 * {role}.w / {role}.n, 0)", f"{role}_win_pct"),
+            dbl(f"COALESCE(1.0 * {role}.w / {role}.n, 0)", f"{role}_win_pct"),
         ]
     return joins, ", ".join(columns)
 
@@ -538,7 +539,7 @@ def _(spark, sf):
 @query(
     "sire_progeny",
     f"""SELECT h.father_id, COUNT(*) AS race_count, COUNT(*) FILTER (WHERE r.finish_place = 1) AS win_count,
-        {r6("1.0 * COUNT(*) FILTER (WHERE r.finish_place = 1) / COUNT(*)", "win_pct")}
+        {dbl("1.0 * COUNT(*) FILTER (WHERE r.finish_place = 1) / COUNT(*)", "win_pct")}
         FROM race_records r JOIN horses h ON h.horse_id = r.horse_id
         WHERE h.father_id IS NOT NULL GROUP BY h.father_id""",
     "race_records horses",
@@ -563,12 +564,12 @@ def _(spark, sf):
 BREEDERS_SQL = f"""
     SELECT a.*, COALESCE(y.n, 0) AS breeder_progeny_race_count_last_1yr,
         COALESCE(y.w, 0) AS breeder_progeny_win_count_last_1yr,
-        {r6("COALESCE(1.0 * y.w / y.n, 0)", "breeder_win_pct_progeny_last_1yr")}
+        {dbl("COALESCE(1.0 * y.w / y.n, 0)", "breeder_win_pct_progeny_last_1yr")}
     FROM (SELECT h.breeder_id, COUNT(*) AS breeder_progeny_count,
               CAST(SUM(c.career_starts) AS BIGINT) AS breeder_total_progeny_race_count,
               CAST(SUM(c.career_wins) AS BIGINT) AS breeder_total_progeny_win_count,
-              {r6("AVG(c.career_wins / NULLIF(CAST(c.career_starts AS DOUBLE), 0))", "breeder_avg_win_pct")},
-              {r6("AVG(c.total_earnings)", "breeder_avg_earnings")}
+              {rnd("AVG(c.career_wins / NULLIF(CAST(c.career_starts AS DOUBLE), 0))", "breeder_avg_win_pct")},
+              {rnd("AVG(c.total_earnings)", "breeder_avg_earnings")}
           FROM horses h JOIN hc c ON c.horse_id = h.horse_id WHERE h.breeder_id IS NOT NULL
           GROUP BY h.breeder_id) a
     LEFT JOIN (SELECT h.breeder_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE s.finish_place = 1) AS w
@@ -577,7 +578,7 @@ BREEDERS_SQL = f"""
           GROUP BY h.breeder_id) y ON y.breeder_id = a.breeder_id"""
 
 
-@query("breeders", f"WITH {STARTS}, hc AS ({HORSES_CAREER}) {BREEDERS_SQL}", f"{RR} horses horse_careers")
+@query("breeders", f"WITH {STARTS}, hc AS ({HORSES_CAREER}) {BREEDERS_SQL}", f"{RR} horses horse_careers", MEANS)
 def _(spark, sf):
     return people.breeders(racing(spark, sf), AS_OF)
 
@@ -586,7 +587,7 @@ def _(spark, sf):
     "breeder_progeny",
     f"""WITH hc AS ({HORSES_CAREER})
         SELECT h.breeder_id, COUNT(h.horse_id) AS progeny, CAST(SUM(c.career_starts) AS BIGINT) AS starts,
-               {r6("AVG(c.total_earnings)", "avg_earnings")}
+               {dbl("AVG(c.total_earnings)", "avg_earnings")}
         FROM horses h JOIN hc c ON c.horse_id = h.horse_id WHERE h.breeder_id IS NOT NULL GROUP BY h.breeder_id""",
     "horses horse_careers",
 )
@@ -707,7 +708,7 @@ FEATURE_CTES = f"""{HORSE_CTES}, hf AS ({HORSE_FEATURES}), js AS ({JOCKEY_SQL}),
     bs AS ({BREEDERS_SQL}), st AS ({STATIC}), cx AS ({CONTEXT})"""
 
 
-@query("race_features", f"WITH {FEATURE_CTES} {RACE_FEATURES}", f"{RR} horses horse_careers")
+@query("race_features", f"WITH {FEATURE_CTES} {RACE_FEATURES}", f"{RR} horses horse_careers", MEANS)
 def _(spark, sf):
     return assembly.race_features(racing(spark, sf), AS_OF)
 
@@ -740,6 +741,7 @@ def upcoming(tables):
         LEFT JOIN ts t ON t.trainer_id = u.trainer_id
         LEFT JOIN horses m ON m.horse_id = h.horse_id LEFT JOIN bs b ON b.breeder_id = m.breeder_id""",
     f"{RR} horses horse_careers",
+    MEANS,
 )
 def _(spark, sf):
     t = racing(spark, sf)

@@ -13,7 +13,7 @@ from paddock.operators.rates import latest_per_key
 from paddock.plans import first_version as v1
 from suite.feature_queries import RR, SURFACE_SQL, TEMP_SQL, bucket_sql, prize_sql, weather_sql
 from suite.fixtures import racing, text_of
-from suite.registry import query, r6, sql_list
+from suite.registry import dbl, query, rnd, sql_list
 
 BASE = f"{RR} horses horse_careers"
 KEY = "race_record_id, race_id, horse_id"
@@ -33,7 +33,7 @@ ORDERED = "PARTITION BY horse_id ORDER BY race_date, race_id, race_record_id"
 
 def mean_sql(condition: str, n: int, name: str) -> str:
     hit = f"CASE WHEN {condition} THEN 1.0 ELSE 0.0 END"
-    return r6(f"AVG({hit}) OVER ({ORDERED} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)", name)
+    return dbl(f"AVG({hit}) OVER ({ORDERED} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)", name)
 
 
 GAP = f"date_diff('day', LAG(day) OVER ({ORDERED}), day)"
@@ -55,7 +55,7 @@ def starters(spark, sf):
 
 @query(
     "career_year_join",
-    f"WITH {STARTERS} SELECT {KEY}, horse_race_count, {r6('horse_win_pct', 'horse_win_pct')} FROM base",
+    f"WITH {STARTERS} SELECT {KEY}, horse_race_count, {dbl('horse_win_pct', 'horse_win_pct')} FROM base",
     BASE,
 )
 def _(spark, sf):
@@ -132,7 +132,8 @@ COUNTS = [c for c in RATES if c.endswith("_count")]
 
 
 def rates_sql(names: list[str]) -> str:
-    return ", ".join(f"{RATES[c]} AS {c}" if c in COUNTS else r6(RATES[c], c) for c in names)
+    form = lambda c: rnd if c == "career_prize_sum" else dbl
+    return ", ".join(f"{RATES[c]} AS {c}" if c in COUNTS else form(c)(RATES[c], c) for c in names)
 
 
 def rate_query(name: str, columns: list[str]):
@@ -161,7 +162,7 @@ OWN = {
     **{n: f"CAST(COALESCE(weather IN {sql_list(w)}, FALSE) AS BIGINT)" for n, w in V.WEATHER_FLAGS.items()},
     "track_surface_cat": SURFACE_SQL,
     **{c: f"r.{c}" for c in "category_id race_group subtype horse_race_count prize_amount".split()},
-    "horse_win_pct": "ROUND(r.horse_win_pct, 6)",
+    "horse_win_pct": "r.horse_win_pct",
     "jockey_weight_kg": "CASE WHEN r.jockey_weight_kg <= 100 THEN r.jockey_weight_kg END",
     **{c: f"f.{c}" for c in v1.FORM if c != "rest_bucket"},
     "rest_bucket": rest_sql("f.rest_days"),
@@ -178,16 +179,16 @@ def v1_sql(columns: list[str]) -> str:
         LEFT JOIN horses h ON h.horse_id = r.horse_id)"""
 
 
-@query("race_features_v1", f"{v1_sql([*OWN, *RATES])} SELECT * FROM v", BASE)
+@query("race_features_v1", f"{v1_sql([*OWN, *RATES])} SELECT * FROM v", BASE, "career_prize_sum")
 def _(spark, sf):
     return v1.race_features_v1(racing(spark, sf))
 
 
 # ---- validation checks ------------------------------------------------------
-def check(name: str, sql: str, run):
+def check(name: str, sql: str, run, rounds: str = ""):
     columns = [c for c in [*OWN, *RATES] if re.search(rf"\b{c}\b", sql)]
 
-    @query(name, f"{v1_sql(columns)} {sql}", BASE)
+    @query(name, f"{v1_sql(columns)} {sql}", BASE, rounds)
     def _(spark, sf):
         return run(racing(spark, sf))
 
@@ -230,9 +231,10 @@ check(
 )
 check(
     "validate_form",
-    f"""SELECT {r6("AVG(win_rate_last_2)", "avg_win2_for_7starters")}, {r6("AVG(win_rate_last_7)", "avg_win7")}
+    f"""SELECT {rnd("AVG(win_rate_last_2)", "avg_win2_for_7starters")}, {rnd("AVG(win_rate_last_7)", "avg_win7")}
         FROM v WHERE win_rate_last_7 IS NOT NULL""",
     quality.form_means,
+    "avg_win2_for_7starters avg_win7",
 )
 check(
     "validate_entity_counts",
@@ -243,12 +245,14 @@ check(
 )
 check(
     "validate_entity_rates",
-    "SELECT " + ", ".join(r6(f"AVG({p}_win_pct)", f"avg_{p[0]}w") for p in PEOPLE) + " FROM v",
+    "SELECT " + ", ".join(rnd(f"AVG({p}_win_pct)", f"avg_{p[0]}w") for p in PEOPLE) + " FROM v",
     quality.entity_rate_means,
+    "avg_jw avg_tw avg_bw",
 )
 check(
     "validate_specialty",
-    f"""SELECT {r6("AVG(win_pct_1600)", "avg_w1600")}, {r6("AVG(win_pct_2000)", "avg_w2000")},
-        {r6("AVG(win_pct_delta_rain)", "avg_rain_delta")}, {r6("AVG(avg_place_delta_temp)", "avg_temp_delta")} FROM v""",
+    f"""SELECT {rnd("AVG(win_pct_1600)", "avg_w1600")}, {rnd("AVG(win_pct_2000)", "avg_w2000")},
+        {rnd("AVG(win_pct_delta_rain)", "avg_rain_delta")}, {rnd("AVG(avg_place_delta_temp)", "avg_temp_delta")} FROM v""",
     quality.specialty_means,
+    "avg_w1600 avg_w2000 avg_rain_delta avg_temp_delta",
 )

@@ -17,7 +17,7 @@ from paddock.session import scratch_path
 from paddock.sources import files, ndjson, tables
 from suite.feature_queries import CONTEXT, RACES_BASE
 from suite.fixtures import given, over, racing, view
-from suite.registry import query, r6
+from suite.registry import dbl, query, rnd
 
 # ---- NDJSON -----------------------------------------------------------------
 EVENT_LINES = """
@@ -177,11 +177,12 @@ FROM orders GROUP BY o_orderpriority
 @query(
     "append_history",
     f"""WITH h AS ({HISTORY})
-        SELECT model_name, epoch_us(eval_timestamp) AS at_us, {r6("mean_absolute_error", "mean_absolute_error")},
+        SELECT model_name, epoch_us(eval_timestamp) AS at_us, {rnd("mean_absolute_error", "mean_absolute_error")},
                CAST(NULL AS DOUBLE) AS mean_squared_error, r2_score FROM h
         UNION ALL
-        SELECT CONCAT(model_name, ' again'), epoch_us(eval_timestamp), {r6("mean_absolute_error", "m")},
+        SELECT CONCAT(model_name, ' again'), epoch_us(eval_timestamp), {rnd("mean_absolute_error", "m")},
                CAST(NULL AS DOUBLE), r2_score FROM h""",
+    rounds="mean_absolute_error",
 )
 def _(spark, sf):
     path, shape = scratch_path(spark, "history"), schema.MODEL_EVAL_HISTORY
@@ -454,7 +455,7 @@ PLN_SQL = f"""CASE WHEN prize IS NULL OR prize = '' THEN 0
 
 @query(
     "parse_prize",
-    f"""WITH c AS ({CAREER_ROWS}) SELECT pos, {r6(AMOUNT_SQL, 'amount')}, {CURRENCY_SQL} AS currency
+    f"""WITH c AS ({CAREER_ROWS}) SELECT pos, {dbl(AMOUNT_SQL, 'amount')}, {CURRENCY_SQL} AS currency
         FROM c WHERE prize <> ''""",
 )
 def _(spark, sf):
@@ -464,7 +465,7 @@ def _(spark, sf):
     )
 
 
-@query("fx_to_pln", f"WITH c AS ({CAREER_ROWS}) SELECT pos, {r6(PLN_SQL, 'pln')} FROM c")
+@query("fx_to_pln", f"WITH c AS ({CAREER_ROWS}) SELECT pos, {dbl(PLN_SQL, 'pln')} FROM c")
 def _(spark, sf):
     return over(spark, sf, CAREER_ROWS).select("pos", S.prize_in_pln(F.col("prize")).alias("pln"))
 
@@ -482,8 +483,9 @@ def _(spark, sf):
             FROM keyed GROUP BY horse_id, y, kind)
         SELECT f.horse_id, f.y AS race_year, NULLIF(f.raceType, '') AS race_type, NULLIF(f.horseAge, 0) AS horse_age,
             COALESCE(f.raceCount, 0) AS race_count, f.raceWonCount AS race_won_count,
-            f.racePrizeCount AS race_prize_count, {r6("w.pln", "prize_amounts")}, 'PLN' AS prize_currencies
+            f.racePrizeCount AS race_prize_count, {rnd("w.pln", "prize_amounts")}, 'PLN' AS prize_currencies
         FROM firsts f JOIN won w ON w.horse_id = f.horse_id AND w.y = f.y AND w.kind = f.kind""",
+    rounds="prize_amounts",
 )
 def _(spark, sf):
     return normalize.normalize_career_rows(over(spark, sf, CAREER_ROWS), ["horse_id"], ["ts", "pos"])
@@ -579,7 +581,7 @@ def raw_horses(spark, sf):
             NULLIF(p_partkey % 25, 0) AS breeder_id, p_brand AS owner_name, p_size > 25 AS polish_breeding,
             FALSE AS foreign_training, p_retailprice AS price FROM part)
         SELECT * EXCLUDE (price), CAST(0 AS BIGINT) AS n_races, 1975 + birth_year AS race_year, 'Sulki' AS race_type,
-               birth_year AS race_count, {r6("price * 4.25 + 100.5", "prize_amounts")} FROM h
+               birth_year AS race_count, {dbl("price * 4.25 + 100.5", "prize_amounts")} FROM h
         UNION ALL
         SELECT * EXCLUDE (price), CAST(0 AS BIGINT), 1976 + birth_year, NULL, birth_year, 0 FROM h""",
 )
@@ -658,7 +660,7 @@ FROM orders JOIN customer ON c_custkey = o_custkey
     "name_match",
     f"""WITH e AS ({CARDS})
         SELECT e.starting_pos AS starting_position, e.horse_name, e.jockey_last_name, e.trainer_last_name,
-               h.c_custkey AS horse_id, t.trainer_id, j.jockey_id, ROUND(e.jockey_weight, 6) AS jockey_weight
+               h.c_custkey AS horse_id, t.trainer_id, j.jockey_id, e.jockey_weight
         FROM e LEFT JOIN customer h ON LOWER(TRIM(h.c_name)) = LOWER(TRIM(e.horse_name))
         LEFT JOIN jockeys j ON LOWER(TRIM(j.last_name)) = LOWER(TRIM(e.jockey_last_name))
         LEFT JOIN trainers t ON LOWER(TRIM(t.last_name)) = LOWER(TRIM(e.trainer_last_name))""",
