@@ -131,15 +131,21 @@ def percentile_per_key(
     value: str,
     q: float,
     name: str,
+    totals: dict[str, Column] = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Exact, interpolated percentile of the non-NULL values of every key."""
-    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    light, heavy, chunks = split_hot(rows, keys, rows_per_task)
-    out = light.groupBy(*keys).agg(F.percentile(value, F.lit(q)).alias(name))
+    """Exact, interpolated percentile of the non-NULL values of every key.
+
+    ``totals`` are further aggregates over all rows of the key. Ordinary keys
+    get everything from one grouped pass.
+    """
+    sums = [c.alias(n) for n, c in (totals or {}).items()]
+    light, heavy, chunks = split_hot(df, keys, rows_per_task)
+    out = light.groupBy(*keys).agg(F.percentile(value, F.lit(q)).alias(name), *sums)
     if heavy is None:
         return out
-    parts = chunked(heavy, keys, [value], chunks)
+    known = heavy.where(F.col(value).isNotNull()).select(*keys, value)
+    parts = chunked(known, keys, [value], chunks)
     # Equal values may fill one chunk, so ranks are taken over distinct values.
     counted = parts.groupBy(*keys, CHUNK, value).agg(F.count(F.lit(1)).alias("_n"))
     per_chunk = parts.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
@@ -170,7 +176,9 @@ def percentile_per_key(
     found = ranked.groupBy(*keys).agg(
         at_rank("_lo").alias("_a"), at_rank("_hi").alias("_b"), F.max("_part").alias("_part")
     )
+    between = (1 - F.col("_part")) * F.col("_a") + F.col("_part") * F.col("_b")
     picked = found.select(
-        *keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias(name)
+        *keys, F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(between).alias(name)
     )
-    return out.unionByName(picked.select(*out.columns))
+    whole_key = heavy.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *sums).drop("_rows")
+    return out.unionByName(join_same(whole_key, picked, keys, "left").select(*out.columns))

@@ -10,12 +10,10 @@ from paddock.functions import vocab as V
 from paddock.operators.ordered import ROWS_PER_TASK
 from paddock.plans.horses import horse_features
 from paddock.plans.people import breeders, jockeys, trainers
-from paddock.plans.races import race_context, races_base
+from paddock.plans.races import STATIC_SOURCES, race_context, static_columns
 from paddock.plans.starts import asof_starts
 from paddock.schema import RacingTables
 
-HORSE_COLUMNS = ["horse_age_years", *V.SEXES.values(), *V.BREEDS.values()]
-
 
 def _filled_recent(person: str):
     """Recent win rates with 0 for people without recent starts."""
@@ -31,20 +29,20 @@ def race_features(
 ) -> DataFrame:
     """One row per starter that ran from a known gate to a known place.
 
-    Entity features use the one cut-off ``as_of`` for all races. Horse, breeder
-    and race features are joined among themselves first, so the starters are
-    shuffled once per key: horse, race, jockey, trainer (the last two turn into
-    broadcasts when their measured size allows it).
+    Entity features use the one cut-off ``as_of`` for all races. Horse and
+    breeder features meet at horse grain first, so the starters are shuffled
+    once per key: horse, race, jockey, trainer (the last two turn into
+    broadcasts when their measured size allows it). Flags are derived after the
+    joins from the few columns behind them, which keeps shuffled rows narrow.
     """
     starts = asof_starts(tables, as_of) if starts is None else starts
-    horse = horse_features(tables, as_of, starts, keep=["breeder_id"]).select(
-        "horse_id",
-        "breeder_id",
-        F.col("age_years").alias("horse_age_years"),
-        *HORSE_COLUMNS[1:],
+    coded = ["horse_sex", "breed"]
+    horse = horse_features(tables, as_of, starts, keep=["breeder_id", *coded]).select(
+        "horse_id", "breeder_id", *coded, F.col("age_years").alias("horse_age_years")
     )
-    horse = horse.join(breeders(tables, as_of, starts), "breeder_id", "left").drop("breeder_id")
-    static = races_base(tables).withColumnsRenamed({c: f"race_{c}" for c in V.BREEDS.values()})
+    bred = breeders(tables, as_of, starts)
+    horse = horse.join(bred, "breeder_id", "left").drop("breeder_id")
+    static = tables.races.select("race_id", *STATIC_SOURCES)
     race = race_context(tables, rows_per_task).join(static, "race_id", "left")
     ran = tables.race_records.where(
         F.col("start_order").isNotNull() & F.col("finish_place").isNotNull()
@@ -52,33 +50,37 @@ def race_features(
         "race_id", "horse_id", "jockey_id", "trainer_id", "start_order", "jockey_weight_kg",
         "finish_place",
     )
-    place = F.col("finish_place")
     rider = jockeys(tables, as_of, starts)
     coach = trainers(tables, as_of, starts)
     wide = (
-        ran.join(race, "race_id", "left")
-        .join(horse, "horse_id")
+        ran.join(horse, "horse_id")
+        .join(race, "race_id", "left")
         .join(rider, "jockey_id", "left")
         .join(coach, "trainer_id", "left")
-        .withColumns({**_filled_recent("jockey"), **_filled_recent("trainer")})
     )
-    names = lambda df, *skip: [c for c in df.columns if c not in skip]
+    filled = {**_filled_recent("jockey"), **_filled_recent("trainer")}
+
+    def features(df: DataFrame, key: str) -> list:
+        return [filled.get(c, F.col(c)).alias(c) for c in df.columns if c != key]
+
     return wide.select(
         "race_id",
         "horse_id",
         "jockey_id",
         "trainer_id",
-        *HORSE_COLUMNS,
-        *names(static, "race_id"),
+        "horse_age_years",
+        *S.one_hot(F.col("horse_sex"), V.SEXES),
+        *S.one_hot(F.col("breed"), V.BREEDS),
+        *static_columns(breed_prefix="race_"),
         "field_size",
         "start_order",
         "jockey_weight_kg",
         (F.col("jockey_weight_kg") - F.col("median_jockey_weight_kg")).alias("weight_diff"),
         "finish_place",
-        *S.outcome_flags(place),
-        *names(rider, "jockey_id"),
-        *names(coach, "trainer_id"),
-        *[c for c in horse.columns if c.startswith("breeder_")],
+        *S.outcome_flags(F.col("finish_place")),
+        *features(rider, "jockey_id"),
+        *features(coach, "trainer_id"),
+        *features(bred, "breeder_id"),
     )
 
 

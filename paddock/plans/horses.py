@@ -17,6 +17,9 @@ def age_columns(birth_year: Column, as_of) -> list[Column]:
     return [age.alias("age_years"), ((age < 0) | (age > 20)).alias("is_age_outlier")]
 
 
+CODED = ["horse_sex", "breed", "color_name_pl"]
+
+
 def onehot_columns() -> list[Column]:
     return [
         *S.one_hot(F.col("horse_sex"), V.SEXES),
@@ -191,22 +194,13 @@ def horse_features(
     """
     starts = asof_starts(tables, as_of) if starts is None else starts
     form = horse_form(starts, as_of).select("horse_id", "last_date")
-    base = tables.horses.select(
+    base = tables.horses.select("horse_id", *ROLES.values(), *CODED, "birth_year")
+    known = base.join(career_sums(tables, as_of), "horse_id").join(form, "horse_id", "left")
+    return with_roles(known, starts).select(
         "horse_id",
-        *ROLES.values(),
+        *keep,
         *age_columns(F.col("birth_year"), as_of),
         *onehot_columns(),
-    )
-    wide = (
-        base.join(career_sums(tables, as_of), "horse_id")
-        .join(form, "horse_id", "left")
-    )
-    wide = with_roles(wide, starts)
-    encoded = [c for c in base.columns if c != "horse_id" and c not in ROLES.values()]
-    return wide.select(
-        "horse_id",
-        *keep,
-        *encoded,
         *_role_columns(),
         *_career_columns(),
         *_recent_columns(as_of),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paddock.functions import scalars as S
@@ -15,22 +15,32 @@ def surface_flags():
     return [S.flag(F.col("track_type") == label).alias(f"surface_{name}") for label, name in V.SURFACES.items()]
 
 
-def races_base(tables: RacingTables, poland=V.POLAND_CODES) -> DataFrame:
-    """Static race features; a projection of RACES."""
+# The few RACES columns from which all static features derive.
+STATIC_SOURCES = """track_distance_m temperature_c weather race_style race_group category_breed
+    country_code city_name track_type""".split()
+
+
+def static_columns(breed_prefix: str = "", poland=V.POLAND_CODES) -> list[Column]:
+    """Static race features over ``STATIC_SOURCES``."""
     metres = F.col("track_distance_m")
-    return tables.races.select(
-        "race_id",
+    breeds = {label: breed_prefix + name for label, name in V.BREEDS.items()}
+    return [
         metres.alias("distance_m"),
         *S.band_flags(metres),
-        "temperature_c",
+        F.col("temperature_c"),
         *S.weather_flags(F.col("weather")),
         S.style_ease_score(F.col("race_style")).alias("style_ease_score"),
         *S.one_hot(F.col("race_group"), V.RACE_GROUPS),
-        *S.one_hot(F.col("category_breed"), V.BREEDS),
+        *S.one_hot(F.col("category_breed"), breeds),
         S.flag(F.col("country_code").isin(poland)).alias("country_PL"),
         S.flag(F.col("city_name") == V.WARSAW).alias("city_Warsaw"),
         *surface_flags(),
-    )
+    ]
+
+
+def races_base(tables: RacingTables, poland=V.POLAND_CODES) -> DataFrame:
+    """Static race features; a projection of RACES."""
+    return tables.races.select("race_id", *static_columns(poland=poland))
 
 
 def races_payouts(tables: RacingTables) -> DataFrame:
@@ -42,12 +52,15 @@ def races_payouts(tables: RacingTables) -> DataFrame:
 
 def race_context(tables: RacingTables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Per race: starters (scratched ones included) and the median weight."""
-    records = tables.race_records.select("race_id", "jockey_weight_kg")
-    size = records.groupBy("race_id").agg(F.count(F.lit(1)).alias("field_size"))
-    median = percentile_per_key(
-        records, ["race_id"], "jockey_weight_kg", 0.5, "median_jockey_weight_kg", rows_per_task
+    return percentile_per_key(
+        tables.race_records.select("race_id", "jockey_weight_kg"),
+        ["race_id"],
+        "jockey_weight_kg",
+        0.5,
+        "median_jockey_weight_kg",
+        {"field_size": F.count(F.lit(1))},
+        rows_per_task,
     )
-    return size.join(median, "race_id", "left")
 
 
 def records_context(tables: RacingTables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:

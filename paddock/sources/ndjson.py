@@ -38,20 +38,22 @@ def read_ndjson(spark: SparkSession, path, name_glob: str = None) -> DataFrame:
 def load_with_bad_budget(
     spark: SparkSession, path, schema: T.StructType, max_bad: int = 0
 ) -> DataFrame:
-    """Typed rows of a JSON load, failing if more than ``max_bad`` are malformed.
+    """Typed rows of a JSON load, failing if a file has over ``max_bad`` bad ones.
 
     The bad rows are dropped, as a warehouse load with an error budget does.
-    Counting stops at the budget: it never needs more than max_bad + 1 rows.
+    Part files count towards the directory they belong to.
     """
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     lines = spark.read.text(path).where(F.trim("value") != "")
-    rows = lines.select(F.from_json("value", marked, options).alias("r")).select("r.*")
-    bad = rows.where(F.col(CORRUPT).isNotNull())
-    seen = bad.limit(max_bad + 1).count()
-    if seen > max_bad:
-        raise BadRecordBudgetExceeded(f"more than {max_bad} malformed records in {path}")
-    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    file = F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "").alias("_file")
+    parsed = lines.select(F.from_json("value", marked, options).alias("r"), file)
+    broken = F.col(f"r.{CORRUPT}").isNotNull()
+    bad = parsed.where(broken).groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    worst = bad.where(F.col("_n") > max_bad).first()
+    if worst is not None:
+        raise BadRecordBudgetExceeded(f"{worst._n} malformed records in {worst._file}, {max_bad} allowed")
+    return parsed.where(~broken).select("r.*").drop(CORRUPT)
 
 
 def clean_dedupe(lines: DataFrame, key: str = None) -> DataFrame:
