@@ -41,9 +41,13 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame:
     )
 
 
-def split_hot(df: DataFrame, keys: list[str], rows_per_task: int):
-    """(light rows, hot rows, number of chunks); the last two None without hot keys."""
-    hot = hot_keys(df, keys, rows_per_task)
+def split_hot(df: DataFrame, keys: list[str], rows_per_task: int, sized_by: DataFrame = None):
+    """(light rows, hot rows, number of chunks), the last two empty without hot keys.
+
+    Costs one counting pass over the key columns of ``sized_by``: a cheaper
+    table with at least as many rows per key as ``df``, or ``df`` itself.
+    """
+    hot = hot_keys(df if sized_by is None else sized_by, keys, rows_per_task)
     if hot.isEmpty():
         return df, None, 0
     hot = materialize(hot, "hot-keys")
@@ -104,6 +108,7 @@ def over_recent_rows(
     features: Callable[[W], dict[str, Column]],
     pick: Column = None,
     rows_per_task: int = ROWS_PER_TASK,
+    sized_by: DataFrame = None,
 ) -> DataFrame:
     """Add window columns that look back over at most ``n`` (picked) rows.
 
@@ -111,7 +116,7 @@ def over_recent_rows(
     ``order`` and ``carry`` columns of earlier rows. With ``pick`` the look-back
     counts only rows that satisfy it (``last(x, ignorenulls=True)`` needs n=1).
     """
-    light, heavy, chunks = split_hot(df, keys, rows_per_task)
+    light, heavy, chunks = split_hot(df, keys, rows_per_task, sized_by)
     plain = features(W.partitionBy(*keys).orderBy(*order))
     out = light.withColumns(plain)
     if heavy is None:

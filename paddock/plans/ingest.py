@@ -119,8 +119,9 @@ def ingest_folder(spark: SparkSession, landing: str, lake: str, prefix: str) ->
     meta = VersionedTable(spark, f"{lake}/ingestion_metadata", schema.INGESTION_METADATA)
     seen = meta.read().where(F.col("prefix") == prefix).agg(F.max("last_processed_time")).first()[0]
     new = files.discover_new_files(spark, f"{landing}/{prefix}", seen)
-    # A listing of file names, not data: it names the inputs of this batch.
-    found = new.select("path", "created").collect()
+    # Names of the new inputs, one per file or directory of part files.
+    unit = F.regexp_replace("path", r"/part-[^/]*$", "").alias("path")
+    found = new.groupBy(unit).agg(F.max("created").alias("created")).collect()
     if not found:
         return {"processed_files": 0}
     staged = ndjson.load_with_bad_budget(spark, [f.path for f in found], staged_schema, budget)

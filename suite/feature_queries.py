@@ -9,6 +9,7 @@ from paddock.functions import vocab as V
 from paddock.operators.rates import band_families, rates_by, share, starts_and_wins, surface_families
 from paddock.plans import assembly, horses, people, races
 from paddock.plans.starts import after, asof_starts, one_year_before, up_to
+from paddock.session import materialize
 from suite.fixtures import AS_OF, racing, text_of, view
 from suite.registry import dbl, query, rnd, sql_list
 
@@ -710,7 +711,9 @@ FEATURE_CTES = f"""{HORSE_CTES}, hf AS ({HORSE_FEATURES}), js AS ({JOCKEY_SQL}),
 
 @query("race_features", f"WITH {FEATURE_CTES} {RACE_FEATURES}", f"{RR} horses horse_careers", MEANS)
 def _(spark, sf):
-    return assembly.race_features(racing(spark, sf), AS_OF)
+    t = racing(spark, sf)
+    # Jockeys, trainers and breeders all read the starts: join them once.
+    return assembly.race_features(t, AS_OF, materialize(asof_starts(t, AS_OF), "starts"))
 
 
 # ---- upcoming starters ------------------------------------------------------
@@ -745,4 +748,5 @@ def upcoming(tables):
 )
 def _(spark, sf):
     t = racing(spark, sf)
-    return assembly.assemble_new_races(t, upcoming(t), AS_OF)
+    starts = materialize(asof_starts(t, AS_OF), "starts")
+    return assembly.assemble_new_races(t, upcoming(t), AS_OF, starts)
