@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,6 +17,7 @@ def spark():
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "6g",
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="warehouse-"),
     }
     session = build_session("local[8]", "tests", **settings)
     session.sparkContext.setLogLevel("ERROR")
