@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paddock.functions import scalars as S
 from paddock.functions import vocab as V
-from paddock.operators.rates import rates_by, share, starts_and_wins
+from paddock.operators.rates import rates_by, starts_and_wins
 from paddock.plans.starts import after, as_date, asof_starts, one_year_before
 from paddock.schema import RacingTables
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paddock import schema
 from paddock.functions import scalars as S
 from paddock.operators.merge import merge_counts, merge_touch_or_insert
+from paddock.session import materialize
 from paddock.sources import files, ndjson
 from paddock.sources.tables import VersionedTable
 
@@ -124,7 +125,9 @@ def ingest_folder(spark: SparkSession, landing: str, lake: str, prefix: str) ->
     found = new.groupBy(unit).agg(F.max("created").alias("created")).collect()
     if not found:
         return {"processed_files": 0}
-    staged = ndjson.load_with_bad_budget(spark, [f.path for f in found], staged_schema, budget)
+    # Staged once in columns: each target then reads only its own part.
+    loaded = ndjson.load_with_bad_budget(spark, [f.path for f in found], staged_schema, budget)
+    staged = materialize(loaded, "staged")
     result = {"processed_files": len(found)}
     for name, project in targets.items():
         table = VersionedTable(spark, f"{lake}/{name}", schema.BASE_TABLES[name])
@@ -139,11 +142,13 @@ def ingest_folder(spark: SparkSession, landing: str, lake: str, prefix: str) ->
 def clean_folder(spark: SparkSession, master: str, out: str) -> dict:
     """Clean one master directory into ``out``; does nothing when it exists.
 
-    Lines are parsed once per pass: one for the counts, one for the output.
+    Lines are parsed and shuffled once: the distinct records with their counts
+    give both the output and the statistics.
     """
     path = spark._jvm.org.apache.hadoop.fs.Path(out)
     if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return {}
     lines = ndjson.read_ndjson(spark, master)
-    ndjson.clean_dedupe(lines).write.text(out)
-    return ndjson.clean_stats(lines).first().asDict()
+    counted = materialize(ndjson.record_counts(lines), "records")
+    counted.where(F.col(ndjson.RECORD).isNotNull()).select(ndjson.RECORD).write.text(out)
+    return ndjson.clean_stats(counted).first().asDict()

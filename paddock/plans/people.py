@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paddock.functions import scalars as S
@@ -13,10 +15,8 @@ from paddock.plans.starts import as_date, asof_starts
 from paddock.schema import RacingTables
 
 
-def _within(days: int, as_of):
+def within(days: int, as_of) -> Column:
     """Raced at most ``days`` before the cut-off."""
-    import datetime as dt
-
     return F.col("race_date") >= F.lit(as_date(as_of) - dt.timedelta(days=days))
 
 
@@ -34,8 +34,8 @@ def person_features(starts: DataFrame, as_of, person: str, bands: dict) -> DataF
         f"{person}_total_starts": F.count(F.lit(1)),
         f"{person}_total_wins": F.count_if(S.is_win()),
         pct: share(S.is_win()),
-        f"{pct}_last_30d": share(S.is_win(), _within(30, as_of)),
-        f"{pct}_last_60d": share(S.is_win(), _within(60, as_of)),
+        f"{pct}_last_30d": share(S.is_win(), within(30, as_of)),
+        f"{pct}_last_60d": share(S.is_win(), within(60, as_of)),
     }
     families = {
         **surface_families(f"{pct}_surface", F.col("track_type"), V.SURFACES),

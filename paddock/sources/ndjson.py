@@ -69,12 +69,16 @@ def clean_dedupe(lines: DataFrame, key: str = None) -> DataFrame:
     return keyed.groupBy("_key").agg(F.min(RECORD).alias(RECORD)).select(RECORD)
 
 
-def clean_stats(lines: DataFrame) -> DataFrame:
-    """One row: lines read, lines removed, records kept."""
-    per_record = lines.groupBy(RECORD).agg(F.count(F.lit(1)).alias("_n"))
-    initial = F.coalesce(F.sum("_n"), F.lit(0))
+def record_counts(lines: DataFrame) -> DataFrame:
+    """Lines per distinct record; malformed lines share the NULL record."""
+    return lines.groupBy(RECORD).agg(F.count(F.lit(1)).alias("n"))
+
+
+def clean_stats(counted: DataFrame) -> DataFrame:
+    """One row over ``record_counts``: lines read, lines removed, records kept."""
+    initial = F.coalesce(F.sum("n"), F.lit(0))
     final = F.count(RECORD)
-    return per_record.agg(
+    return counted.agg(
         initial.alias("initial_count"),
         (initial - final).alias("removed_count"),
         final.alias("final_count"),

@@ -388,13 +388,13 @@ def _(spark, sf):
 )
 def _(spark, sf):
     starts = asof_starts(racing(spark, sf), AS_OF)
-    day, in30 = F.col("race_date"), people._within(30, AS_OF)
+    day, in30 = F.col("race_date"), people.within(30, AS_OF)
     return rates_by(
         starts,
         ["horse_id"],
         {
             "starts_30d": F.count_if(in30),
-            "starts_60d": F.count_if(people._within(60, AS_OF)),
+            "starts_60d": F.count_if(people.within(60, AS_OF)),
             "starts_1yr": F.count_if(after(day, one_year_before(AS_OF))),
             "win_pct_30d": share(S.is_win(), in30),
         },

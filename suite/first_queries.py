@@ -7,11 +7,10 @@ import re
 from pyspark.sql import functions as F
 
 from paddock import quality
-from paddock.functions import scalars as S
 from paddock.functions import vocab as V
 from paddock.operators.rates import latest_per_key
 from paddock.plans import first_version as v1
-from suite.feature_queries import RR, SURFACE_SQL, TEMP_SQL, bucket_sql, prize_sql, weather_sql
+from suite.feature_queries import RR, SURFACE_SQL, TEMP_SQL, bucket_sql, prize_sql
 from suite.fixtures import racing, text_of
 from suite.registry import dbl, query, rnd, sql_list
 

@@ -91,7 +91,7 @@ def _(spark, sf):
        SELECT 2 * d.n AS initial_count, 2 * d.n - k.n AS removed_count, k.n AS final_count FROM d, k""",
 )
 def _(spark, sf):
-    return ndjson.clean_stats(document_lines(spark, sf))
+    return ndjson.clean_stats(ndjson.record_counts(document_lines(spark, sf)))
 
 
 # ---- files ------------------------------------------------------------------

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from paddock import schema
 from paddock.functions import scalars as S
-from paddock.functions import vocab as V
 from paddock.ml import metrics, registry, score, train
 from paddock.plans.first_version import race_features_v1
 from paddock.plans.horses import horse_features

@@ -79,7 +79,7 @@ def test_malformed_lines_are_dropped(spark):
     assert rows(ndjson.clean_dedupe(parsed)) == rows(
         spark.createDataFrame([('{"a":2,"b":1}',), ("3",), ('{"a":"é\\n"}',), ("[1,2]",)], "record string")
     )
-    counts = ndjson.clean_stats(parsed).first()
+    counts = ndjson.clean_stats(ndjson.record_counts(parsed)).first()
     assert (counts.initial_count, counts.removed_count, counts.final_count) == (12, 8, 4)
     assert ndjson.clean_dedupe(parsed, key="$.a").count() == 3
 
