@@ -15,9 +15,6 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Splits the hot partitions of a shuffled join at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Beyond 8000 bytes of bytecode the JVM never compiles a method, and wide
-    # feature rows run several times faster without fusing their stage.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
