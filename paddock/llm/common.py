@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paddock.session import materialize, tune
+from paddock.session import materialize, scratch_path, tune
 
-__all__ = ["ascii_lower", "bucket_bits", "materialize", "prepared", "ranked", "row_keys", "seeded", "source_key", "table"]
+__all__ = ["ascii_lower", "bucket_bits", "materialize", "prepared", "ranked", "row_keys", "scratch_path", "seeded", "source_key", "table"]
 
 HASH_BITS = 60
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import decontamination, langid, mixing, sharding, simhash
-from paddock.llm.common import materialize, table
+from paddock.llm import decontamination, langid, licensing, mixing, preferences, sharding, simhash, spotsigs, tokens, warc
+from paddock.llm.common import materialize, scratch_path, table
 from paddock.llm.oracles import SQL
 
 QUERIES, ORACLES = {}, {}
@@ -70,3 +70,48 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialize(docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size")), "sizes")
     taken = mixing.sampled(rows, "size")
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that every document states."""
+    found = licensing.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "licenses", "sentence_ids", "n_unknown", "status")
+
+
+@query
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as token ids, written in coded blocks and read back."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-blocks")
+    tokens.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return tokens.read_summary(spark.read.parquet(path))
+
+
+@query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as a preference pair: its own last reply, and another's."""
+    pairs = preferences.with_borrowed_replies(table(spark, sf_dir, "conversations"))
+    return preferences.formatted(pairs)
+
+
+@query
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and their likeness."""
+    rows = spotsigs.compared(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.fingerprint(F.col("signatures")).alias("fingerprint"),
+        spotsigs.fingerprint(F.col("edited_signatures")).alias("edited_fingerprint"),
+        spotsigs.likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
+        spotsigs.likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
+    )
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page."""
+    return warc.derived(warc.page_responses(table(spark, sf_dir, "pages")))
