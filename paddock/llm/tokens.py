@@ -12,13 +12,13 @@ Numpy codes many blocks in step, one id of each at a time.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -28,13 +28,13 @@ from paddock.llm.common import materialize, prepared
 BLOCK = 1024
 LANES = 4096
 SYMBOLS = 19  # 0: the order-2 guess, 1: the order-1 guess, 2 + bits of the id
-TOTAL_BITS = 15
+TOTAL_BITS = 14
 RATE = 5
 TABLE_BITS = 11
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 MAGIC = b"RCB1"
 END_ID = 2
-CACHE = 400_000
+CACHE = 800_000
 NONE = 65535
 
 
@@ -42,45 +42,59 @@ class Model:
     """Guesses and probabilities of many blocks, one row for each."""
 
     def __init__(self, lanes: int):
-        start = (np.arange(SYMBOLS + 1) << TOTAL_BITS) // SYMBOLS
+        start = (np.arange(SYMBOLS) << TOTAL_BITS) // SYMBOLS
         self.lanes = np.arange(lanes)
-        # Cumulative frequencies of order 0, 1 and 2, all contexts in one array.
-        self.base = np.array([0, 1, 1 + SYMBOLS], np.int64)
+        # Cumulative frequencies below each symbol: order 0, the contexts of order
+        # 1 and those of order 2, all in one array. The last symbol ends at 2^14.
         self.contexts = 1 + SYMBOLS + 6
-        self.cdf = np.tile(start.astype(np.int32), (lanes * self.contexts, 1))
+        self.cdf = np.tile(start.astype(np.int16), (lanes * self.contexts, 1))
         self.after1 = np.full(lanes << TABLE_BITS, NONE, np.uint16)
         self.after2 = np.full(lanes << TABLE_BITS, NONE, np.uint16)
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
         self.symbol = np.zeros(lanes, np.int64)
-        ends = np.arange(1, SYMBOLS)
-        # A target of each symbol: all below it to 0, all above to the total, but
-        # never closer than one to their neighbour.
-        self.target = np.zeros((SYMBOLS, SYMBOLS + 1), np.int32)
-        for s in range(SYMBOLS):
-            self.target[s, 1:-1] = np.where(ends > s, (1 << TOTAL_BITS) - (SYMBOLS - ends) * 32, ends * 32)
-            self.target[s, -1] = 1 << TOTAL_BITS
+        # What the frequencies of a context move to when a symbol occurs: 32 for
+        # every other symbol, the rest for this one.
+        below = np.arange(SYMBOLS)
+        self.target = np.array(
+            [np.where(below > s, (1 << TOTAL_BITS) - (SYMBOLS - below) * 32, below * 32) for s in range(SYMBOLS)], np.int16
+        )
 
     def predict(self, n: int) -> np.ndarray:
-        """Mixed cumulative frequencies (n, SYMBOLS + 1) of the first n blocks."""
+        """Mixed cumulative frequencies (n, SYMBOLS) of the first n blocks."""
         lanes, last = self.lanes[:n], self.last[:n]
-        self.at1 = (lanes << TABLE_BITS) + ((last * 40503 >> 3) & ((1 << TABLE_BITS) - 1))
-        self.at2 = (lanes << TABLE_BITS) + ((last * 40503 + self.before[:n] * 25717 >> 3) & ((1 << TABLE_BITS) - 1))
+        hashed = last * 40503
+        self.at1 = (lanes << TABLE_BITS) + ((hashed >> 3) & ((1 << TABLE_BITS) - 1))
+        self.at2 = (lanes << TABLE_BITS) + ((hashed + self.before[:n] * 25717 >> 3) & ((1 << TABLE_BITS) - 1))
         self.guess1, self.guess2 = self.after1[self.at1].astype(np.int64), self.after2[self.at2].astype(np.int64)
         state = np.where(self.guess2 == NONE, 0, np.where(self.guess1 == self.guess2, 1, 2)) * 2 + (self.symbol[:n] < 2)
         row = lanes * self.contexts
         self.rows = [row, row + 1 + self.symbol[:n], row + 1 + SYMBOLS + state]
-        self.parts = [self.cdf[r] for r in self.rows]
-        return (self.parts[0] + self.parts[1] + 2 * self.parts[2]) >> 2
+        self.parts = [self.cdf.take(r, axis=0) for r in self.rows]
+        low = self.parts[0] + self.parts[1]  # below 2^15, as all are below 2^14
+        low >>= 1
+        low += self.parts[2]
+        low >>= 1
+        return low
+
+    def bounds(self, cdf: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a symbol's range begins, and its width."""
+        flat, at = cdf.ravel(), self.lanes[: len(symbol)] * SYMBOLS + symbol
+        lower = flat.take(at).astype(np.uint64)
+        upper = np.where(symbol == SYMBOLS - 1, np.int64(1 << TOTAL_BITS), flat.take(np.minimum(at + 1, flat.size - 1)))
+        return lower, upper.astype(np.uint64) - lower
 
     def symbols(self, ids: np.ndarray) -> np.ndarray:
         bits = np.frexp(ids.astype(np.float32))[1] + 2
         return np.where(ids == self.guess2, 0, np.where(ids == self.guess1, 1, bits))
 
     def update(self, n: int, ids: np.ndarray, symbol: np.ndarray) -> None:
-        target = self.target[symbol]
+        target = self.target.take(symbol, axis=0)
         for rows, part in zip(self.rows, self.parts):
-            self.cdf[rows] = part + ((target - part) >> RATE)
+            step = target - part
+            step >>= RATE
+            part += step
+            self.cdf[rows] = part
         self.after1[self.at1] = ids
         self.after2[self.at2] = ids
         self.before[:n] = self.last[:n]
@@ -135,11 +149,10 @@ def _encode(blocks: list[np.ndarray], sizes: np.ndarray) -> list[bytes]:
         now = ids[t, :n]
         cdf = model.predict(n)
         symbol = model.symbols(now)
-        rows = model.lanes[:n]
-        lower, upper = cdf[rows, symbol].astype(np.uint64), cdf[rows, symbol + 1].astype(np.uint64)
+        lower, width = model.bounds(cdf, symbol)
         unit = span[:n] >> np.uint64(TOTAL_BITS)
         low[:n] += unit * lower
-        span[:n] = unit * (upper - lower)
+        span[:n] = unit * width
         extra = np.maximum(symbol - 3, 0).astype(np.uint64)
         span[:n] >>= extra
         low[:n] += span[:n] * (now.astype(np.uint64) & ((np.uint64(1) << extra) - np.uint64(1)))
@@ -165,8 +178,8 @@ def decode(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
 
 def _decode(payloads: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
     lanes, steps = len(payloads), int(sizes[0]) if len(sizes) else 0
-    width = max([len(p) for p in payloads], default=0) // 2 + 8
-    words = np.zeros((lanes, width), np.uint64)
+    longest = max([len(p) for p in payloads], default=0) // 2 + 8
+    words = np.zeros((lanes, longest), np.uint64)
     for i, p in enumerate(payloads):
         words[i, : len(p) // 2] = np.frombuffer(p, "<u2")
     model = Model(lanes)
@@ -179,14 +192,13 @@ def _decode(payloads: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
     running = np.searchsorted(-sizes, -np.arange(steps), side="left")
     for t in range(steps):
         n = int(running[t])
-        rows = model.lanes[:n]
         cdf = model.predict(n)
         unit = span[:n] >> np.uint64(TOTAL_BITS)
-        place = (code[:n] - low[:n]) // unit
-        symbol = (cdf[:, 1:SYMBOLS].astype(np.uint64) <= place[:, None]).sum(1)
-        lower, upper = cdf[rows, symbol].astype(np.uint64), cdf[rows, symbol + 1].astype(np.uint64)
+        place = np.minimum((code[:n] - low[:n]) // unit, np.uint64((1 << TOTAL_BITS) - 1)).astype(np.int16)
+        symbol = np.count_nonzero(cdf[:, 1:] <= place[:, None], axis=1)
+        lower, width = model.bounds(cdf, symbol)
         low[:n] += unit * lower
-        span[:n] = unit * (upper - lower)
+        span[:n] = unit * width
         extra = np.maximum(symbol - 3, 0).astype(np.uint64)
         span[:n] >>= extra
         rest = (code[:n] - low[:n]) // span[:n]
@@ -205,7 +217,7 @@ def _decode(payloads: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
                 break
             tight = np.flatnonzero(small)
             sp[tight] = (np.uint64(0) - lo[tight]) & (BOTTOM - np.uint64(1))
-            co[go] = (co[go] << sixteen) | words[go, np.minimum(read[go], width - 1)]
+            co[go] = (co[go] << sixteen) | words[go, np.minimum(read[go], longest - 1)]
             read[go] += 1
             lo[go] <<= sixteen
             sp[go] <<= sixteen
@@ -241,13 +253,14 @@ class Encoder:
     Texts with other runs of white space go to the tokenizer whole.
     """
 
-    RUNS = regex.compile(r"\s \s?| \s|^ ")
+    # White space next to a space, or a space at either end.
+    RUNS = re.compile(r"\s | \s|^ | $")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         pieces = [None if self.RUNS.search(t) else self._pieces(t) for t in texts]
@@ -255,13 +268,24 @@ class Encoder:
         if len(self.known) + len(fresh) > CACHE:
             self.known = {}
             fresh = list({p for ps in pieces if ps for p in ps})
-        for at in range(0, len(fresh), 10_000):
-            part = fresh[at : at + 10_000]
-            self.known.update(zip(part, (e.ids for e in self._batch(part))))
+        self._learn([p for p in fresh if p[0] == " "])
+        first = [p for p in fresh if p[0] != " "]
+        self.known.update(zip(first, self._batch(first)))
         whole = iter(self._batch([t for t, ps in zip(texts, pieces) if ps is None]))
-        get = self.known.__getitem__
-        ids = [list(chain.from_iterable(map(get, ps))) if ps is not None else next(whole).ids for ps in pieces]
-        return [np.array([*i, END_ID], np.uint32) for i in ids]
+        get, end = self.known.__getitem__, self._packed([END_ID])
+        ids = [b"".join(map(get, ps)) if ps is not None else next(whole) for ps in pieces]
+        return [np.frombuffer(i + end, "<u2") for i in ids]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Code pieces that begin with a space, many joined to one text."""
+        for at in range(0, len(pieces), 2000):
+            part = pieces[at : at + 2000]
+            coded = self.tokenizer.encode("".join(part), add_special_tokens=False)
+            starts = np.array([a for a, _ in coded.offsets])
+            begins = np.cumsum([0, *map(len, part)])
+            cuts = np.searchsorted(starts, begins).tolist()
+            ids = self._packed(coded.ids)
+            self.known.update((p, ids[2 * a : 2 * b]) for p, a, b in zip(part, cuts, cuts[1:]))
 
     @staticmethod
     def _pieces(text: str) -> list[str]:
@@ -270,8 +294,18 @@ class Encoder:
         first, *rest = text.split(" ")
         return [first, *[" " + p for p in rest]]
 
-    def _batch(self, texts: list[str]):
-        return self.tokenizer.encode_batch(texts, add_special_tokens=False)
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return np.array(ids, "<u2").tobytes()
+
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        return [self._packed(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+@lru_cache(1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder for each Python worker, whose pieces later tasks know too."""
+    return Encoder(path)
 
 
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -285,7 +319,7 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def code(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, doc, held, count = Encoder(tokenizer), 0, [], 0
+        encoder, doc, held = encoder_of(tokenizer), 0, []
 
         def flush() -> pd.DataFrame:
             rows = pd.DataFrame(held, columns=["doc_id", "doc", "piece", "ids"])
