@@ -84,7 +84,7 @@ UNKNOWN = "?"
 WRAPPED = r"\r?\n[ \t]*(?:[#*/;]+[ \t]*)?([a-z(])"
 SENTENCE_END = r"([.!?;])[ \t\r\n]+"
 NOISE = r"[^a-z0-9.\n-]+"
-EDGES = r"(^|\n)[ .-]+|[ .-]+(\n|$)"
+EDGES = r"^[ .-]+|[ .-]+$"
 
 
 def sentences(text: Column) -> Column:
@@ -92,14 +92,14 @@ def sentences(text: Column) -> Column:
     joined = F.regexp_replace(text, WRAPPED, " $1")
     cut = F.regexp_replace(joined, SENTENCE_END, "$1\n")
     plain = F.regexp_replace(F.translate(cut, UPPER, LOWER), NOISE, " ")
-    return F.split(F.regexp_replace(plain, EDGES, "$1$2"), "\n")
+    return F.split(plain, "\n")
 
 
 def identifiers(text: Column) -> Column:
     """Identifiers of the sentences that speak of a licence, in order."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    cues = F.filter(sentences(text), lambda s: s.rlike(CUE) & ~s.startswith("copyright"))
-    return F.transform(cues, lambda s: F.coalesce(F.try_element_at(known, s), F.lit(UNKNOWN)))
+    cues = F.filter(sentences(text), lambda s: s.rlike(CUE) & ~s.rlike("^[ .-]*copyright"))
+    return F.transform(cues, lambda s: F.coalesce(F.try_element_at(known, F.regexp_replace(s, EDGES, "")), F.lit(UNKNOWN)))
 
 
 def token(name: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from paddock.llm import licensing, spotsigs, warc
+
 UPPER_TO_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 
@@ -100,3 +102,171 @@ copied AS (
     SELECT *, CAST(least(floor((r + 1) * rate + u) - floor(r * rate + u), ceil(rate)) AS INT) AS copies FROM rated)
 SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, source, copies FROM copied
 """
+
+
+def text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def license_sql() -> str:
+    known = ", ".join(f"{text(k)}: {text(v)}" for k, v in licensing.SENTENCES.items())
+    steps, found = [], []
+    for i, (license_id, sequence) in enumerate(licensing.RULES):
+        needle = text("".join(f"<{name}>" for name in sequence.split()))
+        steps.append(f"replace(left{i}, {needle}, '|') AS left{i + 1}")
+        found.append(f"CASE WHEN contains(left{i}, {needle}) THEN {text(license_id)} END")
+    end = f"left{len(licensing.RULES)}"
+    return f"""
+WITH cut AS (
+    SELECT doc_id, text, regexp_replace(regexp_replace(text, {text(licensing.WRAPPED)}, ' \\1', 'g'), {text(licensing.SENTENCE_END)}, '\\1' || chr(10), 'g') AS t
+    FROM documents),
+cues AS (
+    SELECT doc_id, CASE WHEN regexp_matches(text, '(?i){licensing.CUE}') THEN list_filter(
+        string_split(regexp_replace(translate(t, {UPPER_TO_LOWER}), {text(licensing.NOISE)}, ' ', 'g'), chr(10)),
+        lambda s: regexp_matches(s, '{licensing.CUE}') AND NOT regexp_matches(s, '^[ .-]*copyright')) ELSE [] END AS cues
+    FROM cut),
+named AS (
+    SELECT doc_id, list_transform(cues, lambda s: coalesce(MAP {{{known}}}[regexp_replace(s, {text(licensing.EDGES)}, '', 'g')], '?')) AS ids FROM cues),
+used AS (
+    SELECT doc_id, ids, array_to_string(list_transform(ids, lambda x: '<' || x || '>'), '') AS left0, {", ".join(steps)} FROM named),
+ruled AS (
+    SELECT doc_id, array_to_string(ids, ' ') AS sentence_ids, len(regexp_extract_all({end}, '<')) AS n_unknown,
+           list_filter([{", ".join(found)}], lambda x: x IS NOT NULL) AS names
+    FROM used),
+listed AS (
+    SELECT *, array_to_string(list_filter(names, lambda x, i: list_position(names, x) = i), ',') AS licenses FROM ruled)
+SELECT doc_id, licenses, sentence_ids, CAST(n_unknown AS BIGINT) AS n_unknown,
+       CASE WHEN licenses <> '' THEN 'licensed' WHEN n_unknown > 0 THEN 'unknown' ELSE 'none' END AS status
+FROM listed"""
+
+
+SQL["op4_license_scan"] = license_sql()
+
+CHAT_CLEAN = "replace({}, '<|', '< |')"
+
+
+def opening(t: str) -> str:
+    return f"'<|' || {CHAT_CLEAN.format(t + '.role')} || '|>' || chr(10)"
+
+
+def turn_texts(turns: str) -> str:
+    return f"list_transform({turns}, lambda t: {opening('t')} || {CHAT_CLEAN.format('t.text')} || '<|end|>' || chr(10))"
+
+
+def chat_mask(turns: str) -> str:
+    before = f"length(array_to_string({turn_texts(turns)}[1:i - 1], ''))"
+    start = f"{before} + length({opening('t')})"
+    return f"""array_to_string(list_filter(list_transform({turns}, lambda t, i: CASE WHEN t.role = 'assistant' THEN
+        ({start}) || '-' || ({start} + length({CHAT_CLEAN.format('t.text')}) + 7) END), lambda x: x IS NOT NULL), ' ')"""
+
+
+SQL["op8_chat_format"] = f"""
+WITH grouped AS (
+    SELECT conv_id, list(struct_pack(turn := turn, role := coalesce(role, 'user'), text := coalesce(text, '')) ORDER BY turn, role, text) AS turns
+    FROM conversations GROUP BY conv_id),
+ended AS (
+    SELECT *, list_max(list_transform(turns, lambda t, i: CASE WHEN t.role = 'assistant' THEN i ELSE 0 END)) AS n FROM grouped),
+paired AS (
+    SELECT a.conv_id, CASE WHEN a.n > 0 THEN a.turns[1:a.n] ELSE a.turns END AS chosen,
+           CASE WHEN a.n > 0 THEN list_concat(a.turns[1:a.n - 1], [struct_pack(turn := a.turns[a.n].turn, role := a.turns[a.n].role,
+               text := CASE WHEN b.n > 0 THEN b.turns[b.n].text ELSE '' END)]) ELSE a.turns END AS rejected
+    FROM ended a LEFT JOIN ended b ON b.conv_id = xor(a.conv_id, 1)),
+same AS (
+    SELECT *, list_position(list_transform(chosen, lambda t, i: i <= len(rejected) AND t.role = rejected[i].role AND t.text = rejected[i].text), false) AS first
+    FROM paired),
+cut AS (SELECT *, CAST(coalesce(first - 1, len(chosen)) AS BIGINT) AS n FROM same),
+rest AS (SELECT *, chosen[n + 1:] AS c, rejected[n + 1:] AS r FROM cut)
+SELECT conv_id, n AS n_prompt_turns, array_to_string({turn_texts('chosen[1:n]')}, '') AS prompt,
+       array_to_string({turn_texts('c')}, '') AS chosen_text, array_to_string({turn_texts('r')}, '') AS rejected_text,
+       {chat_mask('c')} AS chosen_mask, {chat_mask('r')} AS rejected_mask, len(c) > 0 OR len(r) > 0 AS differs
+FROM rest
+"""
+
+ANCHOR_LIST = ", ".join(text(w) for w in spotsigs.ANCHORS)
+
+SQL["op9_spotsigs"] = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
+following AS (
+    SELECT doc_id, t, n, coalesce(lead(t) OVER w, first_value(t) OVER w) AS next
+    FROM docs WINDOW w AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+changed AS (SELECT doc_id, n, t, next, substr(t, 1, n - n // 2) || substr(next, 1, n // 2) AS edited FROM following),
+texts AS (
+    SELECT doc_id, 't' AS kind, t FROM changed UNION ALL SELECT doc_id, 'e', edited FROM changed UNION ALL SELECT doc_id, 'n', next FROM changed),
+cut AS (SELECT doc_id, kind, regexp_extract_all(lower(t), '{spotsigs.WORD}') AS w FROM texts),
+parted AS (
+    SELECT *, list_filter(w, lambda x: x NOT IN ({ANCHOR_LIST})) AS content,
+           list_filter(list_transform(w, lambda x, i: CASE WHEN x IN ({ANCHOR_LIST}) THEN i END), lambda i: i IS NOT NULL) AS places
+    FROM cut),
+chained AS (
+    SELECT *, list_filter(list_transform(places, lambda p, j: CASE WHEN p - j + 2 <= len(content) THEN
+        substr(md5(w[p] || ' ' || content[p - j + 1] || ' ' || content[p - j + 2]), 1, 8) END), lambda x: x IS NOT NULL) AS sigs
+    FROM parted),
+sets AS (
+    SELECT doc_id, kind, CASE WHEN len(sigs) > 0 THEN list_sort(list_distinct(sigs)) ELSE [substr(md5(array_to_string(w, ' ')), 1, 8)] END AS s
+    FROM chained),
+joined AS (
+    SELECT c.doc_id, c.n, c.edited, a.s AS s, b.s AS e, len(list_intersect(a.s, b.s)) AS ie, len(list_intersect(a.s, d.s)) AS ix, d.s AS x
+    FROM changed c JOIN sets a ON a.doc_id = c.doc_id AND a.kind = 't' JOIN sets b ON b.doc_id = c.doc_id AND b.kind = 'e'
+    JOIN sets d ON d.doc_id = c.doc_id AND d.kind = 'n')
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, array_to_string(s, '') AS fingerprint,
+       array_to_string(e, '') AS edited_fingerprint, CAST(ie AS DOUBLE) / (len(s) + len(e) - ie) AS near_edited,
+       CAST(ix AS DOUBLE) / (len(s) + len(x) - ix) AS near_next
+FROM joined
+"""
+
+
+def unescaped(value: str) -> str:
+    for entity, char in warc.ENTITIES:
+        value = f"replace({value}, {text(entity)}, {text(char)})"
+    return f"replace({value}, '&amp;', '&')"
+
+
+def replaced(value: str, steps: list) -> str:
+    for pattern, new in steps:
+        value = f"regexp_replace({value}, {text(pattern)}, {'chr(10)' if new == chr(10) else text(new)}, 'g')"
+    return value
+
+
+def urn(*parts: str) -> str:
+    h = f"md5({' || chr(10) || '.join(parts)})"
+    return "'<urn:uuid:' || " + " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + " || '>'"
+
+
+END = "chr(13) || chr(10)"
+SCHEME = "[a-zA-Z][a-zA-Z0-9+.-]*"
+
+# Numbered entities, which the given pages don't have, are left as they are here.
+SQL["op10_warc"] = f"""
+WITH pages_in AS (
+    SELECT page_id, regexp_replace(coalesce(url, ''), '[\r\n]+', ' ', 'g') AS uri, coalesce(html, '') AS html FROM pages),
+responses AS (
+    SELECT *, {urn("'response'", "coalesce(CAST(page_id AS VARCHAR), '-')", "uri", "sha256(html)")} AS refers_to, 'sha256:' || sha256(html) AS source_digest FROM pages_in),
+linked AS (
+    SELECT *, list_transform(regexp_extract_all(html, {text(warc.LINK)}, 1), lambda x: regexp_replace(trim(replace(x, '&amp;', '&')), '#.*$', '')) AS hrefs,
+           regexp_extract(uri, '^{SCHEME}://[^/?#]*') AS root, regexp_extract(uri, '^{SCHEME}://[^/?#]*(?:/[^?#]*/|/)?') AS folder
+    FROM responses),
+resolved AS (
+    SELECT *, list_filter(list_transform(hrefs, lambda x: CASE WHEN x = '' THEN NULL WHEN regexp_matches(x, '^(?i:javascript|mailto|data|tel):') THEN NULL
+        WHEN regexp_matches(x, '^{SCHEME}://') THEN x WHEN starts_with(x, '//') THEN regexp_extract(uri, '^{SCHEME}:') || x
+        WHEN starts_with(x, '/') THEN root || x ELSE (CASE WHEN ends_with(folder, '/') THEN folder ELSE folder || '/' END) || x END), lambda x: x IS NOT NULL) AS links,
+        regexp_replace({replaced(unescaped(f"regexp_extract(html, {text(warc.TITLE)}, 1)"), warc.TIDY)}, '[\r\n]+', ' ', 'g') AS title,
+        {replaced(unescaped(replaced("html", warc.STRIP)), warc.TIDY)} AS plain
+    FROM linked),
+blocks AS (
+    SELECT page_id, refers_to, uri, source_digest, 'metadata' AS warc_type, 'application/warc-fields' AS content_type,
+        'source-payload-digest: ' || source_digest || {END} || 'source-payload-length: ' || strlen(html) || {END}
+        || CASE WHEN title = '' THEN '' ELSE 'title: ' || title || {END} END
+        || 'source-http: HTTP/1.1 200 OK' || {END} || 'source-http: Content-Type: text/html; charset=utf-8' || {END}
+        || 'source-http: Content-Length: ' || strlen(html) || {END}
+        || array_to_string(list_transform(list_filter(links, lambda x, i: list_position(links, x) = i), lambda x: 'outlink: ' || x || ' L a/@href' || {END}), '') AS block
+    FROM resolved
+    UNION ALL SELECT page_id, refers_to, uri, source_digest, 'conversion', 'text/plain', plain FROM resolved),
+digested AS (SELECT *, 'sha256:' || sha256(block) AS block_digest FROM blocks),
+named AS (SELECT *, {urn("warc_type", "refers_to", "block_digest")} AS record_id FROM digested)
+SELECT page_id, refers_to, uri AS target_uri, '{warc.DATE}' AS date, warc_type, content_type, block, block_digest,
+       CAST(strlen(block) AS BIGINT) AS content_length, record_id, source_digest,
+       'WARC/1.1' || {END} || 'WARC-Type: ' || warc_type || {END} || 'WARC-Record-ID: ' || record_id || {END} || 'WARC-Refers-To: ' || refers_to || {END}
+       || CASE WHEN uri = '' THEN '' ELSE 'WARC-Target-URI: ' || uri || {END} END || 'WARC-Date: {warc.DATE}' || {END}
+       || 'WARC-Block-Digest: ' || block_digest || {END} || 'Content-Type: ' || content_type || {END} || 'Content-Length: ' || strlen(block) AS header
+FROM named
+"""
