@@ -230,7 +230,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", budget: int = MAX_B
     """
     prepared(docs.sparkSession)
     signed = materialize(docs.select(id_col, fingerprints("text").alias("fp")), "signed")
-    return signed.join(signed_components(signed, id_col, budget), "fp").select(id_col, "fp", "component_id")
+    # Written first, so that Spark can split the rows of a hot fingerprint in the join.
+    found = materialize(signed_components(signed, id_col, budget), "components")
+    return signed.join(found, "fp").select(id_col, "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", budget: int = MAX_BITS) -> DataFrame:
@@ -241,7 +243,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", budget: int = MAX_BITS
     k1, k2 = row_keys(docs)
     signed = docs.select(F.col(id_col).alias("id"), fingerprints("text").alias("fp"), k1.alias("_k1"), k2.alias("_k2"))
     signed = materialize(signed, "signed")
-    joined = signed.join(signed_components(signed, "id", budget), "fp")
+    joined = signed.join(materialize(signed_components(signed, "id", budget), "components"), "fp")
     first = F.min(F.struct(F.col("id").isNull(), "id", "_k1", "_k2")).alias("kept")
     kept = joined.groupBy("root").agg(first).select("kept._k1", "kept._k2")
     kept = materialize(kept, "kept")
