@@ -140,15 +140,17 @@ def ingest_folder(spark: SparkSession, landing: str, lake: str, prefix: str) ->
 
 
 def clean_folder(spark: SparkSession, master: str, out: str) -> dict:
-    """Clean one master directory into ``out``; does nothing when it exists.
+    """Clean one master directory into ``out``; does nothing when that is done.
+
+    What a failed job left of ``out``, without the mark of a finished one, is
+    written anew.
 
     Lines are parsed and shuffled once: the distinct records with their counts
     give both the output and the statistics.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(out)
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if files.committed(spark, out):
         return {}
     lines = ndjson.read_ndjson(spark, master)
     counted = materialize(ndjson.record_counts(lines), "records")
-    counted.where(F.col(ndjson.RECORD).isNotNull()).select(ndjson.RECORD).write.text(out)
+    counted.where(F.col(ndjson.RECORD).isNotNull()).select(ndjson.RECORD).write.mode("overwrite").text(out)
     return ndjson.clean_stats(counted).first().asDict()

@@ -26,6 +26,12 @@ def list_files(spark: SparkSession, prefix: str) -> DataFrame:
     return reader.load(prefix).select("path", F.col("modificationTime").alias("created"), "length")
 
 
+def committed(spark: SparkSession, folder: str) -> bool:
+    """Whether a job has finished writing a folder."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def select_new_files(listing: DataFrame, watermark=None) -> DataFrame:
     """Cleaned NDJSON files created after the watermark (all of them without one)."""
     name = base_name(F.col("path"))
@@ -56,12 +62,13 @@ def merge_shards(
     """Write the lines of all matching shards as one master directory.
 
     The unit is a directory that many tasks write, not one file. Shards are
-    left in place. Returns the number of shards; 0 writes nothing.
+    left in place. Returns the number of shards; 0 writes nothing. A master that
+    is already finished stays as it is, half of one is written anew.
     """
     name = base_name(F.col("path"))
     merged = list_files(spark, prefix).where(name.rlike(pattern)).select(name).distinct().count()
-    if merged:
-        shard_lines(spark, prefix, pattern).select("line").write.text(out)
+    if merged and not committed(spark, out):
+        shard_lines(spark, prefix, pattern).select("line").write.mode("overwrite").text(out)
     return merged
 
 

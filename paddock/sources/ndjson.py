@@ -19,11 +19,27 @@ def parse_line(line: Column) -> Column:
     Keys are sorted, so records that differ only in key order compare equal.
     The parser ignores what follows a complete value; wrapping the line in an
     array and in an object exposes that, because no trailing text can close both.
+
+    The parser also refuses values over its size limit and objects with a repeated
+    key. Such a line, if well formed, is kept as it stands, without outer blanks.
     """
     in_array = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"r":'), line, F.lit("}")))
     value = F.to_json(F.try_variant_get(in_object, "$.r", "variant"))
-    return F.when(in_array.isNotNull(), value)
+    return F.coalesce(F.when(in_array.isNotNull(), value), F.when(well_formed(line), F.trim(line)))
+
+
+# A JSON text without the characters in its strings; the quantifiers never go back.
+STRINGS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def well_formed(line: Column) -> Column:
+    """Whether a line is exactly one JSON value, whatever its keys or size. These
+    functions also take strings in single quotes, which JSON does not have."""
+    single = F.contains(F.regexp_replace(line, STRINGS, ""), F.lit("'"))
+    one = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
+    closed = F.size(F.json_object_keys(F.concat(F.lit('{"r":'), line, F.lit("}")))) == 1
+    return F.coalesce(one & closed & ~single, F.lit(False))
 
 
 def read_ndjson(spark: SparkSession, path, name_glob: str = None) -> DataFrame:

@@ -221,3 +221,23 @@ def test_partitioned_write_prunes(spark, tmp_path):
 
 def test_master_name():
     assert files.master_name("horse_data/", "X") == "horse_data/MASTERFILE_HORSEDATA_X.ndjson"
+
+
+def test_lines_the_variant_parser_refuses_are_kept(spark):
+    lines = ['{"a":1,"a":2} ', '{"a":1}', "{'a':1}", "1] [2", "[1", "", '{"a":"it\'s"}', '{"b":"' + "x" * 20_000_000 + '"}', '{"a":1,"a":']
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
+    got = {r.i: r.record for r in df.select("i", ndjson.parse_line(F.col("line")).alias("record")).collect()}
+    assert got[0] == '{"a":1,"a":2}' and got[1] == '{"a":1}' and got[6] == lines[6] and got[7] == lines[7]
+    assert [got[i] for i in (2, 3, 4, 5, 8)] == [None] * 5
+
+
+def test_a_feed_may_be_repeated(spark, tmp_path):
+    landing, lake = tmp_path / "landing", tmp_path / "lake"
+    (landing / "jockey_data").mkdir(parents=True)
+    (landing / "jockey_data" / "shard_1.ndjson").write_text('{"jockey_id": 1}\n{"jockey_id": 2}\n')
+    run = lambda: flow.run_feed(spark, str(landing), str(lake), "jockey_data/", "2025-08-03T10_00_00_000Z")
+    # What a job that died while cleaning leaves behind.
+    (landing / "jockey_data" / "CLEANED_MASTERFILE_JOCKEYDATA_2025-08-03T10_00_00_000Z.ndjson").mkdir()
+    assert run()["clean"]["final_count"] == 2
+    assert run()["ingest"] == {"processed_files": 0}
+    assert tables.VersionedTable(spark, f"{lake}/jockeys", schema.JOCKEYS).read().count() == 2
