@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paddock.llm.common import prepared, seeded
+from paddock.llm.common import HASH_BITS, materialize, prepared, seeded
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -134,7 +134,11 @@ def labelled_sample(docs: DataFrame, allowed: Column, seed: int = 5, per_languag
     by seeded hash, as rows of lang and text."""
     rows = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull())
     hashed = rows.select("doc_id", "lang", seeded(seed, F.col("doc_id")).alias("_h"))
-    # Spark prunes to the first rows of each language before it shuffles them.
+    # Of a language with many rows only hashes below a bound go on, four times as
+    # many as asked for, so its ranks are no work for one task.
+    counts = materialize(rows.groupBy("lang").agg(F.count("*").alias("_rows")), "languages")
+    bound = F.lit(float(4 * per_language << HASH_BITS)) / F.col("_rows")
+    hashed = hashed.join(counts, "lang").where(F.col("_h") < bound)
     ranks = hashed.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id")))
     chosen = ranks.where(F.col("_r") <= per_language).orderBy("_r", "_h", "lang").limit(most).select("doc_id", "lang")
     size = WINDOW * WINDOWS_PER_DOC * 2
@@ -144,7 +148,7 @@ def labelled_sample(docs: DataFrame, allowed: Column, seed: int = 5, per_languag
 
 def trained(sample: pd.DataFrame) -> ByteConv | None:
     """A network for the languages of the sample; None if it has no text."""
-    sample = sample[sample["text"].map(has_letter)].sort_values(["lang", "doc_id"])
+    sample = sample[sample["text"].map(has_letter).astype(bool)].sort_values(["lang", "doc_id"])
     langs = sorted(sample["lang"].unique())
     if not langs:
         return None
