@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from paddock import schema
@@ -10,8 +12,8 @@ from paddock.ml import metrics, registry, score, train
 from paddock.plans.first_version import race_features_v1
 from paddock.plans.horses import horse_features
 from paddock.plans.assembly import race_features
-from paddock.plans.starts import after
-from paddock.session import scratch_path
+from paddock.plans.starts import after, asof_starts
+from paddock.session import materialize, scratch_path
 from paddock.sources import tables
 from suite.feature_queries import D, HORSE_CTES, HORSE_FEATURES, RR
 from suite.first_queries import FORM, STARTERS, rest_sql
@@ -227,35 +229,128 @@ def _(spark, sf):
     return score.prediction_input(t, entries(t), NEW_RACE)
 
 
-# ---- training (values depend on the optimizer, so rows only) ----------------
-def metric_row(spark, trained: train.Trained):
-    fields = ", ".join(f"{n} double" for n in trained.metrics)
-    return spark.createDataFrame([tuple(trained.metrics.values())], fields)
+# ---- training ---------------------------------------------------------------
+# Fitted values depend on the optimizer. What does not is compared: the rows of
+# both parts of the split, the labels, and the guess that a model has to beat.
+V1_COLUMNS = ["race_id", "horse_id", "finish_place", *train.PLACE_V1_NUMBERS, *train.PLACE_V1_TEXTS]
+
 
+def held_sql(keys: str, share: float) -> str:
+    parts = ", ".join(f"COALESCE(CAST({k} AS VARCHAR), '-')" for k in keys.split())
+    return f"CAST('0x' || substr(md5(concat_ws(':', '0', {parts})), 1, 8) AS BIGINT) % 10000 < {int(share * 10000)}"
 
-V1_COLUMNS = ["race_id", "horse_id", "finish_place", *train.PLACE_V1_NUMBERS, *train.PLACE_V1_TEXTS]
 
+def place_sql(rows: str, share: float) -> str:
+    """Outcome of training a place model on ``rows`` (race_id, horse_id, finish_place)."""
+    return f"""t AS (SELECT CAST(finish_place AS VARCHAR) AS label, {held_sql("race_id horse_id", share)} AS held FROM ({rows})
+            WHERE finish_place IS NOT NULL),
+        c AS (SELECT label, COUNT(*) FILTER (WHERE NOT held) AS fit, COUNT(*) FILTER (WHERE held) AS n FROM t GROUP BY label)
+        SELECT CAST(SUM(fit) AS BIGINT) AS rows_train, CAST(SUM(n) AS BIGINT) AS rows_eval,
+               string_agg(label, ',' ORDER BY label) FILTER (WHERE fit > 0) AS labels,
+               {rnd("1.0 * (SELECT n FROM c ORDER BY fit DESC, label LIMIT 1) / SUM(n)", "majority_accuracy")},
+               TRUE AS better FROM c"""
 
-@query("train_place_v1")
+
+def place_row(spark, trained: train.Trained):
+    """``better``: more places are right, or they are given more probability than
+    a uniform guess gives them, and starters are told apart better than by chance."""
+    b, m = trained.baseline, trained.metrics
+    better = m["accuracy"] >= b["majority_accuracy"] or m["log_loss"] < math.log(len(trained.labels))
+    row = (b["rows_train"], b["rows_eval"], ",".join(trained.labels), b["majority_accuracy"], better)
+    return spark.createDataFrame([row], "rows_train long, rows_eval long, labels string, majority_accuracy double, better boolean")
+
+
+@query(
+    "train_place_v1",
+    f"WITH {STARTERS}, {place_sql('SELECT race_id, horse_id, finish_place FROM base', 0.2)}",
+    f"{RR} horses horse_careers",
+    "majority_accuracy",
+)
 def _(spark, sf):
     rows = race_features_v1(racing(spark, sf), V1_COLUMNS)
-    return metric_row(spark, train.train_place_v1(rows))
+    return place_row(spark, train.train_place_v1(rows))
+
 
+RAN = """SELECT r.race_id, r.horse_id, r.finish_place FROM race_records r JOIN horses h ON h.horse_id = r.horse_id
+    WHERE r.start_order IS NOT NULL AND r.finish_place IS NOT NULL
+      AND EXISTS (SELECT 1 FROM horse_careers c WHERE c.horse_id = r.horse_id AND c.race_year <= 2001)"""
 
-@query("train_place_v2")
+
+@query("train_place_v2", f"WITH {place_sql(RAN, 0.15)}", "race_records horses horse_careers", "majority_accuracy")
 def _(spark, sf):
-    return metric_row(spark, train.train_place_v2(race_features(racing(spark, sf), AS_OF)))
+    t = racing(spark, sf)
+    starts = materialize(asof_starts(t, AS_OF), "starts")
+    return place_row(spark, train.train_place_v2(race_features(t, AS_OF, starts)))
 
 
-@query("train_rating")
+# A line through one input has a closed form; all inputs are trained beside it.
+LINE = f"""l AS (SELECT h.horse_id, CAST(h.age_years AS DOUBLE) AS x, l.rating_score AS y, {held_sql("h.horse_id", 0.15)} AS held
+        FROM hf h JOIN horse_rating_labels l ON l.horse_id = CAST(h.horse_id AS VARCHAR) AND l.snapshot_date = {D}
+        WHERE l.rating_score IS NOT NULL),
+    f AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b, AVG(y) AS m FROM l WHERE NOT held),
+    e AS (SELECT y, a * x + b AS p, m FROM l, f WHERE held)"""
+
+
+@query(
+    "train_rating",
+    f"""WITH {HORSE_CTES}, hf AS ({HORSE_FEATURES}), {LINE}
+        SELECT (SELECT COUNT(*) FROM l WHERE NOT held) AS rows_train, COUNT(*) AS rows_eval,
+               {rnd("AVG(ABS(y - m))", "mean_only_error")}, {rnd("AVG(ABS(y - p))", "line_mean_error")},
+               {rnd("quantile_cont(ABS(y - p), 0.5)", "line_median_error")},
+               {rnd("1 - AVG((y - p) * (y - p)) / VAR_POP(y)", "line_r2")}, TRUE AS finite FROM e""",
+    f"{RR} horses horse_careers horse_rating_labels",
+    "mean_only_error line_mean_error line_median_error line_r2",
+)
 def _(spark, sf):
+    t = racing(spark, sf)
+    starts = materialize(asof_starts(t, AS_OF), "starts")
     labels = view(spark, sf, "horse_rating_labels")
-    rows = train.join_labels(horse_features(racing(spark, sf), AS_OF), labels, AS_OF)
-    return metric_row(spark, train.train_rating(rows))
+    rows = materialize(train.join_labels(horse_features(t, AS_OF, starts), labels, AS_OF), "rated")
+    full = train.train_rating(rows)
+    line = train.train_rating(rows.select("horse_id", "age_years", "rating_score"), l2=0.0).metrics
+    b = full.baseline
+    row = (
+        b["rows_train"],
+        b["rows_eval"],
+        b["mean_only_error"],
+        line["mean_absolute_error"],
+        line["median_absolute_error"],
+        line["r2_score"],
+        all(v is None or math.isfinite(v) for v in full.metrics.values()),
+    )
+    shape = """rows_train long, rows_eval long, mean_only_error double, line_mean_error double, line_median_error double,
+        line_r2 double, finite boolean"""
+    return spark.createDataFrame([row], shape)
 
 
-@query("predict_race")
+@query(
+    "predict_race",
+    f"""WITH {STARTERS}, {FORM}, {ENTRIES}, hm AS ({history_sql("horse_id", "horse")}),
+        money AS (SELECT horse_id, SUM(prize_amount) AS total FROM race_records GROUP BY horse_id),
+        latest AS (SELECT * FROM (SELECT horse_id, rest_days, ROW_NUMBER() OVER (
+            PARTITION BY horse_id ORDER BY day DESC, race_id DESC, race_record_id DESC) AS rn FROM form) WHERE rn = 1),
+        jm AS ({history_sql("jockey_id", "jockey", "hj_podium_rate")}),
+        tm AS ({history_sql("trainer_id", "trainer", "ht_podium_rate")})
+        SELECT e.horse_id, h.horse_name, e.start_pos, hm.horse_race_count, ROUND(100 * hm.horse_win_pct, 2) AS horse_win_pct,
+            {rnd("m.total", "career_prize_sum")}, l.rest_days, j.last_name AS jockey_last_name, jm.jockey_race_count,
+            ROUND(100 * jm.jockey_win_pct, 2) AS jockey_win_pct, ROUND(100 * jm.hj_podium_rate, 2) AS hj_podium_rate,
+            e.jockey_weight_kg, t.last_name AS trainer_last_name, tm.trainer_race_count,
+            ROUND(100 * tm.trainer_win_pct, 2) AS trainer_win_pct, CAST(1 AS DOUBLE) AS prob_total, TRUE AS score_fits
+        FROM entries e JOIN hm ON hm.horse_id = e.horse_id JOIN money m ON m.horse_id = e.horse_id
+        JOIN latest l ON l.horse_id = e.horse_id JOIN horses h ON h.horse_id = e.horse_id
+        JOIN jockeys j ON j.jockey_id = e.jockey_id JOIN trainers t ON t.trainer_id = e.trainer_id
+        LEFT JOIN jm ON jm.jockey_id = e.jockey_id LEFT JOIN tm ON tm.trainer_id = e.trainer_id""",
+    f"{RR} horses horse_careers jockeys trainers",
+    "career_prize_sum prob_total",
+)
 def _(spark, sf):
+    """Every starter after the cut-off, ranked by a trained model. Of the fitted
+    probabilities only the total (one) and their relation to the score are returned."""
     t = racing(spark, sf)
     trained = train.train_place_v1(race_features_v1(t, V1_COLUMNS))
-    return score.predict_race(trained, t, entries(t), NEW_RACE)
+    scored = score.label_probs(trained, score.prediction_input(t, entries(t), NEW_RACE))
+    ranked = score.rank_starters(scored, keep=["probs"])
+    total = F.aggregate(S.normalize_probs(F.col("probs")), F.lit(0.0), lambda a, p: a + p["prob"])
+    fits = (F.col("score") == F.round(F.col("prob_1") * 100, 2)) & F.col("score").between(0, 100)
+    checked = ranked.withColumns({"prob_total": total, "score_fits": fits})
+    return checked.drop("score", "probs", *[f"prob_{i}" for i in range(1, 5)])
