@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paddock.functions import scalars as S
 from paddock.functions import vocab as V
 from paddock.operators.ordered import ROWS_PER_TASK
-from paddock.plans.horses import horse_features
+from paddock.plans.horses import SharedCounts, horse_features, shared_counts
 from paddock.plans.people import breeders, jockeys, trainers
 from paddock.plans.races import STATIC_SOURCES, race_context, static_columns
 from paddock.plans.starts import asof_starts
@@ -26,6 +26,7 @@ def race_features(
     as_of,
     starts: DataFrame = None,
     rows_per_task: int = ROWS_PER_TASK,
+    common: SharedCounts = None,
 ) -> DataFrame:
     """One row per starter that ran from a known gate to a known place.
 
@@ -36,11 +37,12 @@ def race_features(
     joins from the few columns behind them, which keeps shuffled rows narrow.
     """
     starts = asof_starts(tables, as_of) if starts is None else starts
+    common = common or shared_counts(tables, as_of, starts)
     coded = ["horse_sex", "breed"]
-    horse = horse_features(tables, as_of, starts, keep=["breeder_id", *coded]).select(
+    horse = horse_features(tables, as_of, keep=["breeder_id", *coded], common=common).select(
         "horse_id", "breeder_id", *coded, F.col("age_years").alias("horse_age_years")
     )
-    bred = breeders(tables, as_of, starts)
+    bred = breeders(tables, as_of, common=common)
     horse = horse.join(bred, "breeder_id", "left").drop("breeder_id")
     static = tables.races.select("race_id", *STATIC_SOURCES)
     race = race_context(tables, rows_per_task).join(static, "race_id", "left")
@@ -85,7 +87,11 @@ def race_features(
 
 
 def assemble_new_races(
-    tables: RacingTables, upcoming: DataFrame, as_of, starts: DataFrame = None
+    tables: RacingTables,
+    upcoming: DataFrame,
+    as_of,
+    starts: DataFrame = None,
+    common: SharedCounts = None,
 ) -> DataFrame:
     """Upcoming starters with the features of their horse, breeder and people.
 
@@ -94,12 +100,13 @@ def assemble_new_races(
     of the trainer entered.
     """
     starts = asof_starts(tables, as_of) if starts is None else starts
+    common = common or shared_counts(tables, as_of, starts)
     horse = (
-        horse_features(tables, as_of, starts, keep=["breeder_id"])
+        horse_features(tables, as_of, keep=["breeder_id"], common=common)
         .withColumn("horse_age_years", F.col("age_years"))
         .withColumnRenamed("trainer_win_pct", "horse_trainer_win_pct")
     )
-    horse = horse.join(breeders(tables, as_of, starts), "breeder_id", "left").drop("breeder_id")
+    horse = horse.join(breeders(tables, as_of, common=common), "breeder_id", "left").drop("breeder_id")
     return (
         upcoming.join(horse, "horse_id", "left")
         .join(jockeys(tables, as_of, starts), "jockey_id", "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from paddock.functions import vocab as V
 from paddock.operators.rates import rates_by, starts_and_wins
 from paddock.plans.starts import after, as_date, asof_starts, one_year_before
 from paddock.schema import RacingTables
+from paddock.session import materialize
 
 
 def age_columns(birth_year: Column, as_of) -> list[Column]:
@@ -94,6 +97,48 @@ def horse_form(starts: DataFrame, as_of) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class SharedCounts:
+    """What the features of horses, breeders and starters of one date have in
+    common: ``form`` and ``careers`` per horse, ``trainers`` per trainer."""
+
+    form: DataFrame
+    trainers: DataFrame
+    careers: DataFrame
+
+
+def shared_counts(
+    tables: RacingTables, as_of, starts: DataFrame = None, stored: tuple[str, ...] = ()
+) -> SharedCounts:
+    """Counts of horses and trainers from one pass over the starts.
+
+    Starts are counted per (horse, trainer) and rolled up to each. ``stored`` names
+    what is written to scratch storage because it has several readers: ``form``
+    (with the pairs under it), so that records are read once, and ``careers``.
+    """
+    starts = asof_starts(tables, as_of) if starts is None else starts
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if name in stored else df
+
+    recent = after(F.col("race_date"), one_year_before(as_of))
+    pairs = starts.groupBy("horse_id", "trainer_id").agg(
+        F.count(F.lit(1)).alias("starts"),
+        F.count_if(S.is_win()).alias("wins"),
+        F.max("race_date").alias("last_date"),
+        F.count_if(recent).alias("starts_1yr"),
+        F.count_if(recent & S.is_win()).alias("wins_1yr"),
+    )
+    pairs = keep(pairs, "form")
+    sums = [F.sum(c).alias(c) for c in ("starts", "wins", "starts_1yr", "wins_1yr")]
+    form = pairs.groupBy("horse_id").agg(*sums, F.max("last_date").alias("last_date"))
+    return SharedCounts(
+        keep(form, "form"),
+        pairs.groupBy("trainer_id").agg(*sums[:2]),
+        keep(career_sums(tables, as_of), "careers"),
+    )
+
+
 def _recent_columns(as_of) -> list[Column]:
     def known(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0).cast("long"))
@@ -113,12 +158,14 @@ def _recent_columns(as_of) -> list[Column]:
     ]
 
 
-def horses_recent(tables: RacingTables, as_of, starts: DataFrame = None) -> DataFrame:
-    starts = asof_starts(tables, as_of) if starts is None else starts
-    form = horse_form(starts, as_of).select("horse_id", "last_date")
+def horses_recent(
+    tables: RacingTables, as_of, starts: DataFrame = None, common: SharedCounts = None
+) -> DataFrame:
+    common = common or shared_counts(tables, as_of, starts)
+    form = common.form.select("horse_id", "last_date")
     return (
         tables.horses.select("horse_id")
-        .join(career_sums(tables, as_of), "horse_id", "left")
+        .join(common.careers, "horse_id", "left")
         .join(form, "horse_id", "left")
         .select("horse_id", *_recent_columns(as_of))
     )
@@ -153,24 +200,26 @@ def _role_columns() -> list[Column]:
     return out
 
 
-def with_roles(horses: DataFrame, starts: DataFrame) -> DataFrame:
+def with_roles(horses: DataFrame, common: SharedCounts) -> DataFrame:
     """Attach raw counts of sire, dam, trainer and breeder to every horse.
 
     Sire and dam look up the same per-horse counts, so restricting those to
     parents first would only add a join. All lookups happen at horse grain.
     """
-    own = starts_and_wins(starts, "horse_id", "", pct=False)
-    people = starts_and_wins(starts, "trainer_id", "", pct=False)
+    own = common.form.select("horse_id", "starts", "wins")
+    people = common.trainers.where(F.col("trainer_id").isNotNull())
     out = _with_role(horses, own, "sire")
     out = _with_role(out, own, "dam")
     out = _with_role(out, people, "trainer")
     return _with_role(out, breeder_form(horses, own), "breeder")
 
 
-def horses_perf(tables: RacingTables, as_of, starts: DataFrame = None) -> DataFrame:
-    starts = asof_starts(tables, as_of) if starts is None else starts
+def horses_perf(
+    tables: RacingTables, as_of, starts: DataFrame = None, common: SharedCounts = None
+) -> DataFrame:
+    common = common or shared_counts(tables, as_of, starts)
     keys = tables.horses.select("horse_id", *ROLES.values())
-    return with_roles(keys, starts).select("horse_id", *_role_columns())
+    return with_roles(keys, common).select("horse_id", *_role_columns())
 
 
 def sire_progeny(tables: RacingTables, parent: str = "father_id") -> DataFrame:
@@ -185,18 +234,23 @@ def sire_progeny(tables: RacingTables, parent: str = "father_id") -> DataFrame:
 
 # ---- assembly ---------------------------------------------------------------
 def horse_features(
-    tables: RacingTables, as_of, starts: DataFrame = None, keep: list[str] = ()
+    tables: RacingTables,
+    as_of,
+    starts: DataFrame = None,
+    keep: list[str] = (),
+    common: SharedCounts = None,
 ) -> DataFrame:
     """41 columns per horse; horses without any career row drop out.
 
     Everything is joined at horse grain from pre-aggregated counts. ``keep``
-    adds plain HORSES columns for callers that look further things up.
+    adds plain HORSES columns for callers that look further things up; ``common``
+    takes stored counts that other features of the date use as well.
     """
-    starts = asof_starts(tables, as_of) if starts is None else starts
-    form = horse_form(starts, as_of).select("horse_id", "last_date")
+    common = common or shared_counts(tables, as_of, starts)
+    form = common.form.select("horse_id", "last_date")
     base = tables.horses.select("horse_id", *ROLES.values(), *CODED, "birth_year")
-    known = base.join(career_sums(tables, as_of), "horse_id").join(form, "horse_id", "left")
-    return with_roles(known, starts).select(
+    known = base.join(common.careers, "horse_id").join(form, "horse_id", "left")
+    return with_roles(known, common).select(
         "horse_id",
         *keep,
         *age_columns(F.col("birth_year"), as_of),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from paddock.functions import scalars as S
 from paddock.functions import vocab as V
 from paddock.operators.rates import band_families, rates_by, share, surface_families
-from paddock.plans.horses import career_sums, horse_form
+from paddock.plans.horses import SharedCounts, shared_counts
 from paddock.plans.starts import as_date, asof_starts
 from paddock.schema import RacingTables
 
@@ -64,16 +64,18 @@ def trainers(tables: RacingTables, as_of, starts: DataFrame = None) -> DataFrame
     )
 
 
-def breeders(tables: RacingTables, as_of, starts: DataFrame = None) -> DataFrame:
+def breeders(
+    tables: RacingTables, as_of, starts: DataFrame = None, common: SharedCounts = None
+) -> DataFrame:
     """Progeny volume, success and last-year form per breeder.
 
     Starts are first counted per horse, so the breeder roll-up joins two
     horse-grain tables instead of every start.
     """
-    starts = asof_starts(tables, as_of) if starts is None else starts
-    form = horse_form(starts, as_of).select("horse_id", "starts_1yr", "wins_1yr")
+    common = common or shared_counts(tables, as_of, starts)
+    form = common.form.select("horse_id", "starts_1yr", "wins_1yr")
     owned = tables.horses.where(F.col("breeder_id").isNotNull()).select("horse_id", "breeder_id")
-    career = career_sums(tables, as_of).select(
+    career = common.careers.select(
         "horse_id", "career_starts", "career_wins", "total_earnings", F.lit(1).alias("_ran")
     )
     progeny = owned.join(career, "horse_id", "left").join(form, "horse_id", "left")

@@ -15,6 +15,9 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Splits the hot partitions of a shuffled join at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles a method of more bytecode; the projection of a wide
+    # feature table is then better cut into several methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -559,7 +559,8 @@ HORSE_CTES = f"""{STARTS}, {ANNUAL}, hb AS ({HORSES_BASE}), hp AS ({HORSES_PERF}
 
 @query("horse_features", f"WITH {HORSE_CTES} {HORSE_FEATURES}", f"{RR} horses horse_careers")
 def _(spark, sf):
-    return horses.horse_features(racing(spark, sf), AS_OF)
+    t = racing(spark, sf)
+    return horses.horse_features(t, AS_OF, common=horses.shared_counts(t, AS_OF, stored=("form",)))
 
 
 BREEDERS_SQL = f"""
@@ -713,7 +714,9 @@ FEATURE_CTES = f"""{HORSE_CTES}, hf AS ({HORSE_FEATURES}), js AS ({JOCKEY_SQL}),
 def _(spark, sf):
     t = racing(spark, sf)
     # Jockeys, trainers and breeders all read the starts: join them once.
-    return assembly.race_features(t, AS_OF, materialize(asof_starts(t, AS_OF), "starts"))
+    starts = materialize(asof_starts(t, AS_OF), "starts")
+    common = horses.shared_counts(t, AS_OF, starts, stored=("form", "careers"))
+    return assembly.race_features(t, AS_OF, starts, common=common)
 
 
 # ---- upcoming starters ------------------------------------------------------
@@ -749,4 +752,5 @@ def upcoming(tables):
 def _(spark, sf):
     t = racing(spark, sf)
     starts = materialize(asof_starts(t, AS_OF), "starts")
-    return assembly.assemble_new_races(t, upcoming(t), AS_OF, starts)
+    common = horses.shared_counts(t, AS_OF, starts, stored=("form", "careers"))
+    return assembly.assemble_new_races(t, upcoming(t), AS_OF, starts, common)

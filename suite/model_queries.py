@@ -10,7 +10,7 @@ from paddock import schema
 from paddock.functions import scalars as S
 from paddock.ml import metrics, registry, score, train
 from paddock.plans.first_version import race_features_v1
-from paddock.plans.horses import horse_features
+from paddock.plans.horses import horse_features, shared_counts
 from paddock.plans.assembly import race_features
 from paddock.plans.starts import after, asof_starts
 from paddock.session import materialize, scratch_path
@@ -30,9 +30,9 @@ from suite.registry import dbl, query, rnd
     f"{RR} horses horse_careers horse_rating_labels",
 )
 def _(spark, sf):
-    joined = train.join_labels(
-        horse_features(racing(spark, sf), AS_OF), view(spark, sf, "horse_rating_labels"), AS_OF
-    )
+    t = racing(spark, sf)
+    features = horse_features(t, AS_OF, common=shared_counts(t, AS_OF, stored=("form",)))
+    joined = train.join_labels(features, view(spark, sf, "horse_rating_labels"), AS_OF)
     return joined.select("horse_id", "age_years", "career_starts", "sire_win_pct", "rating_score")
 
 
@@ -252,8 +252,8 @@ def place_sql(rows: str, share: float) -> str:
 
 
 def place_row(spark, trained: train.Trained):
-    """``better``: more places are right, or they are given more probability than
-    a uniform guess gives them, and starters are told apart better than by chance."""
+    """``better``: as many places are right as with the most frequent one, or they
+    are given more probability than an even guess gives them."""
     b, m = trained.baseline, trained.metrics
     better = m["accuracy"] >= b["majority_accuracy"] or m["log_loss"] < math.log(len(trained.labels))
     row = (b["rows_train"], b["rows_eval"], ",".join(trained.labels), b["majority_accuracy"], better)
@@ -280,7 +280,8 @@ RAN = """SELECT r.race_id, r.horse_id, r.finish_place FROM race_records r JOIN h
 def _(spark, sf):
     t = racing(spark, sf)
     starts = materialize(asof_starts(t, AS_OF), "starts")
-    return place_row(spark, train.train_place_v2(race_features(t, AS_OF, starts)))
+    common = shared_counts(t, AS_OF, starts, stored=("form", "careers"))
+    return place_row(spark, train.train_place_v2(race_features(t, AS_OF, starts, common=common)))
 
 
 # A line through one input has a closed form; all inputs are trained beside it.
@@ -303,9 +304,9 @@ LINE = f"""l AS (SELECT h.horse_id, CAST(h.age_years AS DOUBLE) AS x, l.rating_s
 )
 def _(spark, sf):
     t = racing(spark, sf)
-    starts = materialize(asof_starts(t, AS_OF), "starts")
+    common = shared_counts(t, AS_OF, stored=("form",))
     labels = view(spark, sf, "horse_rating_labels")
-    rows = materialize(train.join_labels(horse_features(t, AS_OF, starts), labels, AS_OF), "rated")
+    rows = materialize(train.join_labels(horse_features(t, AS_OF, common=common), labels, AS_OF), "rated")
     full = train.train_rating(rows)
     line = train.train_rating(rows.select("horse_id", "age_years", "rating_score"), l2=0.0).metrics
     b = full.baseline
