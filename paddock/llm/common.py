@@ -15,8 +15,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def prepared(spark: SparkSession) -> SparkSession:
     """Runtime settings of this subpackage: Arrow batches of few rows, because a
-    row may hold a very long text."""
+    row may hold a very long text, and Spark's own limit for generated methods."""
     tune(spark)
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     return spark
 
