@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from paddock.plans.ingest import clean_folder, ingest_folder
+from paddock.plans.ingest import clean_masters, ingest_folder
 from paddock.sources import files
 
 
 def run_feed(spark: SparkSession, landing: str, lake: str, prefix: str, stamp: str) -> dict:
-    """Run the stages in order. Every stage may be repeated after a failure: the
-    clean stage skips an existing output, and merges only touch known rows."""
-    master = files.master_name(prefix, stamp)
-    cleaned = prefix + "CLEANED_" + master.removeprefix(prefix)
-    merged = files.merge_shards(spark, f"{landing}/{prefix}", f"{landing}/{master}")
-    clean = clean_folder(spark, f"{landing}/{master}", f"{landing}/{cleaned}") if merged else {}
+    """Run the stages in order. Every stage may be repeated after a failure, with
+    the same stamp or another: shards are merged once, every finished master that
+    is not cleaned is, and every cleaned one is ingested once."""
+    folder = f"{landing}/{prefix}"
+    ledger = f"{lake}/merged_shards/{prefix.rstrip('/')}"
+    merged = files.merge_shards(spark, folder, f"{landing}/{files.master_name(prefix, stamp)}", ledger=ledger)
+    clean = clean_masters(spark, folder.rstrip("/"))
     return {"merged": merged, "clean": clean, "ingest": ingest_folder(spark, landing, lake, prefix)}

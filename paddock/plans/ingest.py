@@ -7,22 +7,11 @@ from pyspark.sql import functions as F
 
 from paddock import schema
 from paddock.functions import scalars as S
-from paddock.operators.merge import merge_counts, merge_touch_or_insert
+from paddock.operators.merge import merge_touch_or_insert
+from paddock.schema import KEYS
 from paddock.session import materialize
 from paddock.sources import files, ndjson
-from paddock.sources.tables import VersionedTable
-
-# Merge key of every base table.
-KEYS = {
-    "horses": ["horse_id"],
-    "horse_careers": ["horse_id", "race_year", "race_type"],
-    "races": ["race_id"],
-    "race_records": ["race_record_id"],
-    "jockeys": ["jockey_id"],
-    "trainers": ["trainer_id"],
-    "breeders": ["breeder_id"],
-}
-
+from paddock.sources.tables import VersionedTable, base_table
 
 def staged_horses(staged: DataFrame) -> DataFrame:
     return staged.drop("career", "races")
@@ -108,37 +97,59 @@ FEEDS = {
 }
 
 
+def new_units(spark: SparkSession, folder: str, done: DataFrame) -> list:
+    """Cleaned inputs of a folder that ``done`` does not name: ``unit, created``.
+
+    A unit is a file, or a directory of part files that a job has finished; one
+    that is still being written waits for a later run. Units are told by name, not
+    by time, so one that is committed late is not missed.
+    """
+    listing = files.discover_new_files(spark, folder)
+    unit = F.regexp_replace("path", r"/part-[^/]*$", "").alias("unit")
+    parts = F.bool_or(F.col("path").rlike(r"/part-[^/]*$")).alias("parts")
+    units = listing.groupBy(unit).agg(parts, F.max("created").alias("created"))
+    found = units.join(done.select("unit"), "unit", "left_anti").orderBy("unit").collect()
+    return [u for u in found if not u.parts or files.committed(spark, u.unit)]
+
+
 def ingest_folder(spark: SparkSession, landing: str, lake: str, prefix: str) -> dict:
     """Ingest the new cleaned files under one prefix; returns the merge counts.
 
-    All new files are loaded as one batch. The watermark moves only after every
-    table is written, so a failed run is simply repeated.
+    All new files are loaded as one batch. What was ingested is noted, and the
+    watermark moved, only after every table is written, so a failed run is simply
+    repeated.
     """
     if prefix not in FEEDS:
         raise ValueError(f"unknown prefix {prefix!r}; expected one of {sorted(FEEDS)}")
     staged_schema, targets, budget = FEEDS[prefix]
-    meta = VersionedTable(spark, f"{lake}/ingestion_metadata", schema.INGESTION_METADATA)
-    seen = meta.read().where(F.col("prefix") == prefix).agg(F.max("last_processed_time")).first()[0]
-    new = files.discover_new_files(spark, f"{landing}/{prefix}", seen)
-    # Names of the new inputs, one per file or directory of part files.
-    unit = F.regexp_replace("path", r"/part-[^/]*$", "").alias("path")
-    found = new.groupBy(unit).agg(F.max("created").alias("created")).collect()
+    ingested = VersionedTable(spark, f"{lake}/ingested_units/{prefix.rstrip('/')}", schema.INGESTED_UNITS)
+    done = ingested.read()
+    found = new_units(spark, f"{landing}/{prefix}", done)
     if not found:
         return {"processed_files": 0}
     # Staged once in columns: each target then reads only its own part.
-    loaded = ndjson.load_with_bad_budget(spark, [f.path for f in found], staged_schema, budget)
-    staged = materialize(loaded, "staged")
+    staged = ndjson.load_with_bad_budget(spark, [u.unit for u in found], staged_schema, budget)
     result = {"processed_files": len(found)}
     for name, project in targets.items():
-        table = VersionedTable(spark, f"{lake}/{name}", schema.BASE_TABLES[name])
-        target, source = table.read(), project(staged)
-        result[name] = merge_counts(target, source, KEYS[name]).first().asDict()
-        table.write(upsert(target, source, name, F.current_timestamp()))
-    marks = spark.createDataFrame([(prefix, max(f.created for f in found))], "prefix string, created timestamp")
+        result[name] = base_table(spark, lake, name).merge(project(staged), F.current_timestamp())
+    meta = VersionedTable(spark, f"{lake}/ingestion_metadata", schema.INGESTION_METADATA)
+    marks = spark.createDataFrame([(prefix, max(u.created for u in found))], "prefix string, created timestamp")
     meta.write(advance_watermark(meta.read(), marks))
+    ingested.write(done.unionByName(spark.createDataFrame([(u.unit, u.created) for u in found], schema.INGESTED_UNITS)))
+    ingested.expire(keep=2)
     return result
 
 
+def clean_masters(spark: SparkSession, folder: str) -> dict:
+    """Clean every finished master of a folder that is not cleaned yet; returns the
+    sums of their statistics, nothing if there was none."""
+    total = {}
+    for name in files.masters_to_clean(spark, folder):
+        for key, n in clean_folder(spark, f"{folder}/{name}", f"{folder}/CLEANED_{name}").items():
+            total[key] = total.get(key, 0) + n
+    return total
+
+
 def clean_folder(spark: SparkSession, master: str, out: str) -> dict:
     """Clean one master directory into ``out``; does nothing when that is done.
 

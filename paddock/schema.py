@@ -59,6 +59,7 @@ TRAINERS = _struct(
 )
 BREEDERS = _struct(f"breeder_id bigint, name string, city string, {AUDIT}")
 INGESTION_METADATA = _struct("prefix string, last_processed_time timestamp")
+INGESTED_UNITS = _struct("unit string, created timestamp")
 
 # Staged documents as the normalizers emit them.
 STAGED_RACE = _struct(
@@ -163,6 +164,17 @@ BASE_TABLES = {
     "breeders": BREEDERS,
 }
 
+# Merge key of every base table.
+KEYS = {
+    "horses": ["horse_id"],
+    "horse_careers": ["horse_id", "race_year", "race_type"],
+    "races": ["race_id"],
+    "race_records": ["race_record_id"],
+    "jockeys": ["jockey_id"],
+    "trainers": ["trainer_id"],
+    "breeders": ["breeder_id"],
+}
+
 
 def with_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project onto a fixed schema: cast what is there, NULL for what is not."""
@@ -191,7 +203,7 @@ class RacingTables:
 
     @classmethod
     def load(cls, spark: SparkSession, root: str) -> "RacingTables":
-        """Open the newest committed version of every table under ``root``."""
-        from paddock.sources.tables import VersionedTable
+        """Open every table under ``root`` with all its committed merges."""
+        from paddock.sources.tables import base_table
 
-        return cls(**{n: VersionedTable(spark, f"{root}/{n}", s).read() for n, s in BASE_TABLES.items()})
+        return cls(**{name: base_table(spark, root, name).read() for name in BASE_TABLES})

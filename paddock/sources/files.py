@@ -26,10 +26,39 @@ def list_files(spark: SparkSession, prefix: str) -> DataFrame:
     return reader.load(prefix).select("path", F.col("modificationTime").alias("created"), "length")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _hadoop(spark, path)
+    return fs.exists(at)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Leave an empty file as a mark."""
+    fs, at = _hadoop(spark, path)
+    fs.createNewFile(at)
+
+
+def children(spark: SparkSession, folder: str, pattern: str) -> list[tuple[str, bool]]:
+    """Name and whether it is a directory, of what lies in a folder."""
+    fs, at = _hadoop(spark, f"{folder.rstrip('/')}/{pattern}")
+    return [(s.getPath().getName(), s.isDirectory()) for s in fs.globStatus(at) or []]
+
+
 def committed(spark: SparkSession, folder: str) -> bool:
     """Whether a job has finished writing a folder."""
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+    return exists(spark, f"{folder}/_SUCCESS")
+
+
+def masters_to_clean(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the finished masters in a folder that have no finished clean form.
+    Masters are plain files or directories that a job wrote."""
+    found = children(spark, folder, "MASTERFILE_*.ndjson")
+    ready = [name for name, directory in found if not directory or committed(spark, f"{folder}/{name}")]
+    return [name for name in ready if not committed(spark, f"{folder}/CLEANED_{name}")]
 
 
 def select_new_files(listing: DataFrame, watermark=None) -> DataFrame:
@@ -57,19 +86,48 @@ def shard_lines(spark: SparkSession, prefix: str, pattern: str = SHARD_PATTERN)
 
 
 def merge_shards(
-    spark: SparkSession, prefix: str, out: str, pattern: str = SHARD_PATTERN
+    spark: SparkSession, prefix: str, out: str, pattern: str = SHARD_PATTERN, ledger: str = None
 ) -> int:
     """Write the lines of all matching shards as one master directory.
 
     The unit is a directory that many tasks write, not one file. Shards are
     left in place. Returns the number of shards; 0 writes nothing. A master that
     is already finished stays as it is, half of one is written anew.
+
+    With ``ledger``, a folder that remembers the shards of each master, shards of
+    earlier masters are left out, and their lines are not read again. What a
+    master holds is noted before it is written and counts once it is finished.
     """
     name = base_name(F.col("path"))
-    merged = list_files(spark, prefix).where(name.rlike(pattern)).select(name).distinct().count()
-    if merged and not committed(spark, out):
-        shard_lines(spark, prefix, pattern).select("line").write.mode("overwrite").text(out)
-    return merged
+    found = list_files(spark, prefix).where(name.rlike(pattern)).select("path", name.alias("shard"))
+    if ledger is None:
+        merged = found.select("shard").distinct().count()
+        if merged and not committed(spark, out):
+            shard_lines(spark, prefix, pattern).select("line").write.mode("overwrite").text(out)
+        return merged
+    note = f"{ledger}/{out.rsplit('/', 1)[1]}"
+    if not committed(spark, out):
+        known = merged_paths(spark, ledger, out.rsplit("/", 1)[0])
+        new = found if known is None else found.join(known, "path", "left_anti")
+        new.write.mode("overwrite").parquet(note)
+        # Names of the new files only, which any reader lists on the driver too.
+        paths = [r.path for r in spark.read.schema(found.schema).parquet(note).select("path").collect()]
+        if not paths:
+            return 0
+        spark.read.text(paths).write.mode("overwrite").text(out)
+    touch(spark, f"{note}/_MERGED")
+    return spark.read.schema(found.schema).parquet(note).select("shard").distinct().count()
+
+
+def merged_paths(spark: SparkSession, ledger: str, masters: str) -> DataFrame | None:
+    """Files that finished masters hold. A note counts if it is marked, or if a job
+    died between finishing the master and marking the note."""
+    notes = [name for name, _ in children(spark, ledger, "*")]
+    for name in notes:
+        if not exists(spark, f"{ledger}/{name}/_MERGED") and committed(spark, f"{masters}/{name}"):
+            touch(spark, f"{ledger}/{name}/_MERGED")
+    done = [f"{ledger}/{n}" for n in notes if exists(spark, f"{ledger}/{n}/_MERGED")]
+    return spark.read.schema("path string").parquet(*done) if done else None
 
 
 def master_name(prefix: str, stamp: str) -> str:

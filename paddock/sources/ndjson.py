@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paddock.session import materialize
+
 LINE, RECORD, CORRUPT = "line", "record", "_corrupt_record"
 
 
@@ -57,19 +59,21 @@ def load_with_bad_budget(
     """Typed rows of a JSON load, failing if a file has over ``max_bad`` bad ones.
 
     The bad rows are dropped, as a warehouse load with an error budget does.
-    Part files count towards the directory they belong to.
+    Part files count towards the directory they belong to. Lines are parsed once:
+    the typed rows are stored, and both the check and the caller read them there.
     """
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     lines = spark.read.text(path).where(F.trim("value") != "")
     file = F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "").alias("_file")
     parsed = lines.select(F.from_json("value", marked, options).alias("r"), file)
-    broken = F.col(f"r.{CORRUPT}").isNotNull()
-    bad = parsed.where(broken).groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    broken = F.col(CORRUPT).isNotNull().alias("_bad")
+    staged = materialize(parsed.select("r.*", "_file").select(*schema.names, "_file", broken), "staged")
+    bad = staged.where("_bad").groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     worst = bad.where(F.col("_n") > max_bad).first()
     if worst is not None:
         raise BadRecordBudgetExceeded(f"{worst._n} malformed records in {worst._file}, {max_bad} allowed")
-    return parsed.where(~broken).select("r.*").drop(CORRUPT)
+    return staged.where("NOT _bad").select(*schema.names)
 
 
 def clean_dedupe(lines: DataFrame, key: str = None) -> DataFrame:

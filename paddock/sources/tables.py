@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paddock import schema as shapes
+from paddock.operators.merge import CREATED, UPDATED, one_per_key
+from paddock.operators.ordered import join_same
 from paddock.schema import with_schema
+from paddock.session import materialize
 
 
 class VersionedTable:
@@ -24,11 +28,25 @@ class VersionedTable:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _numbers(self, kind: str, mark: str = "/_SUCCESS") -> list[int]:
+        """Numbers of the directories ``<kind>=<n>``, in order; committed ones only
+        unless another ``mark`` is asked for."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}=*{mark}")
+        paths = [s.getPath() for s in self._fs().globStatus(pattern) or []]
+        return sorted(int((p.getParent() if mark else p).getName().split("=")[1]) for p in paths)
+
+    def _claim(self) -> int:
+        """A number above all in use, that no other writer gets: creating the file
+        that stands for it succeeds only once. A dead writer's number stays unused."""
+        taken = [n for kind in ("v", "m", "_claim") for n in self._numbers(kind, "")]
+        number = max(taken, default=0) + 1
+        while not self._fs().createNewFile(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_claim={number}")):
+            number += 1
+        return number
+
     def version(self) -> int:
         """Newest committed version, 0 before the first write."""
-        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/v=*/_SUCCESS")
-        found = self._fs().globStatus(pattern) or []
-        return max([int(s.getPath().getParent().getName()[2:]) for s in found], default=0)
+        return max(self._numbers("v"), default=0)
 
     def read(self) -> DataFrame:
         version = self.version()
@@ -37,11 +55,101 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(f"{self.root}/v={version}")
 
     def write(self, df: DataFrame) -> int:
-        version = self.version() + 1
-        with_schema(df, self.schema).write.mode("overwrite").parquet(f"{self.root}/v={version}")
+        number = self._claim()
+        with_schema(df, self.schema).write.parquet(f"{self.root}/v={number}")
+        return number
+
+    def expire(self, keep: int = 1) -> None:
+        """Delete all but the newest ``keep`` committed versions, and the merges that
+        the oldest of these holds. Readers of what goes must have finished."""
+        kept = self._numbers("v")[-max(keep, 1) :]
+        for kind in ("v", "m", "_claim") if kept else ():
+            for number in self._numbers(kind, ""):
+                if number < kept[0]:
+                    self._fs().delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}={number}"), True)
+
+
+class MergedTable(VersionedTable):
+    """A table that takes touch-or-insert merges without being rewritten.
+
+    A merge writes one directory ``m=<n>``: the rows it adds, and for rows that
+    exist their keys and the time of the touch. Reading combines them with the
+    newest version below; ``compact`` writes the combination as a version, sorted
+    by key. Versions and merges are numbered in one sequence and count once they
+    are committed. Merges of one table follow one another: of two at the same time
+    neither would see the other's rows.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: list[str]):
+        super().__init__(spark, root, schema)
+        self.keys = keys
+        self.merge_schema = T.StructType(
+            [*schema.fields, T.StructField("_new", T.BooleanType()), T.StructField("_merge", T.LongType())]
+        )
+
+    def merges(self) -> DataFrame | None:
+        """Rows of the merges since the newest version, None without any."""
+        version = self.version()
+        paths = [f"{self.root}/m={n}" for n in self._numbers("m") if n > version]
+        return self.spark.read.schema(self.merge_schema).parquet(*paths) if paths else None
+
+    def _rows(self, merges: DataFrame | None) -> DataFrame:
+        base = super().read()
+        return base if merges is None else base.unionByName(merges.where("_new").select(*base.columns))
+
+    def read(self) -> DataFrame:
+        merges = self.merges()
+        rows = self._rows(merges)
+        if merges is None:
+            return rows
+        # One narrow row per touched key; small ones are broadcast by measured size.
+        touched = merges.where("NOT _new").groupBy(*self.keys).agg(F.max_by(UPDATED, "_merge").alias("_touched"))
+        joined = join_same(rows, touched, self.keys, "left")
+        return joined.withColumn(UPDATED, F.coalesce("_touched", UPDATED)).select(*rows.columns)
+
+    def merge(self, source: DataFrame, now: Column) -> dict:
+        """Touch the rows whose key ``source`` has, add its others; NULL is a key
+        too, and one row per key counts. Returns how many keys were staged, updated
+        and inserted.
+
+        Of the table only the keys are read, against the small side of a semi join,
+        and only the batch is written.
+        """
+        number = self._claim()
+        batch = materialize(one_per_key(source, self.keys), "batch")
+        old = self._rows(self.merges()).select(*self.keys)
+        known = join_same(old, batch.select(*self.keys), self.keys, "left_semi").distinct()
+        marked = join_same(batch, known.withColumn("_known", F.lit(True)), self.keys, "left")
+        new = F.col("_known").isNull()
+        fields = {
+            f.name: F.when(new, F.col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType)
+            for f in self.schema.fields
+        }
+        fields.update({k: F.col(k).cast(self.schema[k].dataType) for k in self.keys})
+        fields.update({CREATED: F.when(new, now), UPDATED: now, "_new": new, "_merge": F.lit(number).cast("long")})
+        path = f"{self.root}/m={number}"
+        marked.select(*[c.alias(n) for n, c in fields.items()]).write.parquet(path)
+        written = self.spark.read.schema(self.merge_schema).parquet(path)
+        total, added = F.count(F.lit(1)), F.count_if("_new")
+        counts = written.agg(total.alias("staged"), (total - added).alias("updated"), added.alias("inserted"))
+        return counts.first().asDict()
+
+    def compact(self, keep: int = None) -> int:
+        """Write all merges into a new version; with ``keep`` expire older ones."""
+        merges = self.merges()
+        if merges is None:
+            return self.version()
+        ordered = self.read().repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
+        version = self.write(ordered)
+        if keep:
+            self.expire(keep)
         return version
 
 
+def base_table(spark: SparkSession, lake: str, name: str) -> MergedTable:
+    return MergedTable(spark, f"{lake}/{name}", shapes.BASE_TABLES[name], shapes.KEYS[name])
+
+
 def append_history(df: DataFrame, path: str, schema: T.StructType) -> None:
     """Append run rows to a history table; absent columns are stored as NULL."""
     with_schema(df, schema).write.mode("append").parquet(path)

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from paddock import schema
+from paddock import flow, schema
 from paddock.functions import scalars as S
 from paddock.functions import vocab as V
 from paddock.operators.merge import merge_counts, merge_touch_or_insert
@@ -229,6 +229,14 @@ def stored(df, shape):
     return with_schema(df.withColumns({"created_date": old, "last_updated_date": old}), shape)
 
 
+def merged(base, name, staged):
+    """The table after one merge into its stored form."""
+    table = tables.base_table(base.sparkSession, scratch_path(base.sparkSession, "lake"), name)
+    table.write(base)
+    table.merge(staged, now())
+    return table.read()
+
+
 def stamped(df, *columns):
     return df.select(*columns, *[F.col(c).cast("string").alias(c) for c in ("created_date", "last_updated_date")])
 
@@ -254,7 +262,7 @@ HORSE_COLUMNS = "horse_id, horse_name, birth_year, horse_sex, father_id, breeder
 def _(spark, sf):
     base = view(spark, sf, "horses")
     batch = with_schema(base.withColumn("horse_id", F.col("horse_id") * 2), schema.STAGED_HORSE)
-    out = ingest.upsert(stored(base, schema.HORSES), ingest.staged_horses(batch), "horses", now())
+    out = merged(stored(base, schema.HORSES), "horses", ingest.staged_horses(batch))
     return stamped(out, *HORSE_COLUMNS.split(", "))
 
 
@@ -282,7 +290,7 @@ def _(spark, sf):
     )
     batch = base.select((F.col("horse_id") * 2).alias("horse_id"), F.array(season).alias("career"))
     staged = ingest.staged_careers(with_schema(batch, schema.STAGED_HORSE))
-    out = ingest.upsert(stored(base, schema.HORSE_CAREERS), staged, "horse_careers", now())
+    out = merged(stored(base, schema.HORSE_CAREERS), "horse_careers", staged)
     amount = F.col("prize_amounts").try_cast("double").alias("prize_amounts")
     return stamped(out, "horse_id", "race_year", "race_type", "race_count", "race_won_count", amount)
 
@@ -309,7 +317,7 @@ def _(spark, sf):
     base = view(spark, sf, "races")
     at = F.unix_millis(F.col("race_date").cast("timestamp"))
     docs = race_docs(base, race_id=F.col("race_id") * 2, race_date=at)
-    out = ingest.upsert(stored(base, schema.RACES), ingest.staged_races(docs), "races", now())
+    out = merged(stored(base, schema.RACES), "races", ingest.staged_races(docs))
     ms = F.unix_millis("race_date").alias("race_ms")
     plain = [c.strip() for c in RACE_COLUMNS.split(",") if "epoch" not in c]
     return stamped(out, ms, *plain)
@@ -342,7 +350,7 @@ def _(spark, sf):
     order = F.when(F.col("finish_place") >= 4, F.col("start_order")).otherwise(F.col("start_order") + 100)
     staged = ingest.staged_records(race_docs(base, start_order=order))
     target = stored(base.withColumn("race_record_id", key), schema.RACE_RECORDS)
-    out = ingest.upsert(target, staged, "race_records", now())
+    out = merged(target, "race_records", staged)
     text = S.record_text(F.col("horse_id"), F.col("race_id"), F.col("start_order")).alias("record")
     return stamped(out, text, "start_order", "finish_place", "jockey_weight_kg", "prize_amount", "jockey_id")
 
@@ -367,7 +375,7 @@ def _(spark, sf):
     for name, (key, first, second) in PEOPLE.items():
         base = view(spark, sf, name)
         batch = base.withColumn(key, F.col(key) * 2)
-        done = ingest.upsert(stored(base, schema.BASE_TABLES[name]), batch, name, now())
+        done = merged(stored(base, schema.BASE_TABLES[name]), name, batch)
         part = stamped(
             done,
             F.lit(name).alias("kind"),
@@ -428,6 +436,48 @@ def _(spark, sf):
     return out.select("prefix", F.unix_micros("last_processed_time").alias("last_us"))
 
 
+# Two rounds of one feed: the customers of the first nations, then all of them,
+# the second time with malformed lines between.
+EARLY = "c_nationkey < 13"
+
+
+@query(
+    "ingest_feed",
+    f"""WITH n AS (SELECT COUNT(*) AS total, CAST(SUM(CASE WHEN {EARLY} THEN 1 ELSE 0 END) AS BIGINT) AS early FROM customer),
+            r AS (SELECT COUNT(*) AS bad FROM region)
+        SELECT c_custkey AS jockey_id, c_name AS first_name, c_mktsegment AS last_name, {EARLY} AS first_round,
+               {EARLY} AS touched_since, CAST(1 AS BIGINT) AS merged, total + bad AS initial_count, total AS final_count,
+               total AS staged, early AS updated, total - early AS inserted
+        FROM customer, n, r""",
+)
+def _(spark, sf):
+    """Shards, master, cleaned file and merge, twice; the counts are the second round's."""
+    landing, lake, folder = scratch_path(spark, "landing"), scratch_path(spark, "lake"), "jockey_data/"
+    person = F.struct(
+        F.col("c_custkey").alias("jockey_id"), F.col("c_name").alias("first_name"), F.col("c_mktsegment").alias("last_name")
+    )
+    people = given(spark, sf, "customer")
+    line = F.to_json(person).alias("value")
+    bad = given(spark, sf, "region").select(F.concat(F.lit('{"jockey_id": "'), "r_name").alias("value"))
+    people.where(EARLY).select(line).write.text(f"{landing}/{folder}shard_1.ndjson")
+    first = flow.run_feed(spark, landing, lake, folder, "2025-08-03T10_00_00_000Z")
+    people.select(line).unionByName(bad).write.text(f"{landing}/{folder}shard_2.ndjson")
+    second = flow.run_feed(spark, landing, lake, folder, "2025-08-04T10_00_00_000Z")
+    counts = {"merged": second["merged"], **{k: second["clean"].get(k) for k in ("initial_count", "final_count")}}
+    counts.update(second["ingest"]["jockeys"])
+    out = tables.base_table(spark, lake, "jockeys").read()
+    early = F.col("created_date") == F.lit(out.agg(F.min("created_date")).first()[0])
+    assert first["ingest"]["jockeys"]["inserted"] == counts["updated"]
+    return out.select(
+        "jockey_id",
+        "first_name",
+        "last_name",
+        early.alias("first_round"),
+        (F.col("last_updated_date") > F.col("created_date")).alias("touched_since"),
+        *[F.lit(n).cast("long").alias(name) for name, n in counts.items()],
+    )
+
+
 # ---- normalization ----------------------------------------------------------
 # Raw career entries: purchases open a season, other events carry a prize text.
 CAREER_ROWS = """

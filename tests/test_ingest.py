@@ -187,7 +187,7 @@ def test_shards_to_tables(spark, tmp_path):
     assert again == {"processed_files": 0}
     for name in ("shard_1.ndjson", "shard_2.ndjson"):
         assert (shards / name).exists()
-    records = tables.VersionedTable(spark, f"{lake}/race_records", schema.RACE_RECORDS).read()
+    records = tables.base_table(spark, str(lake), "race_records").read()
     assert {r.prize_amount for r in records.collect()} == {238.0}
     assert records.count() == 2
     with pytest.raises(ValueError):
@@ -240,4 +240,79 @@ def test_a_feed_may_be_repeated(spark, tmp_path):
     (landing / "jockey_data" / "CLEANED_MASTERFILE_JOCKEYDATA_2025-08-03T10_00_00_000Z.ndjson").mkdir()
     assert run()["clean"]["final_count"] == 2
     assert run()["ingest"] == {"processed_files": 0}
-    assert tables.VersionedTable(spark, f"{lake}/jockeys", schema.JOCKEYS).read().count() == 2
+    assert tables.base_table(spark, str(lake), "jockeys").read().count() == 2
+
+
+def test_a_feed_takes_every_shard_once(spark, tmp_path):
+    landing, lake = tmp_path / "landing", tmp_path / "lake"
+    folder = landing / "jockey_data"
+    folder.mkdir(parents=True)
+    run = lambda stamp: flow.run_feed(spark, str(landing), str(lake), "jockey_data/", stamp)
+    read = lambda: {r.jockey_id: r for r in tables.base_table(spark, str(lake), "jockeys").read().collect()}
+    (folder / "shard_1.ndjson").write_text('{"jockey_id": 1}\n{"jockey_id": 2}\n')
+    assert run("A")["merged"] == 2 - 1
+    first = read()
+    (folder / "shard_2.ndjson").write_text('{"jockey_id": 2}\n{"jockey_id": 3}\n')
+    # A cleaned folder that is still being written waits.
+    late = folder / "CLEANED_late.ndjson"
+    late.mkdir()
+    (late / "part-0.txt").write_text('{"jockey_id": 4}\n')
+    second = run("B")
+    assert second["merged"] == 1 and second["clean"]["initial_count"] == 2
+    assert second["ingest"]["jockeys"] == {"staged": 2, "updated": 1, "inserted": 1}
+    got = read()
+    assert got[1] == first[1] and got[2].last_updated_date > first[2].last_updated_date
+    assert got[2].created_date == first[2].created_date and set(got) == {1, 2, 3}
+    # It is taken once it is finished, although its file is older than the last run.
+    (late / "_SUCCESS").write_text("")
+    third = run("C")
+    assert third["merged"] == 0 and third["ingest"]["jockeys"]["inserted"] == 1
+    assert run("C")["ingest"] == {"processed_files": 0}
+
+
+def test_a_feed_goes_on_after_a_death(spark, tmp_path):
+    landing, lake = tmp_path / "landing", tmp_path / "lake"
+    (landing / "jockey_data").mkdir(parents=True)
+    (landing / "jockey_data" / "shard_1.ndjson").write_text('{"jockey_id": 1}\n')
+    master = files.master_name("jockey_data/", "A")
+    ledger = f"{lake}/merged_shards/jockey_data"
+    merge = lambda m: files.merge_shards(spark, f"{landing}/jockey_data/", f"{landing}/{m}", ledger=ledger)
+    assert merge(master) == 1
+    # Died before the note was marked: the finished master still counts, with any stamp.
+    os.remove(f"{ledger}/{master.split('/')[1]}/_MERGED")
+    assert merge(files.master_name("jockey_data/", "B")) == 0
+    # Died before the master was finished: its shards go to the next one.
+    (landing / "jockey_data" / "shard_2.ndjson").write_text('{"jockey_id": 2}\n')
+    third = files.master_name("jockey_data/", "C")
+    assert merge(third) == 1
+    os.remove(f"{landing}/{third}/_SUCCESS")
+    os.remove(f"{ledger}/{third.split('/')[1]}/_MERGED")
+    out = flow.run_feed(spark, str(landing), str(lake), "jockey_data/", "D")
+    assert out["merged"] == 1 and out["clean"]["final_count"] == 2
+    assert out["ingest"]["jockeys"] == {"staged": 2, "updated": 0, "inserted": 2}
+
+
+def test_merges_are_stored_beside_the_table(spark, tmp_path):
+    table = tables.MergedTable(spark, str(tmp_path / "t"), schema.HORSE_CAREERS, schema.KEYS["horse_careers"])
+    shape = "horse_id bigint, race_year bigint, race_type string, race_count bigint"
+    at = lambda year: F.lit(f"{year}-01-01").cast("timestamp")
+    whole = spark.range(50_000).select(F.col("id").alias("horse_id"), F.lit(2020).cast("long").alias("race_year"),
+                                       F.lit(None).cast("string").alias("race_type"), F.lit(1).cast("long").alias("race_count"))
+    assert table.merge(whole, at(2021)) == {"staged": 50_000, "updated": 0, "inserted": 50_000}
+    assert table.compact() == table.version()
+    batch = spark.createDataFrame([(7, 2020, None, 9), (7, 2020, "x", 3), (7, 2020, "x", 2)], shape)
+    assert table.merge(batch, at(2022)) == {"staged": 2, "updated": 1, "inserted": 1}
+    assert table.merge(batch, at(2023)) == {"staged": 2, "updated": 2, "inserted": 0}
+    size = lambda kind: sum(f.stat().st_size for f in (tmp_path / "t").glob(f"{kind}=*/*.parquet") if int(f.parent.name[2:]) >= table.version())
+    assert size("m") < size("v") / 2
+    old = table.read()
+    assert old.count() == 50_001
+    seven = {r.race_type: r for r in old.where("horse_id = 7").collect()}
+    assert (seven[None].race_count, seven[None].created_date.year, seven[None].last_updated_date.year) == (1, 2021, 2023)
+    assert (seven["x"].race_count, seven["x"].created_date.year, seven["x"].last_updated_date.year) == (2, 2022, 2023)
+    before = rows(old)
+    table.compact(keep=1)
+    assert table.merges() is None and rows(table.read()) == before
+    assert len(list((tmp_path / "t").glob("v=*"))) == 1 and not list((tmp_path / "t").glob("m=*"))
+    # Another writer's number is never taken.
+    assert table._claim() < table._claim()
