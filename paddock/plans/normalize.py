@@ -136,6 +136,14 @@ def _finish_place(place: Column) -> Column:
     return F.when(place > 0, text).otherwise("UNKNOWN")
 
 
+def _prize_text(prize: Column) -> Column:
+    """Text of a prize that is a JSON number or text; NULL for the number zero, an
+    empty text, ``false`` and ``null``."""
+    text, number = F.try_variant_get(prize, "$", "string"), F.try_variant_get(prize, "$", "double")
+    quoted = F.to_json(prize).startswith('"')
+    return F.when(quoted, S.blank_to_null(text)).when(number.isNull() | (number != 0), text)
+
+
 def race_entry(r: Column) -> Column:
     """One raw race entry as a staged struct; zero and empty become NULL."""
     race = r["race"]
@@ -147,7 +155,7 @@ def race_entry(r: Column) -> Column:
         "start_order": number(r["order"]),
         "finish_place": _finish_place(r["place"]),
         "jockey_weight_kg": zero(r["jockeyWeight"]),
-        "prize_amount": text(F.when(r["prize"] != "0", r["prize"])),
+        "prize_amount": _prize_text(r["prize"]),
         "prize_currency": text(race["currency"]["code"]),
         "jockey_id": number(r["jockey"]["id"]),
         "trainer_id": number(r["trainer"]["id"]),

@@ -105,7 +105,9 @@ RAW_RACE_EVENT = _struct(
 )
 RAW_RACES = T.ArrayType(
     _struct(
-        "order bigint, place double, jockeyWeight double, prize string",
+        "order bigint, place double, jockeyWeight double",
+        # A number or a text: the number 0.0 is no prize, the text "0" is one.
+        prize=T.VariantType(),
         horse=_ID,
         jockey=_ID,
         trainer=_ID,

@@ -541,48 +541,64 @@ def _(spark, sf):
     return normalize.normalize_career_rows(over(spark, sf, CAREER_ROWS), ["horse_id"], ["ts", "pos"])
 
 
-# Raw documents: one per starter, with zeros and blanks where they are dropped.
-RAW_STARTS = """
-SELECT l_orderkey AS race_id, l_partkey AS horse_id, l_suppkey AS jockey_id, CAST(l_linenumber - 1 AS BIGINT) AS start_order,
-       CAST(l_linenumber - 2 AS DOUBLE) AS place, l_quantity AS weight, CAST(ROUND(l_extendedprice) AS BIGINT) AS prize,
-       CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag END AS weather, l_linestatus AS currency, l_shipdate AS raced_at
-FROM lineitem
-"""
+# Raw documents: one per starter. Every field is zero or blank, absent, or filled.
+RAW_NUMBERS = {
+    "horse_id": "horse.id", "race_id": "race.id", "start_order": "order", "jockey_id": "jockey.id",
+    "trainer_id": "trainer.id", "race_number": "race.number", "race_date": "race.date",
+    "track_distance_m": "race.trackDistance", "category_id": "race.category.id",
+}
+RAW_DECIMALS = {"jockey_weight_kg": "jockeyWeight", "temperature_c": "race.temperature"}
+RAW_TEXTS = {
+    "prize_currency": "race.currency.code", "race_name": "race.name", "video_url": "race.video",
+    "weather": "race.weather", "race_group": "race.group", "subtype": "race.subType",
+    "category_breed": "race.category.horseBreed", "category_name": "race.category.name",
+    "country_code": "race.country.alfa3", "city_name": "race.city.name", "track_type": "race.trackType.name",
+    "race_rules": "race.fullConditions", "payments": "race.payments", "race_style": "race.style.name",
+}
+
+
+def raw_case(i: int, low: str, kind: str, filled: str) -> str:
+    """SQL of the i-th raw field, each with a cycle of its own."""
+    place = f"(l_orderkey + {i} * l_linenumber) % {3 + i % 5}"
+    return f"CASE {place} WHEN 0 THEN {low} WHEN 1 THEN CAST(NULL AS {kind}) ELSE {filled} END"
+
+
+RAW_COLUMNS = ", ".join(
+    [f"{raw_case(i, '0', 'BIGINT', f'CAST(l_partkey + {i} AS BIGINT)')} AS {n}" for i, n in enumerate(RAW_NUMBERS)]
+    + [f"{raw_case(i, '0e0', 'DOUBLE', f'l_quantity - 20.5e0 - {i}')} AS {n}" for i, n in enumerate(RAW_DECIMALS)]
+    + [raw_case(i, "''", "VARCHAR(40)", f"CONCAT('{n} ', CAST(l_suppkey AS VARCHAR(20)))") + f" AS {n}" for i, n in enumerate(RAW_TEXTS)]
+)
+RAW_STARTS = f"""SELECT {RAW_COLUMNS}, CAST(l_linenumber - 2 AS DOUBLE) AS place, l_linenumber AS line,
+    CAST(CAST(ROUND(l_extendedprice) AS BIGINT) AS VARCHAR(20)) AS price FROM lineitem"""
+# JSON of the prize: numbers and texts, zero as both, blank and null.
+RAW_PRIZE = """CASE line WHEN 1 THEN price WHEN 2 THEN CONCAT('"', price, ' PLN"') WHEN 3 THEN '0.0' WHEN 4 THEN '"0"'
+    WHEN 5 THEN '""' WHEN 6 THEN 'null' ELSE '0' END"""
 
 
 @query(
     "normalize_races",
-    f"""WITH s AS ({RAW_STARTS}) SELECT NULLIF(horse_id, 0) AS horse_id, NULLIF(race_id, 0) AS race_id,
-        NULLIF(start_order, 0) AS start_order,
+    f"""WITH s AS ({RAW_STARTS}) SELECT {", ".join(f"NULLIF({n}, 0) AS {n}" for n in [*RAW_NUMBERS, *RAW_DECIMALS])},
+        {", ".join(f"NULLIF({n}, '') AS {n}" for n in RAW_TEXTS)},
         CASE WHEN place > 0 THEN CAST(CAST(place AS BIGINT) AS VARCHAR) ELSE 'UNKNOWN' END AS finish_place,
-        weight AS jockey_weight_kg, CAST(prize AS VARCHAR) AS prize_amount, currency AS prize_currency,
-        NULLIF(jockey_id, 0) AS jockey_id, epoch_ms(raced_at) AS race_date, NULLIF(weather, '') AS weather FROM s""",
+        CASE line WHEN 1 THEN price WHEN 2 THEN CONCAT(price, ' PLN') WHEN 4 THEN '0' END AS prize_amount FROM s""",
 )
 def _(spark, sf):
-    number = lambda c: F.struct(F.col(c).alias("id"))
-    race = F.struct(
-        F.col("race_id").alias("id"),
-        F.unix_millis(F.col("raced_at").cast("timestamp")).alias("date"),
-        "weather",
-        F.struct(F.col("currency").alias("code")).alias("currency"),
-    )
-    doc = F.array(
-        F.struct(
-            number("horse_id").alias("horse"),
-            number("jockey_id").alias("jockey"),
-            F.col("start_order").alias("order"),
-            "place",
-            F.col("weight").alias("jockeyWeight"),
-            F.col("prize").cast("string").alias("prize"),
-            race.alias("race"),
-        )
-    )
-    raw = over(spark, sf, RAW_STARTS).select(F.from_json(F.to_json(doc), schema.RAW_RACES).alias("races"))
-    staged = raw.select(F.inline(normalize.normalize_races(F.col("races"))))
-    return staged.select(
-        "horse_id", "race_id", "start_order", "finish_place", "jockey_weight_kg", "prize_amount",
-        "prize_currency", "jockey_id", "race_date", "weather",
-    )
+    places = {path: name for name, path in {**RAW_NUMBERS, **RAW_DECIMALS, **RAW_TEXTS}.items()}
+    tree = {}
+    for path, name in places.items():
+        *outer, last = path.split(".")
+        at = tree
+        for part in outer:
+            at = at.setdefault(part, {})
+        at[last] = F.col(name)
+
+    def built(node):
+        return F.struct(*[(built(v) if isinstance(v, dict) else v).alias(k) for k, v in node.items()])
+
+    tree.update(place=F.col("place"), prize=F.parse_json(F.expr(RAW_PRIZE)))
+    doc = F.to_json(F.array(built(tree)))
+    raw = over(spark, sf, RAW_STARTS).select(F.from_json(doc, schema.RAW_RACES).alias("races"))
+    return raw.select(F.inline(normalize.normalize_races(F.col("races"))))
 
 
 def raw_horses(spark, sf):
@@ -616,11 +632,12 @@ def raw_horses(spark, sf):
         F.array(F.struct(F.col("p_brand").alias("name"))).alias("raceOwners"),
         F.when(size > 25, F.lit(True)).alias("horseFromPolishBreeding"),
     )
+    race = F.struct(F.col("p_retailprice").alias("prize"), F.struct(F.col("p_partkey").alias("id")).alias("race"))
     return given(spark, sf, "part").select(
         F.col("p_partkey").alias("horse_id"),
         F.from_json(F.to_json(horse), schema.RAW_HORSE).alias("horse"),
         F.from_json(F.to_json(career), schema.RAW_CAREER).alias("career"),
-        F.lit(None).cast(schema.RAW_RACES).alias("races"),
+        F.when(size > 25, F.from_json(F.to_json(F.array(race)), schema.RAW_RACES)).alias("races"),
     )
 
 
@@ -630,16 +647,25 @@ def raw_horses(spark, sf):
             CAST(p_size AS BIGINT) AS birth_year, p_type AS horse_sex, NULLIF(p_partkey % 7, 0) AS father_id,
             NULLIF(p_partkey % 25, 0) AS breeder_id, p_brand AS owner_name, p_size > 25 AS polish_breeding,
             FALSE AS foreign_training, p_retailprice AS price FROM part)
-        SELECT * EXCLUDE (price), CAST(0 AS BIGINT) AS n_races, 1975 + birth_year AS race_year, 'Sulki' AS race_type,
+        SELECT * EXCLUDE (price), CAST(CASE WHEN birth_year > 25 THEN 1 ELSE 0 END AS BIGINT) AS n_races,
+               CASE WHEN birth_year > 25 THEN horse_id END AS first_race,
+               {dbl("CASE WHEN birth_year > 25 THEN price END", "first_prize")}, 1975 + birth_year AS race_year, 'Sulki' AS race_type,
                birth_year AS race_count, {dbl("price * 4.25 + 100.5", "prize_amounts")} FROM h
         UNION ALL
-        SELECT * EXCLUDE (price), CAST(0 AS BIGINT), 1976 + birth_year, NULL, birth_year, 0 FROM h""",
+        SELECT * EXCLUDE (price), CAST(CASE WHEN birth_year > 25 THEN 1 ELSE 0 END AS BIGINT),
+               CASE WHEN birth_year > 25 THEN horse_id END, CASE WHEN birth_year > 25 THEN price END, 1976 + birth_year, NULL, birth_year, 0 FROM h""",
 )
 def _(spark, sf):
     staged = normalize.normalize_horse(raw_horses(spark, sf))
     names = "horse_id horse_name horse_country birth_year horse_sex father_id breeder_id owner_name polish_breeding foreign_training"
-    wide = staged.select(*names.split(), F.size("races").cast("long").alias("n_races"), F.inline("career"))
-    return wide.select(*names.split(), "n_races", "race_year", "race_type", "race_count", "prize_amounts")
+    first = F.get("races", F.lit(0))
+    races = [
+        F.size("races").cast("long").alias("n_races"),
+        first["race_id"].alias("first_race"),
+        first["prize_amount"].cast("double").alias("first_prize"),
+    ]
+    wide = staged.select(*names.split(), *races, F.inline("career"))
+    return wide.select(*names.split(), "n_races", "first_race", "first_prize", "race_year", "race_type", "race_count", "prize_amounts")
 
 
 @query(
@@ -647,22 +673,26 @@ def _(spark, sf):
     """SELECT 'jockey' AS kind, s_suppkey AS id, s_name AS last_name, CAST(NULL AS VARCHAR) AS first_name,
               CAST(s_nationkey AS VARCHAR) AS licence_country FROM supplier
        UNION ALL
+       SELECT 'trainer', s_suppkey, s_name, NULL, CAST(s_nationkey AS VARCHAR) FROM supplier
+       UNION ALL
        SELECT 'breeder', c_custkey, c_name, NULLIF(c_mktsegment, 'BUILDING'), NULL FROM customer""",
 )
 def _(spark, sf):
     licence = F.struct(F.col("s_nationkey").cast("string").alias("alfa3"))
     person = F.struct(F.col("s_name").alias("lastName"), F.lit("").alias("firstName"), licence.alias("licenceCountry"))
-    jockeys = normalize.normalize_person(
-        given(spark, sf, "supplier").select(F.col("s_suppkey").alias("jockey_id"), person.alias("person")), "jockey_id"
+    people = given(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), person.alias("person"))
+    jockeys, trainers = (
+        normalize.normalize_person(people.withColumnRenamed("id", f"{kind}_id"), f"{kind}_id").select(
+            F.lit(kind).alias("kind"), F.col(f"{kind}_id").alias("id"), "last_name", "first_name", "licence_country"
+        )
+        for kind in ("jockey", "trainer")
     )
     city = F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.col("c_mktsegment")).alias("city")
     breeder = F.struct(F.col("c_name").alias("name"), city).alias("breeder")
     bred = normalize.normalize_breeder(
         given(spark, sf, "customer").select(F.col("c_custkey").alias("breeder_id"), breeder)
     )
-    return jockeys.select(
-        F.lit("jockey").alias("kind"), F.col("jockey_id").alias("id"), "last_name", "first_name", "licence_country"
-    ).unionByName(
+    return jockeys.unionByName(trainers).unionByName(
         bred.select(
             F.lit("breeder").alias("kind"),
             F.col("breeder_id").alias("id"),
