@@ -64,6 +64,11 @@ def _trimmed(text: Column) -> Column:
     return F.regexp_replace(text, EDGE_SPACE, "")
 
 
+def single_amount(text: Column, kind: str = "double") -> Column:
+    """An amount stored as text; a list of amounts or any other text is NULL."""
+    return text.try_cast(kind)
+
+
 def prize_value(text: Column) -> Column:
     """Number in front of a prize text such as ``27800 PLN``; 0 if there is none.
 

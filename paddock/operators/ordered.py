@@ -7,6 +7,9 @@ and written to shared scratch space; each chunk is then windowed on its own,
 after the few rows it needs from earlier chunks have been put in front of it.
 The results equal those of one plain window per key.
 
+Finding the hot keys is a Spark job that runs while the query is built. Where it is
+known that there are none, ``rows_per_task=None`` skips it and the plan stays lazy.
+
 ``order`` must be a total order within the key (include a unique tiebreak).
 """
 
@@ -41,12 +44,15 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int) -> DataFrame:
     )
 
 
-def split_hot(df: DataFrame, keys: list[str], rows_per_task: int, sized_by: DataFrame = None):
+def split_hot(df: DataFrame, keys: list[str], rows_per_task: int | None, sized_by: DataFrame = None):
     """(light rows, hot rows, number of chunks), the last two empty without hot keys.
 
     Costs one counting pass over the key columns of ``sized_by``: a cheaper
-    table with at least as many rows per key as ``df``, or ``df`` itself.
+    table with at least as many rows per key as ``df``, or ``df`` itself. Without
+    ``rows_per_task`` nothing is counted: the caller knows that no key is hot.
     """
+    if rows_per_task is None:
+        return df, None, 0
     hot = hot_keys(df if sized_by is None else sized_by, keys, rows_per_task)
     if hot.isEmpty():
         return df, None, 0
@@ -107,7 +113,7 @@ def over_recent_rows(
     carry: list[str],
     features: Callable[[W], dict[str, Column]],
     pick: Column = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
     sized_by: DataFrame = None,
 ) -> DataFrame:
     """Add window columns that look back over at most ``n`` (picked) rows.
@@ -137,7 +143,7 @@ def percentile_per_key(
     q: float,
     name: str,
     totals: dict[str, Column] = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Exact, interpolated percentile of the non-NULL values of every key.
 

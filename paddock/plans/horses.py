@@ -56,7 +56,7 @@ def career_sums(tables: RacingTables, as_of) -> DataFrame:
         .agg(
             F.sum(races).alias("career_starts"),
             F.sum(wins).alias("career_wins"),
-            F.sum(F.col("prize_amounts").try_cast("double")).alias("total_earnings"),
+            F.sum(S.single_amount(F.col("prize_amounts"))).alias("total_earnings"),
             F.sum(F.when(recent, races)).alias("_races3"),
             F.sum(F.when(recent, wins)).alias("_wins3"),
             F.sum(F.when(current, races)).alias("_races1"),
@@ -80,6 +80,19 @@ def horses_career(tables: RacingTables, as_of) -> DataFrame:
     return career_sums(tables, as_of).select("horse_id", *_career_columns())
 
 
+def career_overview(careers: DataFrame) -> DataFrame:
+    """Per horse: its career rows, how many of them have a single amount, starts,
+    first and last year, and the mean of the wins."""
+    return careers.groupBy("horse_id").agg(
+        F.count(F.lit(1)).alias("rows_all"),
+        F.count(S.single_amount(F.col("prize_amounts"))).alias("rows_priced"),
+        F.sum("race_count").alias("starts"),
+        F.min("race_year").alias("first_year"),
+        F.max("race_year").alias("last_year"),
+        F.avg("race_won_count").alias("avg_won"),
+    )
+
+
 # ---- form -------------------------------------------------------------------
 def horse_form(starts: DataFrame, as_of) -> DataFrame:
     """Per horse: starts, wins, the last date, and the counts of the last year."""
@@ -222,6 +235,14 @@ def horses_perf(
     return with_roles(keys, common).select("horse_id", *_role_columns())
 
 
+def parent_runs(tables: RacingTables, as_of, parent: str = "father_id") -> DataFrame:
+    """Starts and wins of the horses that are a parent of another."""
+    parents = tables.horses.select(F.col(parent).alias("horse_id")).where(F.col("horse_id").isNotNull()).distinct()
+    # Counting first leaves one row per horse for the semi join.
+    own = starts_and_wins(asof_starts(tables, as_of), "horse_id", "", pct=False)
+    return own.join(parents, "horse_id", "left_semi")
+
+
 def sire_progeny(tables: RacingTables, parent: str = "father_id") -> DataFrame:
     """Starts and wins of all progeny of a parent (a self-reference of HORSES)."""
     own = starts_and_wins(tables.race_records, "horse_id", "", pct=False)

@@ -4,11 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paddock.functions import scalars as S
 from paddock.schema import RacingTables
 
 
+ENTRY = T.StructType(
+    [
+        T.StructField("horse_id", T.LongType()),
+        T.StructField("start_pos", T.LongType()),
+        T.StructField("jockey_id", T.LongType()),
+        T.StructField("jockey_weight_kg", T.DoubleType()),
+    ]
+)
+
+
+def inline_entries(cards: DataFrame, entries: str = "entries") -> DataFrame:
+    """Race cards that hold their starters in an array -> one row per starter."""
+    return cards.select(F.inline(F.col(entries).cast(T.ArrayType(ENTRY))))
+
+
+def starter_names(tables: RacingTables) -> DataFrame:
+    """Every start with the names of its horse, jockey, trainer and breeder; a name
+    that is not known is NULL."""
+    breeders = tables.breeders.select("breeder_id", F.col("name").alias("breeder_name"))
+    horses = tables.horses.select("horse_id", "horse_name", "breeder_id").join(breeders, "breeder_id", "left")
+    out = tables.race_records.select("race_record_id", "race_id", "horse_id", "jockey_id", "trainer_id")
+    out = out.join(horses, "horse_id", "left")
+    for person, df in (("jockey", tables.jockeys), ("trainer", tables.trainers)):
+        known = df.select(f"{person}_id", F.col("last_name").alias(f"{person}_last_name"))
+        out = out.join(known, f"{person}_id", "left")
+    return out.select("race_record_id", "race_id", "horse_name", "jockey_last_name", "trainer_last_name", "breeder_name")
+
+
 def _lookup(df: DataFrame, key: str, name: str, fold: bool) -> DataFrame:
     return df.where(F.col(name).isNotNull()).select(
         S.name_key(F.col(name), fold=fold).alias("_name"), key

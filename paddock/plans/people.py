@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from paddock.functions import scalars as S
 from paddock.functions import vocab as V
 from paddock.operators.rates import band_families, rates_by, share, surface_families
-from paddock.plans.horses import SharedCounts, shared_counts
+from paddock.plans.horses import SharedCounts, horses_career, shared_counts
 from paddock.plans.starts import as_date, asof_starts
 from paddock.schema import RacingTables
 
@@ -98,3 +98,13 @@ def breeders(
         # A breeder is listed once one of its progeny has a career.
         .where(F.col("breeder_progeny_count") > 0)
     )
+
+
+def breeder_progeny(tables: RacingTables, as_of) -> DataFrame:
+    """Per breeder: horses with a career, their starts and their mean earnings."""
+    owned = tables.horses.where(F.col("breeder_id").isNotNull()).select("horse_id", "breeder_id")
+    return owned.join(horses_career(tables, as_of), "horse_id").groupBy("breeder_id").agg(
+        F.count("horse_id").alias("progeny"),
+        F.sum("career_starts").alias("starts"),
+        F.avg("total_earnings").alias("avg_earnings"),
+    )

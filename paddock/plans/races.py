@@ -50,7 +50,12 @@ def races_payouts(tables: RacingTables) -> DataFrame:
     )
 
 
-def race_context(tables: RacingTables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def field_size(tables: RacingTables) -> DataFrame:
+    """Starters of every race, scratched ones included, one row per race."""
+    return tables.race_records.groupBy("race_id").agg(F.count(F.lit(1)).alias("field_size"))
+
+
+def race_context(tables: RacingTables, rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
     """Per race: starters (scratched ones included) and the median weight."""
     return percentile_per_key(
         tables.race_records.select("race_id", "jockey_weight_kg"),
@@ -63,7 +68,7 @@ def race_context(tables: RacingTables, rows_per_task: int = ROWS_PER_TASK) -> Da
     )
 
 
-def records_context(tables: RacingTables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def records_context(tables: RacingTables, rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
     """Field size and weight relative to the field, per starter.
 
     Computed per race and joined back: a window over the race would put a hot

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from paddock.operators.ordered import ROWS_PER_TASK
 from paddock.plans import assembly, first_version, horses, people, races
 from paddock.plans.starts import asof_starts
 from paddock.schema import RacingTables
 
 
-def register_views(spark: SparkSession, tables: RacingTables, as_of) -> None:
+def register_views(
+    spark: SparkSession, tables: RacingTables, as_of, rows_per_task: int | None = ROWS_PER_TASK
+) -> None:
     """Register base tables and feature sets as temporary views.
 
-    The date functions become views fixed at ``as_of``. Views are lazy and are
-    planned together with the query that reads them.
+    The date functions become views fixed at ``as_of``. Views are planned together
+    with the query that reads them, but for the keys with over ``rows_per_task``
+    rows: these are counted here, and tables that grow by much should be registered
+    again. With None nothing is counted and no job runs.
     """
     starts = asof_starts(tables, as_of)
     dated = {
@@ -25,14 +30,14 @@ def register_views(spark: SparkSession, tables: RacingTables, as_of) -> None:
         "jockey_features": people.jockeys(tables, as_of, starts),
         "trainer_features": people.trainers(tables, as_of, starts),
         "breeder_features": people.breeders(tables, as_of, starts),
-        "race_features": assembly.race_features(tables, as_of, starts),
+        "race_features": assembly.race_features(tables, as_of, starts, rows_per_task=rows_per_task),
     }
     fixed = {
         "races_base": races.races_base(tables),
         "races_payouts": races.races_payouts(tables),
-        "records_context": races.records_context(tables),
+        "records_context": races.records_context(tables, rows_per_task),
         "records_outcomes": races.records_outcomes(tables),
-        "race_features_v1": first_version.race_features_v1(tables),
+        "race_features_v1": first_version.race_features_v1(tables, rows_per_task=rows_per_task),
     }
     base = {name: getattr(tables, name) for name in tables.__dataclass_fields__}
     for name, df in {**base, **dated, **fixed}.items():

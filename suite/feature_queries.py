@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from paddock.functions import scalars as S
 from paddock.functions import vocab as V
 from paddock.operators.rates import band_families, rates_by, share, starts_and_wins, surface_families
-from paddock.plans import assembly, horses, people, races
+from paddock.plans import assembly, horses, names, people, races
 from paddock.plans.starts import after, asof_starts, one_year_before, up_to
 from paddock.session import materialize
 from suite.fixtures import AS_OF, racing, text_of, view
@@ -218,8 +218,8 @@ def _(spark, sf):
         "horse_id",
         "race_year",
         "race_type",
-        text.try_cast("double").alias("prize_amounts"),
-        text.try_cast("long").alias("prize_whole"),
+        S.single_amount(text).alias("prize_amounts"),
+        S.single_amount(text, "long").alias("prize_whole"),
     )
 
 
@@ -288,14 +288,7 @@ def _(spark, sf):
     "horse_careers",
 )
 def _(spark, sf):
-    return view(spark, sf, "horse_careers").groupBy("horse_id").agg(
-        F.count(F.lit(1)).alias("rows_all"),
-        F.count(F.col("prize_amounts").try_cast("double")).alias("rows_priced"),
-        F.sum("race_count").alias("starts"),
-        F.min("race_year").alias("first_year"),
-        F.max("race_year").alias("last_year"),
-        F.avg("race_won_count").alias("avg_won"),
-    )
+    return horses.career_overview(view(spark, sf, "horse_careers"))
 
 
 # ---- people -----------------------------------------------------------------
@@ -530,11 +523,7 @@ def _(spark, sf):
     f"{RR} horses",
 )
 def _(spark, sf):
-    t = racing(spark, sf)
-    sires = t.horses.select(F.col("father_id").alias("horse_id")).where(F.col("horse_id").isNotNull()).distinct()
-    # Counting first leaves one row per horse for the semi join.
-    own = starts_and_wins(asof_starts(t, AS_OF), "horse_id", "", pct=False)
-    return own.join(sires, "horse_id", "left_semi")
+    return horses.parent_runs(racing(spark, sf), AS_OF)
 
 
 @query(
@@ -594,14 +583,7 @@ def _(spark, sf):
     "horses horse_careers",
 )
 def _(spark, sf):
-    t = racing(spark, sf)
-    owned = t.horses.where(F.col("breeder_id").isNotNull()).select("horse_id", "breeder_id")
-    career = horses.horses_career(t, AS_OF)
-    return owned.join(career, "horse_id").groupBy("breeder_id").agg(
-        F.count("horse_id").alias("progeny"),
-        F.sum("career_starts").alias("starts"),
-        F.avg("total_earnings").alias("avg_earnings"),
-    )
+    return people.breeder_progeny(racing(spark, sf), AS_OF)
 
 
 # ---- races and starters -----------------------------------------------------
@@ -635,8 +617,8 @@ def _(spark, sf):
     "race_records",
 )
 def _(spark, sf):
-    records = view(spark, sf, "race_records").select("race_record_id", "race_id")
-    return records.join(records.groupBy("race_id").agg(F.count(F.lit(1)).alias("field_size")), "race_id")
+    t = racing(spark, sf)
+    return t.race_records.select("race_record_id", "race_id").join(races.field_size(t), "race_id")
 
 
 @query(
@@ -669,16 +651,7 @@ def _(spark, sf):
     "race_records horses jockeys trainers breeders",
 )
 def _(spark, sf):
-    t = racing(spark, sf)
-    horse = t.horses.join(t.breeders, "breeder_id", "left").select(
-        "horse_id", "horse_name", F.col("name").alias("breeder_name")
-    )
-    return (
-        t.race_records.join(horse, "horse_id", "left")
-        .join(t.jockeys.select("jockey_id", F.col("last_name").alias("jockey_last_name")), "jockey_id", "left")
-        .join(t.trainers.select("trainer_id", F.col("last_name").alias("trainer_last_name")), "trainer_id", "left")
-        .select("race_record_id", "race_id", "horse_name", "jockey_last_name", "trainer_last_name", "breeder_name")
-    )
+    return names.starter_names(racing(spark, sf))
 
 
 STATIC = RACES_BASE

@@ -11,7 +11,8 @@ from paddock.functions import scalars as S
 from paddock.functions import vocab as V
 from paddock.operators.merge import merge_counts, merge_touch_or_insert
 from paddock.plans import ingest, normalize
-from paddock.plans.races import races_base
+from paddock.plans.names import inline_entries, resolve_names
+from paddock.plans.races import field_size, races_base
 from paddock.schema import RacingTables, with_schema
 from paddock.session import scratch_path
 from paddock.sources import files, ndjson, tables
@@ -159,8 +160,7 @@ UPCOMING_COLUMNS = [f.name for f in schema.UPCOMING.fields]
 def _(spark, sf):
     t, path = racing(spark, sf), scratch_path(spark, "upcoming")
     static = races_base(t).withColumnsRenamed({c: f"race_{c}" for c in V.BREEDS.values()})
-    size = t.race_records.groupBy("race_id").agg(F.count(F.lit(1)).alias("field_size"))
-    race = static.join(t.races.select("race_id", "race_number"), "race_id").join(size, "race_id")
+    race = static.join(t.races.select("race_id", "race_number"), "race_id").join(field_size(t), "race_id")
     rows = t.race_records.join(race, "race_id").select(*UPCOMING_COLUMNS)
     rows.write.option("header", "true").csv(path)
     return files.read_upcoming_csv(spark, path)
@@ -747,8 +747,6 @@ FROM orders JOIN customer ON c_custkey = o_custkey
     "jockeys trainers",
 )
 def _(spark, sf):
-    from paddock.plans.names import resolve_names
-
     t = racing(spark, sf)
     named = given(spark, sf, "customer").select(
         F.col("c_custkey").alias("horse_id"), F.col("c_name").alias("horse_name")
@@ -775,4 +773,4 @@ def _(spark, sf):
         F.lit(weight).alias("jockey_weight_kg"),
     )
     pair = F.array(entry(1, F.col("c_nationkey"), 55.0), entry(2, F.col("c_custkey") % 100, 56.5))
-    return given(spark, sf, "customer").select(F.inline(pair))
+    return inline_entries(given(spark, sf, "customer").select(pair.alias("entries")))

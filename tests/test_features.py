@@ -147,6 +147,20 @@ def test_sql_views(spark, tables):
     assert spark.sql("SELECT payout_zwc FROM races_payouts").count() == tables.races.count()
 
 
+def test_views_start_no_job_where_no_key_is_hot(spark, tables):
+    sc = spark.sparkContext
+    try:
+        sc.setJobGroup("lazy-views", "")
+        register_views(spark, tables, AS_OF, rows_per_task=None)
+        assert not sc.statusTracker().getJobIdsForGroup("lazy-views")
+        lazy = spark.table("records_context")
+        assert lazy.count() and sc.statusTracker().getJobIdsForGroup("lazy-views")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    register_views(spark, tables, AS_OF)
+    assert rows(lazy) == rows(spark.table("records_context"))
+
+
 # ---- models -----------------------------------------------------------------
 def test_metrics_of_a_perfect_and_a_constant_model(spark):
     df = spark.range(1, 101).select(F.col("id").cast("double").alias("label"))
