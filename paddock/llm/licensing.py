@@ -1,9 +1,9 @@
 """Licence recognition by sentences and rules.
 
-A text is cut into sentences, these are normalised and mapped to identifiers of
-known licence sentences, and the sequence of identifiers is matched against
-ordered rules. A rule uses up the identifiers it matches. Expressions only, and no
-shuffle: the tables are small and fixed.
+A text is normalised, known licence sentences in it are replaced by identifiers
+however their lines are wrapped, the rest is cut into sentences, and the sequence of
+identifiers is matched against ordered rules. A rule uses up the identifiers it
+matches. Expressions only, and no shuffle: the tables are small and fixed.
 """
 
 from __future__ import annotations
@@ -86,20 +86,52 @@ SENTENCE_END = r"([.!?;])[ \t\r\n]+"
 NOISE = r"[^a-z0-9.\n-]+"
 EDGES = r"^[ .-]+|[ .-]+$"
 
+# A known sentence may go on over any line break and over ';' and ':'. Marks stand
+# for them until the known sentences are found: a break after which the sentence
+# goes on in unknown text, one that ends it there, and a ':' within a line.
+ON, END, COLON = "\x01", "\x02", "\x03"
+MARKS = ON + END + COLON
+LINES = [
+    (f"[{MARKS}]", " "),
+    (WRAPPED, f"{ON}$1"),
+    (r"\r?\n[ \t]*(?:(?:[#*/;%]+|--+)[ \t]*)?", END),
+    (rf"([{ON}{END}]\(?[0-9a-zA-Z]{{1,2}}\))[ \t]+", f"$1{ON}"),
+    (rf"([.!?])[ \t{ON}{END}]+", "$1\n"),
+    (rf";[ \t{ON}{END}]+", END),
+    (r":[ \t]+", COLON),
+]
+KEPT_NOISE = rf"[^a-z0-9.\n{MARKS}-]+"
+GAP = f"[ {MARKS}]+"
+
+
+def marked(text: Column) -> Column:
+    """Text in small letters, with the marks and with a line end after a sentence."""
+    for pattern, new in LINES:
+        text = F.regexp_replace(text, pattern, new)
+    return F.regexp_replace(F.translate(text, UPPER, LOWER), KEPT_NOISE, " ")
+
+
+def named(text: Column) -> Column:
+    """Marked text with ``<identifier>`` on a line of its own for each known sentence
+    that begins and ends at a mark or sentence end; longer ones are tried first."""
+    for sentence in sorted(SENTENCES, key=len, reverse=True):
+        words = GAP.join(w.replace(".", r"\.") for w in sentence.split())
+        pattern = rf"(?:^|[\n{ON}{END}])[ .{MARKS}-]*{words}[ .-]*(?=\z|[\n{MARKS}])"
+        text = F.regexp_replace(text, pattern, f"\n<{SENTENCES[sentence]}>\n")
+    return text
+
 
 def sentences(text: Column) -> Column:
-    """Normalised sentences: small letters, digits, inner dots and dashes."""
-    joined = F.regexp_replace(text, WRAPPED, " $1")
-    cut = F.regexp_replace(joined, SENTENCE_END, "$1\n")
-    plain = F.regexp_replace(F.translate(cut, UPPER, LOWER), NOISE, " ")
-    return F.split(plain, "\n")
+    """Known sentences as ``<identifier>``, others normalised: small letters, digits,
+    inner dots and dashes."""
+    return F.split(F.translate(named(marked(text)), END + ON + COLON, "\n  "), "\n")
 
 
 def identifiers(text: Column) -> Column:
     """Identifiers of the sentences that speak of a licence, in order."""
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    cues = F.filter(sentences(text), lambda s: s.rlike(CUE) & ~s.rlike("^[ .-]*copyright"))
-    return F.transform(cues, lambda s: F.coalesce(F.try_element_at(known, F.regexp_replace(s, EDGES, "")), F.lit(UNKNOWN)))
+    known = F.lit("<")
+    cues = F.filter(sentences(text), lambda s: s.startswith(known) | s.rlike(CUE) & ~s.rlike("^[ .-]*copyright"))
+    return F.transform(cues, lambda s: F.when(s.startswith(known), F.translate(s, "<>", "")).otherwise(F.lit(UNKNOWN)))
 
 
 def token(name: str) -> str:

@@ -287,6 +287,106 @@ def test_licences(spark, odd, none):
     assert {r["status"] for r in licensing.scanned(odd).collect()} == {"none"}
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD2 = """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+ENDORSE = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+BSD3 = BSD2.replace("THIS SOFTWARE IS", ENDORSE + "THIS SOFTWARE IS")
+GPL2 = """    This program is free software; you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation; either version 2 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License along
+    with this program; if not, write to the Free Software Foundation, Inc.,
+    51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.
+"""
+GPL3 = GPL2.replace("software;", "software:").replace("Foundation; either version 2", "Foundation, either version 3")
+APACHE = """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+
+
+def test_wrapped_licences(spark):
+    whole = {"MIT": (MIT, 2), "BSD-2-Clause": (BSD2, 1), "BSD-3-Clause": (BSD3, 1), "GPL-2.0-or-later": (GPL2, 2),
+             "GPL-3.0-or-later": (GPL3, 2), "Apache-2.0": (APACHE, 0)}
+    forms = [
+        lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: "Read this:\n" + t.replace("\n\n", "\n"),
+        *[lambda t, c=c: "".join(f"{c} {line}".rstrip() + "\n" for line in t.split("\n")) for c in ("#", " *", "//", "--", ";;")],
+        lambda t: "\n\n".join(" ".join(x.split()) for x in t.split("\n\n")), lambda t: "x = 1\n" + t.replace("1. ", "(a) ").replace("2. ", "b) ") + "\nRest.",
+    ]
+    texts = [(name, f(text)) for name, (text, _) in whole.items() for f in forms]
+    got = licensing.scanned(spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id long, name string, text string")).collect()
+    assert [(r["name"], r["text"]) for r in got if (r["licenses"], r["status"]) != (r["name"], "licensed")] == []
+    # Titles, liability and address sentences are not among the known ones.
+    assert {(r["name"], r["n_unknown"]) for r in got if (r["name"], r["text"]) in {(n, t) for n, (t, _) in whole.items()}} == {(n, u) for n, (_, u) in whole.items()}
+    part = licensing.scanned(spark.createDataFrame([(MIT.replace("hereby", "never"),), ("A title\nReleased under the MIT License.",)], "text string"))
+    assert [r["licenses"] for r in part.collect()] == ["", "MIT"]
+
+
 # Language identification
 
 
