@@ -7,6 +7,9 @@ the response. Record ids follow from content, so a repeated run writes the same.
 
 from __future__ import annotations
 
+import zlib
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,31 +28,68 @@ STRIP = [
     ),
     (r"<[a-zA-Z/!?][^>]*>", ""),
 ]
+# The references that the SQL of the query replaces; unescaped() knows all.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " ")]
 TIDY = [(r"[ \t\r\f\x{A0}]+", " "), (r" ?\n[ \n]*", "\n"), (r"^[ \n]+|[ \n]+$", "")]
 LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"'>]*)["']"""
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
-NUMBERED = r"^[0-9]{1,7};"
 
+# HTML's named references, keyed without their ';', and those that may
+# lack it. Numbers from 128 to 159 mean characters of Windows-1252.
+NAMED = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
+BARE = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+WINDOWS = {f"#{i}": bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160)}
+NAME = r"^([A-Za-z][A-Za-z0-9]{1,31});"
+BARE_NAME = f"^({'|'.join(BARE)})"
+DECIMAL = r"^#0*([0-9]{1,7})(?![0-9]);?"
+HEXADECIMAL = r"^#[xX]0*([0-9a-fA-F]{1,6})(?![0-9a-fA-F]);?"
+BUCKETS = 256
+
+
+def looked_up(key: Column) -> Column:
+    """What a reference stands for, or null. A map is searched from end to end, so
+    there are many short ones."""
+    buckets = [{} for _ in range(BUCKETS)]
+    for name, chars in (NAMED | WINDOWS).items():
+        buckets[zlib.crc32(name.encode()) % BUCKETS][name] = chars
+    maps = [F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in b.items())), F.lit("\x02"), F.lit("\x01")) for b in buckets]
+    return F.try_element_at(F.get(F.array(*maps), (F.crc32(key.cast("binary")) % BUCKETS).cast("int")), key)
+
+
+def numbered(part: Column) -> Column:
+    """The character of a decimal or hexadecimal number, or null if there is none."""
+    decimal, hexadecimal = F.regexp_extract(part, DECIMAL, 1), F.regexp_extract(part, HEXADECIMAL, 1)
+    number = F.coalesce(decimal.try_cast("int"), F.conv(F.when(hexadecimal != "", hexadecimal), 16, 10).try_cast("int"))
+    valid = (number > 0) & (number < 1114112) & ~number.between(55296, 57343)
+    char = F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32")
+    windows = looked_up(F.concat(F.lit("#"), number.cast("string")))
+    return F.when(number.between(128, 159), windows).when(valid, char)
 
-def numbered(text: Column) -> Column:
-    """Replace &#NNN; by its character; invalid numbers stay as they are."""
-    parts = F.split(text, "&#")
 
-    def one(part: Column) -> Column:
-        number = F.substring_index(part, ";", 1).cast("int")
-        valid = part.rlike(NUMBERED) & (number > 0) & (number < 1114112) & ~number.between(55296, 57343)
-        char = F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32")
-        return F.when(valid, F.concat(char, F.substring(part, F.instr(part, ";") + 1, F.length(part)))).otherwise(F.concat(F.lit("&#"), part))
+def unescaped(text: Column) -> Column:
+    """Text with its references replaced, each once, as HTML reads them outside of
+    attributes; unknown names and invalid numbers stay as they are."""
+    # By far the most common one, &amp;, does not cut the text up.
+    parts = F.split(text, "&(?!amp;)")
 
-    rest = F.transform(F.slice(parts, 2, F.size(parts)), one)
-    return F.when(F.contains(text, F.lit("&#")), F.concat(F.get(parts, F.lit(0)), F.array_join(rest, ""))).otherwise(text)
+    def plain(part: Column) -> Column:
+        return F.replace(part, F.lit("&amp;"), F.lit("&"))
 
+    def after(part: Column, n: Column) -> Column:
+        return plain(F.substring(part, n + 1, F.length(part)))
 
-def unescaped(text: Column) -> Column:
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.replace(numbered(text), F.lit("&amp;"), F.lit("&"))
+    def one(part: Column) -> Column:
+        name, bare = F.regexp_extract(part, NAME, 1), F.regexp_extract(part, BARE_NAME, 1)
+        number = F.length(F.regexp_extract(part, f"{DECIMAL}|{HEXADECIMAL}", 0))
+        return F.coalesce(
+            F.concat(looked_up(name), after(part, F.length(name) + 1)),
+            F.when(part.startswith("#"), F.concat(numbered(part), after(part, number))),
+            F.concat(looked_up(bare), after(part, F.length(bare))),
+            F.concat(F.lit("&"), plain(part)),
+        )
+
+    rest = F.transform(F.slice(parts, 2, F.size(parts)), one)
+    return F.when(F.contains(text, F.lit("&")), F.concat(plain(F.get(parts, F.lit(0))), F.array_join(rest, ""))).otherwise(text)
 
 
 def tidy(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 import gzip
 import hashlib
+import html
+import html.entities
 import math
 import random
 import re
@@ -11,9 +13,10 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from compare import duck
 from pyspark.sql import functions as F
 
-from paddock.llm import decontamination, langid, licensing, mixing, preferences, sharding, simhash, spotsigs, tokens, warc
+from paddock.llm import decontamination, langid, licensing, mixing, oracles, preferences, sharding, simhash, spotsigs, tokens, warc
 from paddock.llm.common import ascii_lower, materialize, prepared, ranked
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -571,5 +574,31 @@ def test_warc(spark, tmp_path):
     assert sorted(parsed) == sorted((r["record_id"], r["block"]) for r in rows)
 
 
+def test_references(spark):
+    texts = [f"a&{name}b" for name in html.entities.html5] + [f"a&{name[:-1]} b" for name in html.entities.html5 if name.endswith(";")]
+    texts += [f"&#{i};&#x{i:x};&#X{i:X} &#00{i}z" for i in (9, 38, 233, 8212, 65533, 128512)]
+    texts += [f"&#{i};&#x{i:x};" for i in range(128, 160)]
+    texts += ["caf&#xE9; &eacute;&mdash;&hellip;", "&amp;eacute; &amp;#233; &#38;amp; &&amp;&", "&copy2020 &notit; &notin; &", "?a=1&copy=2", "&nosuch; &; &# &#; &#x;", "", "x", None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string").select("i", warc.unescaped(F.col("t")).alias("u")).collect()
+    want = [t if t is None else html.unescape(t) for t in texts]
+    assert [(texts[r["i"]], r["u"]) for r in got if r["u"] != want[r["i"]]] == []
+    invalid = "&#0; &#xD800; &#1114112; &#x110000; &#12345678901;"
+    assert spark.createDataFrame([(invalid,)], "t string").select(warc.unescaped(F.col("t"))).first()[0] == invalid
+
+
+def test_references_of_given_pages(spark, sf):
+    """The references of the given pages, listed here on their own, and what SQL leaves."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    given = {"&amp;": "&", "&copy;": "©", "&middot;": "·"}
+    found = set(re.findall(r"&#?\w*;?", " ".join(r["html"] for r in pages.collect())))
+    assert found == set(given)
+    got = {(r["page_id"], r["warc_type"]): r["block"] for r in warc.derived(warc.page_responses(pages)).collect()}
+    sql = duck(sf).execute(oracles.SQL["op10_warc"])
+    names = [d[0] for d in sql.description]
+    rows = [dict(zip(names, r)) for r in sql.fetchall()]
+    want = {(r["page_id"], r["warc_type"]): r["block"].replace("&copy;", "©").replace("&middot;", "·") for r in rows}
+    assert got == want and sum("©" in b and "·" in b for b in got.values()) == len(got) // 2
+
+
 def test_level_of_equal_sources():
     assert math.isclose(sum(water_level({"a": 10, "b": 10, "c": 10}, {"a": 5, "b": 2, "c": 1}).values()), 45)
