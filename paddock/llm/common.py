@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paddock.session import materialize, scratch_path, tune
 
-__all__ = ["ascii_lower", "bucket_bits", "materialize", "prepared", "ranked", "row_keys", "scratch_path", "seeded", "source_key", "table"]
+__all__ = ["Names", "ascii_lower", "bucket_bits", "materialize", "prepared", "ranked", "row_keys", "scratch_path", "seeded", "source_key", "table"]
 
 HASH_BITS = 60
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -26,6 +26,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Names:
+    """Column names that a table does not have (whatever their case), for columns
+    that an operator adds for a while."""
+
+    def __init__(self, df: DataFrame, *others: str):
+        self.taken = {c.lower() for c in [*df.columns, *others]}
+
+    def new(self, *labels: str) -> str | list[str]:
+        made = []
+        for label in labels:
+            name = f"_{label}"
+            while name.lower() in self.taken:
+                name = f"_{name}"
+            self.taken.add(name.lower())
+            made.append(name)
+        return made if len(made) > 1 else made[0]
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else. ``lower`` does just that, and faster,
     unless the text has a cased letter outside ASCII."""

@@ -215,8 +215,12 @@ FROM joined
 """
 
 
+# The references that the given pages hold, and the five of XML and the space.
+PAGE_REFERENCES = [("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0")]
+
+
 def unescaped(value: str) -> str:
-    for entity, char in warc.ENTITIES:
+    for entity, char in PAGE_REFERENCES:
         value = f"replace({value}, {text(entity)}, {text(char)})"
     return f"replace({value}, '&amp;', '&')"
 

@@ -13,6 +13,8 @@ from html.entities import html5
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paddock.llm.common import Names
+
 DATE = "2024-01-01T00:00:00Z"
 CRLF = "\r\n"
 
@@ -28,8 +30,6 @@ STRIP = [
     ),
     (r"<[a-zA-Z/!?][^>]*>", ""),
 ]
-# The references that the SQL of the query replaces; unescaped() knows all.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " ")]
 TIDY = [(r"[ \t\r\f\x{A0}]+", " "), (r" ?\n[ \n]*", "\n"), (r"^[ \n]+|[ \n]+$", "")]
 LINK = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"'>]*)["']"""
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
@@ -66,11 +66,13 @@ def numbered(part: Column) -> Column:
     return F.when(number.between(128, 159), windows).when(valid, char)
 
 
-def unescaped(text: Column) -> Column:
-    """Text with its references replaced, each once, as HTML reads them outside of
-    attributes; unknown names and invalid numbers stay as they are."""
+def with_unescaped(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add text with its references replaced, each once, as HTML reads them outside
+    of attributes; unknown names and invalid numbers stay as they are. The pieces
+    are a column of their own: an expression named twice is computed twice."""
+    pieces = Names(df).new("pieces")
     # By far the most common one, &amp;, does not cut the text up.
-    parts = F.split(text, "&(?!amp;)")
+    df = df.withColumn(pieces, F.split(text, "&(?!amp;)"))
 
     def plain(part: Column) -> Column:
         return F.replace(part, F.lit("&amp;"), F.lit("&"))
@@ -88,8 +90,8 @@ def unescaped(text: Column) -> Column:
             F.concat(F.lit("&"), plain(part)),
         )
 
-    rest = F.transform(F.slice(parts, 2, F.size(parts)), one)
-    return F.when(F.contains(text, F.lit("&")), F.concat(plain(F.get(parts, F.lit(0))), F.array_join(rest, ""))).otherwise(text)
+    rest = F.transform(F.slice(pieces, 2, F.size(pieces)), one)
+    return df.withColumn(out, F.concat(plain(F.get(pieces, F.lit(0))), F.array_join(rest, ""))).drop(pieces)
 
 
 def tidy(text: Column) -> Column:
@@ -98,12 +100,11 @@ def tidy(text: Column) -> Column:
     return text
 
 
-def plain_text(html: Column) -> Column:
-    """The readable text of a page, one block per line; head, scripts, styles and
-    comments are left out."""
+def stripped(html: Column) -> Column:
+    """A page without its tags, head, scripts, styles and comments."""
     for pattern, new in STRIP:
         html = F.regexp_replace(html, pattern, new)
-    return tidy(unescaped(html))
+    return html
 
 
 def absolute(link: Column, base: Column) -> Column:
@@ -156,30 +157,36 @@ def derived(responses: DataFrame) -> DataFrame:
     without a title or links has a metadata record without them. The two records
     of a page come from one row, so nothing is shuffled.
     """
-    payload = F.coalesce("payload", F.lit(""))
-    links = F.transform(F.regexp_extract_all(payload, F.lit(LINK), F.lit(1)), lambda x: absolute(x, F.coalesce("target_uri", F.lit(""))))
-    rows = responses.withColumns(
+    taken = Names(responses, "warc_type", "content_type", "block", "block_digest", "content_length", "record_id", "header", "source_digest", "refers_to")
+    page, dig, title, links, plain, http, record = taken.new("payload", "digest", "title", "links", "text", "http", "record")
+    rows = responses.withColumn(page, F.coalesce("payload", F.lit("")))
+    hrefs = F.transform(F.regexp_extract_all(page, F.lit(LINK), F.lit(1)), lambda x: absolute(x, F.coalesce("target_uri", F.lit(""))))
+    rows = rows.withColumns(
         {
-            "_digest": digest(payload),
-            "_title": one_line(tidy(unescaped(F.regexp_extract(payload, TITLE, 1)))),
-            "_links": F.array_distinct(F.filter(links, lambda x: x.isNotNull())),
-            "_text": plain_text(payload),
-            "_http": F.coalesce("http_header", F.lit("")),
+            dig: digest(F.col(page)),
+            title: F.regexp_extract(page, TITLE, 1),
+            links: F.array_distinct(F.filter(hrefs, lambda x: x.isNotNull())),
+            plain: stripped(F.col(page)),
+            http: F.coalesce("http_header", F.lit("")),
         }
     )
+    rows = with_unescaped(with_unescaped(rows, plain, plain), title, title)
+    rows = rows.withColumns({plain: tidy(F.col(plain)), title: one_line(tidy(F.col(title)))})
     fields = F.concat(
-        F.concat(F.lit("source-payload-digest: "), F.col("_digest"), F.lit(CRLF)),
-        F.concat(F.lit("source-payload-length: "), F.octet_length(payload).cast("string"), F.lit(CRLF)),
-        F.when(F.col("_title") == "", "").otherwise(F.concat(F.lit("title: "), F.col("_title"), F.lit(CRLF))),
-        F.array_join(F.transform(F.filter(F.split("_http", CRLF), lambda h: h != ""), lambda h: F.concat(F.lit("source-http: "), h, F.lit(CRLF))), ""),
-        F.array_join(F.transform("_links", lambda x: F.concat(F.lit("outlink: "), x, F.lit(" L a/@href"), F.lit(CRLF))), ""),
+        F.concat(F.lit("source-payload-digest: "), F.col(dig), F.lit(CRLF)),
+        F.concat(F.lit("source-payload-length: "), F.octet_length(page).cast("string"), F.lit(CRLF)),
+        F.when(F.col(title) == "", "").otherwise(F.concat(F.lit("title: "), F.col(title), F.lit(CRLF))),
+        F.array_join(F.transform(F.filter(F.split(http, CRLF), lambda h: h != ""), lambda h: F.concat(F.lit("source-http: "), h, F.lit(CRLF))), ""),
+        F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), x, F.lit(" L a/@href"), F.lit(CRLF))), ""),
     )
     kinds = F.array(
         F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/warc-fields").alias("content_type"), fields.alias("block")),
-        F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain").alias("content_type"), F.col("_text").alias("block")),
+        F.struct(F.lit("conversion").alias("warc_type"), F.lit("text/plain").alias("content_type"), F.col(plain).alias("block")),
     )
-    rows = rows.withColumn("_record", F.explode_outer(kinds)).withColumnRenamed("record_id", "refers_to")
-    rows = rows.select("*", "_record.warc_type", "_record.content_type", "_record.block")
+    made = ("warc_type", "content_type", "block", "block_digest", "content_length", "record_id", "header", "source_digest", "refers_to")
+    others = [c for c in responses.columns if c not in ("payload", "http_header", *made)]
+    rows = rows.withColumn(record, F.explode_outer(kinds))
+    rows = rows.select(*others, F.col("record_id").alias("refers_to"), dig, f"{record}.*")
     rows = rows.withColumns({"block_digest": digest(F.col("block")), "content_length": F.octet_length("block").cast("long")})
     rows = rows.withColumn("record_id", urn("warc_type", F.col("refers_to"), F.col("block_digest")))
     lines = [
@@ -189,8 +196,7 @@ def derived(responses: DataFrame) -> DataFrame:
     # A field whose value is null or empty is left out.
     texts = [F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.concat(F.lit(f"{k}: "), F.col(c).cast("string"))) for k, c in lines]
     header = F.concat_ws(CRLF, F.lit("WARC/1.1"), *texts)
-    rows = rows.withColumns({"header": header, "source_digest": F.col("_digest")})
-    return rows.drop("_digest", "_title", "_links", "_text", "_http", "_record", "payload", "http_header")
+    return rows.withColumns({"header": header, "source_digest": F.col(dig)}).drop(dig)
 
 
 def write_warc(records: DataFrame, path: str) -> None:

@@ -579,24 +579,23 @@ def test_references(spark):
     texts += [f"&#{i};&#x{i:x};&#X{i:X} &#00{i}z" for i in (9, 38, 233, 8212, 65533, 128512)]
     texts += [f"&#{i};&#x{i:x};" for i in range(128, 160)]
     texts += ["caf&#xE9; &eacute;&mdash;&hellip;", "&amp;eacute; &amp;#233; &#38;amp; &&amp;&", "&copy2020 &notit; &notin; &", "?a=1&copy=2", "&nosuch; &; &# &#; &#x;", "", "x", None]
-    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string").select("i", warc.unescaped(F.col("t")).alias("u")).collect()
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string").transform(lambda df: warc.with_unescaped(df, "t", "u")).collect()
     want = [t if t is None else html.unescape(t) for t in texts]
     assert [(texts[r["i"]], r["u"]) for r in got if r["u"] != want[r["i"]]] == []
     invalid = "&#0; &#xD800; &#1114112; &#x110000; &#12345678901;"
-    assert spark.createDataFrame([(invalid,)], "t string").select(warc.unescaped(F.col("t"))).first()[0] == invalid
+    assert warc.with_unescaped(spark.createDataFrame([(invalid,)], "t string"), "t", "u").first()["u"] == invalid
 
 
 def test_references_of_given_pages(spark, sf):
-    """The references of the given pages, listed here on their own, and what SQL leaves."""
+    """The references of the given pages are those that the SQL lists."""
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     given = {"&amp;": "&", "&copy;": "©", "&middot;": "·"}
-    found = set(re.findall(r"&#?\w*;?", " ".join(r["html"] for r in pages.collect())))
-    assert found == set(given)
+    assert set(re.findall(r"&#?\w*;?", " ".join(r["html"] for r in pages.collect()))) == set(given)
+    assert dict(oracles.PAGE_REFERENCES) | {"&amp;": "&"} == dict(oracles.PAGE_REFERENCES) | given
     got = {(r["page_id"], r["warc_type"]): r["block"] for r in warc.derived(warc.page_responses(pages)).collect()}
     sql = duck(sf).execute(oracles.SQL["op10_warc"])
     names = [d[0] for d in sql.description]
-    rows = [dict(zip(names, r)) for r in sql.fetchall()]
-    want = {(r["page_id"], r["warc_type"]): r["block"].replace("&copy;", "©").replace("&middot;", "·") for r in rows}
+    want = {(r["page_id"], r["warc_type"]): r["block"] for r in (dict(zip(names, x)) for x in sql.fetchall())}
     assert got == want and sum("©" in b and "·" in b for b in got.values()) == len(got) // 2
 
 
