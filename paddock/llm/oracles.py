@@ -274,3 +274,94 @@ SELECT page_id, refers_to, uri AS target_uri, '{warc.DATE}' AS date, warc_type,
        || 'WARC-Block-Digest: ' || block_digest || {END} || 'Content-Type: ' || content_type || {END} || 'Content-Length: ' || strlen(block) AS header
 FROM named
 """
+
+# The 256 entries of the table of CRC-32, and the CRC of a text by it.
+CRC_STEP = """step AS (
+    SELECT list(list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, x:
+        CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+    FROM (SELECT CAST(range AS BIGINT) AS b FROM range(256)))"""
+
+
+def crc32(value: str) -> str:
+    codes = f"list_transform(regexp_extract_all(hex(encode({value})), '..'), lambda p: CAST('0x' || p AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def best(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def moved(state: str, cost: str, edit: str, line: str = None) -> str:
+    """A way to go on from a state: cost, edits and lines so far."""
+    lines = f"{state}.o || chr(10) || {line}" if line else f"{state}.o"
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}', 'o': {lines}}}"
+
+
+def with_inserts(source: str, keep: str) -> str:
+    """States after turns may have been put in: one, and then a second."""
+    user, assistant = "'user:'", "'assistant:'"
+    once = f"""SELECT {keep}, s0, s1, {best("s2", moved("s0", "3", "I", user), moved("s1", "3", "I", user), moved("s3", "3", "I", user))} AS s2,
+        {best("s3", moved("s2", "3", "I", assistant))} AS s3 FROM {source}"""
+    return f"""SELECT {keep}, s0, s1, {best("s2", moved("s3", "3", "I", user))} AS s2, {best("s3", moved("s2", "3", "I", assistant))} AS s3 FROM ({once})"""
+
+
+def after_row() -> str:
+    """States after the next row: deleted, kept where its role fits, or renamed."""
+    user, assistant = "'user:' || f.text", "'assistant:' || f.text"
+    extra = "(CASE WHEN f.fault = 't' THEN 3 ELSE 0 END)"
+    away = "1000000"
+
+    def gone(s):
+        return moved(f"d.{s}", "4", "D")
+
+    def kept(s, initial):
+        fits = f"(CASE WHEN f.fault IN ('b', 'd') OR f.initial <> '{initial}' THEN {away} ELSE {extra} END)"
+        return moved(f"d.{s}", fits, "K", "f.role || ':' || f.text")
+
+    def renamed(s, line):
+        return moved(f"d.{s}", f"(CASE WHEN f.fault IN ('b', 'd') THEN {away} ELSE 3 + {extra} END)", "R", line)
+
+    into_user = [w for s in ("s0", "s1", "s3") for w in (kept(s, "u"), renamed(s, user))]
+    return f"""{gone("s0")} AS s0, {best(gone("s1"), kept("s0", "s"))} AS s1, {best(gone("s2"), *into_user)} AS s2,
+        {best(gone("s3"), kept("s2", "a"), renamed("s2", assistant))} AS s3"""
+
+
+EMPTY, NEVER = "{'c': 0, 'a': '', 'o': ''}", "{'c': 1000000, 'a': '', 'o': ''}"
+
+SQL["op11_structure_repair"] = rf"""
+WITH RECURSIVE {CRC_STEP},
+marked AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS k
+    FROM conversations, step),
+harmed AS (
+    SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+           CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM (SELECT *, unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM marked)),
+ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen
+    FROM (SELECT *, substr(role, 1, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM harmed)),
+faulted AS (
+    SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair,
+           CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b' WHEN seen > 1 THEN 'd'
+                WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 't' ELSE 'o' END AS fault
+    FROM ordered),
+counted AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+           count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+           count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faulted GROUP BY conv_id),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+edited AS (
+    SELECT * FROM ({with_inserts(f"(SELECT conv_id, CAST(0 AS BIGINT) AS i, {EMPTY} AS s0, {NEVER} AS s1, {NEVER} AS s2, {NEVER} AS s3 FROM ids)", "conv_id, i")})
+    UNION ALL
+    SELECT * FROM ({with_inserts(f"(SELECT d.conv_id, f.i, {after_row()} FROM edited d JOIN faulted f ON f.conv_id IS NOT DISTINCT FROM d.conv_id AND f.i = d.i + 1)", "conv_id, i")})),
+ended AS (SELECT conv_id, i AS n, {best("s0", "s3")} AS s FROM edited)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(s.c AS BIGINT) AS cost, s.a AS audit,
+       sha256(substr(s.o, 2)) AS repaired_sha256
+FROM ended e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+WHERE e.n = coalesce(c.n, 0)
+"""

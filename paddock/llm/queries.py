@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import decontamination, langid, licensing, mixing, preferences, sharding, simhash, spotsigs, tokens, warc
+from paddock.llm import decontamination, langid, licensing, mixing, preferences, repair, sharding, simhash, spotsigs, tokens, warc
 from paddock.llm.common import materialize, scratch_path, table
 from paddock.llm.oracles import SQL
 
@@ -115,3 +115,12 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata and conversion records of every page."""
     return warc.derived(warc.page_responses(table(spark, sf_dir, "pages")))
+
+
+@query
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults put into every conversation, what they are, and the cheapest repair."""
+    given = table(spark, sf_dir, "conversations")
+    rows = repair.damaged(given)
+    audits = materialize(repair.audited(rows, given), "audits")
+    return repair.digested(rows, audits)
