@@ -365,3 +365,28 @@ SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0)
 FROM ended e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 WHERE e.n = coalesce(c.n, 0)
 """
+
+SQL["op13_prefix_trie"] = f"""
+WITH {CRC_STEP},
+listed AS (
+    SELECT conv_id, list(md5(strlen(r) || ':' || r || x) ORDER BY turn NULLS FIRST, r, md5(x)) AS own,
+           list(strlen(x) ORDER BY turn NULLS FIRST, r, md5(x)) AS b
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations) GROUP BY conv_id),
+borrowing AS (
+    SELECT *, coalesce({crc32("CAST(conv_id AS VARCHAR)")} % 9, 0) AS h FROM listed, step),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(g.own[1:c.h], []), c.own[c.h + 1:]) AS turns, list_concat(coalesce(g.b[1:c.h], []), c.b[c.h + 1:]) AS bytes
+    FROM borrowing c LEFT JOIN listed g ON g.conv_id = c.conv_id - c.conv_id % 5),
+prefixes AS (SELECT conv_id, d, turns[1:d] AS p, len(turns) AS n, coalesce(bytes[d], 0) AS cost FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(cost) AS cost, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d) AS ends
+    FROM prefixes GROUP BY p, d),
+children AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+weighed AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf FROM nodes LEFT JOIN children USING (p)),
+sums AS (
+    SELECT p[1:up] AS p, sum(leaf) AS n_leaves, sum((n_convs - 1) * cost) AS saved
+    FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM weighed) GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, q.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM weighed n JOIN sums USING (p) LEFT JOIN nodes q ON n.d > 0 AND q.p = n.p[1:n.d - 1]
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import decontamination, langid, licensing, mixing, preferences, repair, sharding, simhash, spotsigs, tokens, warc
+from paddock.llm import decontamination, langid, licensing, mixing, preferences, repair, sharding, simhash, spotsigs, tokens, trie, warc
 from paddock.llm.common import materialize, scratch_path, table
 from paddock.llm.oracles import SQL
 
@@ -124,3 +124,9 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repair.damaged(given)
     audits = materialize(repair.audited(rows, given), "audits")
     return repair.digested(rows, audits)
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return trie.prefix_trie(trie.rebuilt(table(spark, sf_dir, "conversations")))
