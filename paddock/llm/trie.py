@@ -262,7 +262,8 @@ def prefix_trie(turns: DataFrame, limit: int = ARCS) -> DataFrame:
     ended = members.where(last)
     nodes = nodes_of(members, ended.select("key"))
     sums = subtree_sums(nodes, limit)
-    ends = ended.where("key IS NOT NULL").select(*[F.coalesce(c, F.lit(0)).alias(c) for c in ("k1", "k2")], "key")
+    root = F.col("pos").isNull()
+    ends = ended.where("key IS NOT NULL").select(*[F.when(root, 0).otherwise(F.col(c)).cast("long").alias(c) for c in ("k1", "k2")], "key")
     # Sorted by Spark and read row by row: no task holds the members of a node.
     ends = ends.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "key").mapInArrow(_ends, "k1 long, k2 long, ends_sha256 string")
     found = nodes.join(sums, "node").join(ends, ["k1", "k2"], "left")
