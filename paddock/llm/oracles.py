@@ -390,3 +390,26 @@ SELECT n.conv_id, n.d AS depth, q.conv_id AS parent_conv_id, n.n_convs, n.n_chil
        CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
 FROM weighed n JOIN sums USING (p) LEFT JOIN nodes q ON n.d > 0 AND q.p = n.p[1:n.d - 1]
 """
+
+SQL["op12_minhash"] = rf"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, {UPPER_TO_LOWER}), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE
+        list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' ')))) END AS s
+    FROM texts),
+classed AS (SELECT doc_id, len(s) AS n, s, CASE WHEN len(s) > 0 THEN md5(array_to_string(s, chr(10))) END AS class FROM sets),
+classes AS (SELECT class, any_value(s) AS s, any_value(n) AS n, min(doc_id) AS id FROM classed WHERE n > 0 GROUP BY class),
+shingled AS (SELECT class, n, unnest(s) AS x FROM classes),
+links AS (
+    SELECT a.class AS u, b.class AS v FROM shingled a JOIN shingled b ON a.x = b.x AND a.class <> b.class
+        AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (
+    SELECT class, class AS other FROM classes
+    UNION SELECT reached.class, links.v FROM reached JOIN links ON links.u = reached.other),
+components AS (SELECT reached.class, min(id) AS component FROM reached JOIN classes ON classes.class = reached.other GROUP BY reached.class)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, CASE WHEN n > 0 THEN component ELSE doc_id END AS component_id,
+       coalesce(doc_id = CASE WHEN n > 0 THEN component ELSE doc_id END, FALSE) AS kept
+FROM classed LEFT JOIN components USING (class)
+"""

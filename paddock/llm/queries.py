@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paddock.llm import decontamination, langid, licensing, mixing, preferences, repair, sharding, simhash, spotsigs, tokens, trie, warc
+from paddock.llm import decontamination, langid, licensing, minhash, mixing, preferences, repair, sharding, simhash, spotsigs, tokens, trie, warc
 from paddock.llm.common import materialize, scratch_path, table
 from paddock.llm.oracles import SQL
 
@@ -130,3 +130,11 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of all rebuilt conversations."""
     return trie.prefix_trie(trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, by sets of 4-word shingles."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
