@@ -1,4 +1,4 @@
-"""Named views for SQL users, under the names of the feature sets."""
+"""Named views and dated functions for SQL users, under the names of the feature sets."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from paddock.operators.ordered import ROWS_PER_TASK
 from paddock.plans import assembly, first_version, horses, people, races
 from paddock.plans.starts import asof_starts
 from paddock.schema import RacingTables
+from paddock.sql_functions import register_functions
 
 
 def register_views(
@@ -15,7 +16,8 @@ def register_views(
 ) -> None:
     """Register base tables and feature sets as temporary views.
 
-    The date functions become views fixed at ``as_of``. Views are planned together
+    The date functions become views fixed at ``as_of``, and table functions that take
+    any date (``sql_functions``). Views are planned together
     with the query that reads them, but for the keys with over ``rows_per_task``
     rows: these are counted here, and tables that grow by much should be registered
     again. With None nothing is counted and no job runs.
@@ -43,3 +45,4 @@ def register_views(
     for name, df in {**base, **dated, **fixed}.items():
         if df is not None:
             df.createOrReplaceTempView(name)
+    register_functions(spark, tables)
