@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from paddock.plans.day_counters import DayCounters
 from paddock.plans.ingest import clean_masters, ingest_folder
 from paddock.sources import files
 
 
-def run_feed(spark: SparkSession, landing: str, lake: str, prefix: str, stamp: str) -> dict:
+def run_feed(spark: SparkSession, landing: str, lake: str, prefix: str, stamp: str, counters: DayCounters = None) -> dict:
     """Run the stages in order. Every stage may be repeated after a failure, with
     the same stamp or another: shards are merged once, every finished master that
     is not cleaned is, and every cleaned one is ingested once."""
@@ -16,4 +17,4 @@ def run_feed(spark: SparkSession, landing: str, lake: str, prefix: str, stamp: s
     ledger = f"{lake}/merged_shards/{prefix.rstrip('/')}"
     merged = files.merge_shards(spark, folder, f"{landing}/{files.master_name(prefix, stamp)}", ledger=ledger)
     clean = clean_masters(spark, folder.rstrip("/"))
-    return {"merged": merged, "clean": clean, "ingest": ingest_folder(spark, landing, lake, prefix)}
+    return {"merged": merged, "clean": clean, "ingest": ingest_folder(spark, landing, lake, prefix, counters)}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paddock import schema
 from paddock.functions import scalars as S
 from paddock.operators.merge import merge_touch_or_insert
+from paddock.plans.day_counters import DayCounters, touched_days
 from paddock.schema import KEYS
 from paddock.session import materialize
 from paddock.sources import files, ndjson
@@ -112,8 +113,9 @@ def new_units(spark: SparkSession, folder: str, done: DataFrame) -> list:
     return [u for u in found if not u.parts or files.committed(spark, u.unit)]
 
 
-def ingest_folder(spark: SparkSession, landing: str, lake: str, prefix: str) -> dict:
-    """Ingest the new cleaned files under one prefix; returns the merge counts.
+def ingest_folder(spark: SparkSession, landing: str, lake: str, prefix: str, counters: DayCounters = None) -> dict:
+    """Ingest the new cleaned files under one prefix; returns the merge counts. With
+    ``counters`` the days that new starts fall on are counted again.
 
     All new files are loaded as one batch. What was ingested is noted, and the
     watermark moved, only after every table is written, so a failed run is simply
@@ -132,6 +134,9 @@ def ingest_folder(spark: SparkSession, landing: str, lake: str, prefix: str) ->
     result = {"processed_files": len(found)}
     for name, project in targets.items():
         result[name] = base_table(spark, lake, name).merge(project(staged), F.current_timestamp())
+    if counters is not None and "race_records" in targets:
+        tables = schema.RacingTables.load(spark, lake)
+        counters.extend(tables, touched_days(tables.races, staged_records(staged)))
     meta = VersionedTable(spark, f"{lake}/ingestion_metadata", schema.INGESTION_METADATA)
     marks = spark.createDataFrame([(prefix, max(u.created for u in found))], "prefix string, created timestamp")
     meta.write(advance_watermark(meta.read(), marks))

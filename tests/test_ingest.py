@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from paddock import flow, schema
 from paddock.functions import scalars as S
 from paddock.operators.merge import merge_counts, merge_touch_or_insert
-from paddock.plans import ingest, normalize
+from paddock.plans import day_counters, ingest, normalize, people
+from paddock.plans.day_counters import DayCounters
+from paddock.schema import RacingTables
 from paddock.sources import files, ndjson, tables
 from paddock.streaming.files import ingest_available
 
@@ -170,6 +172,22 @@ def horse_doc(horse, race, order):
     return json.dumps({"horse_id": horse, "horse_name": f"h{horse}", "career": [career], "races": [entry]})
 
 
+def test_feed_extends_counters(spark, tmp_path):
+    """Counters follow a feed, and a repeated or failed run does not count twice."""
+    landing, lake = tmp_path / "landing", tmp_path / "lake"
+    shards = landing / "horse_data"
+    shards.mkdir(parents=True)
+    stored = DayCounters(spark, f"{tmp_path}/counters")
+    for i, docs in enumerate([[(1, 10, 1), (2, 10, 2)], [(2, 10, 2), (3, 11, 1)]]):
+        (shards / f"shard_{i}.ndjson").write_text("\n".join(horse_doc(*d) for d in docs) + "\n")
+        flow.run_feed(spark, str(landing), str(lake), "horse_data/", f"2025-08-0{i + 3}T10_00_00_000Z", stored)
+        flow.run_feed(spark, str(landing), str(lake), "horse_data/", f"2025-08-0{i + 3}T11_00_00_000Z", stored)
+        known = RacingTables.load(spark, str(lake))
+        for day in ("2025-08-02", "2025-08-03", "2025-09-01"):
+            assert rows(day_counters.jockeys(stored, day)) == rows(people.jockeys(known, day))
+    assert [r["jockey_total_starts"] for r in day_counters.jockeys(stored, "2025-08-03").collect()] == [3]
+
+
 def test_shards_to_tables(spark, tmp_path):
     """Merge, clean and ingest one feed, then a second batch with an overlap."""
     landing, lake = tmp_path / "landing", tmp_path / "lake"
