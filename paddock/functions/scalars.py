@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from paddock.functions import vocab as V
+from paddock.functions.farm import fingerprint
 
 # A number at the start of the text, as a lenient reader would take it.
 LEADING_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
@@ -154,7 +155,8 @@ def record_text(horse: Column, race: Column, order: Column) -> Column:
 
 
 def record_key(horse: Column, race: Column, order: Column) -> Column:
-    return F.xxhash64(record_text(horse, race, order))
+    """FARM_FINGERPRINT of the readable form: the key of tables made elsewhere."""
+    return fingerprint(record_text(horse, race, order))
 
 
 def name_key(text: Column, strip_initial: bool = False, fold: bool = False) -> Column:
