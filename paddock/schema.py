@@ -166,6 +166,9 @@ BASE_TABLES = {
     "breeders": BREEDERS,
 }
 
+# Tables that meet on one key: starts and races, horses and their careers.
+BUCKETED_BY = {"races": "race_id", "race_records": "race_id", "horses": "horse_id", "horse_careers": "horse_id"}
+
 # Merge key of every base table.
 KEYS = {
     "horses": ["horse_id"],
@@ -204,8 +207,9 @@ class RacingTables:
     breeders: DataFrame = None
 
     @classmethod
-    def load(cls, spark: SparkSession, root: str) -> "RacingTables":
-        """Open every table under ``root`` with all its committed merges."""
+    def load(cls, spark: SparkSession, root: str, touched: bool = True) -> "RacingTables":
+        """Open every table under ``root`` with all its committed merges. Features need
+        no update times: ``touched=False`` leaves them out, and a join with them."""
         from paddock.sources.tables import base_table
 
-        return cls(**{name: base_table(spark, root, name).read() for name in BASE_TABLES})
+        return cls(**{name: base_table(spark, root, name).read(touched) for name in BASE_TABLES})

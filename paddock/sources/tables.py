@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +17,16 @@ from paddock.schema import with_schema
 from paddock.session import materialize
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """How the rows of a table are dealt: by a hash of ``key`` into ``count`` files,
+    each sorted by it. All rows of a key are in one bucket, so a table in which one
+    key holds much of the rows should not be bucketed by it."""
+
+    key: str
+    count: int
+
+
 class VersionedTable:
     """A table whose every write is a new directory ``v=<n>``.
 
@@ -21,8 +35,8 @@ class VersionedTable:
     dies half-way leaves the previous version in place.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, buckets: Buckets = None):
+        self.spark, self.root, self.schema, self.buckets = spark, root.rstrip("/"), schema, buckets
 
     def _fs(self):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
@@ -48,15 +62,62 @@ class VersionedTable:
         """Newest committed version, 0 before the first write."""
         return max(self._numbers("v"), default=0)
 
+    def _store(self, df: DataFrame, name: str) -> None:
+        """Write a directory of the table, in its buckets if it has any. The mark of a
+        bucketed one comes last: without it the files are read as plain ones."""
+        path = f"{self.root}/{name}"
+        if self.buckets is None:
+            df.write.parquet(path)
+            return
+        key, count = self.buckets.key, self.buckets.count
+        table = f"written_{uuid.uuid4().hex}"
+        spread = df.repartition(count, key).write.bucketBy(count, key).sortBy(key)
+        spread.option("path", path).saveAsTable(table)
+        self.spark.sql(f"DROP TABLE {table}")
+        self._fs().createNewFile(self._path(f"{path}/_buckets={key}={count}"))
+
+    def _path(self, text: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(text)
+
+    def _dealt(self, name: str) -> Buckets | None:
+        """How a directory was dealt when it was written."""
+        marks = self._fs().globStatus(self._path(f"{self.root}/{name}/_buckets=*")) or []
+        if not len(marks):
+            return None
+        _, key, count = marks[0].getPath().getName().split("=")
+        return Buckets(key, int(count))
+
+    def _open(self, names: list[str], schema: T.StructType) -> DataFrame:
+        """Rows of some directories of the table; columns that one lacks are null.
+
+        Those dealt alike are read as partitions of one catalog table that lies on
+        their files: bucket i then holds the i-th files of all of them, and the
+        planner knows how rows are dealt.
+        """
+        dealt = {self._dealt(n) for n in names}
+        if len(dealt) != 1 or None in dealt:
+            return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*[f"{self.root}/{n}" for n in names])
+        buckets = dealt.pop()
+        table = f"opened_{hashlib.md5(f'{self.root}:{names}'.encode()).hexdigest()}"
+        if not self.spark.catalog.tableExists(table):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            self.spark.sql(
+                f"""CREATE TABLE {table} ({columns}, _part STRING) USING parquet PARTITIONED BY (_part)
+                CLUSTERED BY ({buckets.key}) SORTED BY ({buckets.key}) INTO {buckets.count} BUCKETS LOCATION '{self.root}'"""
+            )
+            parts = " ".join(f"PARTITION (_part = '{n}') LOCATION '{self.root}/{n}'" for n in names)
+            self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+        return self.spark.table(table).drop("_part")
+
     def read(self) -> DataFrame:
         version = self.version()
         if not version:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/v={version}")
+        return self._open([f"v={version}"], self.schema)
 
     def write(self, df: DataFrame) -> int:
         number = self._claim()
-        with_schema(df, self.schema).write.parquet(f"{self.root}/v={number}")
+        self._store(with_schema(df, self.schema), f"v={number}")
         return number
 
     def expire(self, keep: int = 1) -> None:
@@ -75,13 +136,13 @@ class MergedTable(VersionedTable):
     A merge writes one directory ``m=<n>``: the rows it adds, and for rows that
     exist their keys and the time of the touch. Reading combines them with the
     newest version below; ``compact`` writes the combination as a version, sorted
-    by key. Versions and merges are numbered in one sequence and count once they
+    by key, or in its buckets. Versions and merges are numbered in one sequence and count once they
     are committed. Merges of one table follow one another: of two at the same time
     neither would see the other's rows.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: list[str]):
-        super().__init__(spark, root, schema)
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: list[str], buckets: Buckets = None):
+        super().__init__(spark, root, schema, buckets)
         self.keys = keys
         self.merge_schema = T.StructType(
             [*schema.fields, T.StructField("_new", T.BooleanType()), T.StructField("_merge", T.LongType())]
@@ -90,16 +151,24 @@ class MergedTable(VersionedTable):
     def merges(self) -> DataFrame | None:
         """Rows of the merges since the newest version, None without any."""
         version = self.version()
-        paths = [f"{self.root}/m={n}" for n in self._numbers("m") if n > version]
-        return self.spark.read.schema(self.merge_schema).parquet(*paths) if paths else None
+        names = [f"m={n}" for n in self._numbers("m") if n > version]
+        return self._open(names, self.merge_schema) if names else None
 
-    def _rows(self, merges: DataFrame | None) -> DataFrame:
-        base = super().read()
-        return base if merges is None else base.unionByName(merges.where("_new").select(*base.columns))
-
-    def read(self) -> DataFrame:
-        merges = self.merges()
-        rows = self._rows(merges)
+    def _rows(self) -> DataFrame:
+        """All rows as they were added, with the times of then."""
+        version = self.version()
+        names = [f"v={version}"] * bool(version) + [f"m={n}" for n in self._numbers("m") if n > version]
+        if not names:
+            return self.spark.createDataFrame([], self.schema)
+        # Rows of a version have no merge.
+        return self._open(names, self.merge_schema).where(F.coalesce("_new", F.lit(True))).select(*self.schema.names)
+
+    def read(self, touched: bool = True) -> DataFrame:
+        """All rows. Readers that need no time of the last update may do without it
+        (``touched=False``): then the column is absent and no touched key is joined."""
+        merges, rows = self.merges(), self._rows()
+        if not touched:
+            return rows.drop(UPDATED)
         if merges is None:
             return rows
         # One narrow row per touched key; small ones are broadcast by measured size.
@@ -117,7 +186,7 @@ class MergedTable(VersionedTable):
         """
         number = self._claim()
         batch = materialize(one_per_key(source, self.keys), "batch")
-        old = self._rows(self.merges()).select(*self.keys)
+        old = self._rows().select(*self.keys)
         known = join_same(old, batch.select(*self.keys), self.keys, "left_semi").distinct()
         marked = join_same(batch, known.withColumn("_known", F.lit(True)), self.keys, "left")
         new = F.col("_known").isNull()
@@ -128,7 +197,7 @@ class MergedTable(VersionedTable):
         fields.update({k: F.col(k).cast(self.schema[k].dataType) for k in self.keys})
         fields.update({CREATED: F.when(new, now), UPDATED: now, "_new": new, "_merge": F.lit(number).cast("long")})
         path = f"{self.root}/m={number}"
-        marked.select(*[c.alias(n) for n, c in fields.items()]).write.parquet(path)
+        self._store(marked.select(*[c.alias(n) for n, c in fields.items()]), f"m={number}")
         written = self.spark.read.schema(self.merge_schema).parquet(path)
         total, added = F.count(F.lit(1)), F.count_if("_new")
         counts = written.agg(total.alias("staged"), (total - added).alias("updated"), added.alias("inserted"))
@@ -139,7 +208,8 @@ class MergedTable(VersionedTable):
         merges = self.merges()
         if merges is None:
             return self.version()
-        ordered = self.read().repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
+        rows = self.read()
+        ordered = rows if self.buckets else rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
         version = self.write(ordered)
         if keep:
             self.expire(keep)
@@ -147,7 +217,12 @@ class MergedTable(VersionedTable):
 
 
 def base_table(spark: SparkSession, lake: str, name: str) -> MergedTable:
-    return MergedTable(spark, f"{lake}/{name}", shapes.BASE_TABLES[name], shapes.KEYS[name])
+    """A base table of a lake. Where ``paddock.buckets`` is set, tables that meet on a
+    key are stored in so many buckets of it, and their joins move no row. A table
+    written before stays as it is and is dealt anew by ``compact``."""
+    count = int(spark.conf.get("paddock.buckets", "0"))
+    key = shapes.BUCKETED_BY.get(name) if count else None
+    return MergedTable(spark, f"{lake}/{name}", shapes.BASE_TABLES[name], shapes.KEYS[name], Buckets(key, count) if key else None)
 
 
 def append_history(df: DataFrame, path: str, schema: T.StructType) -> None:
