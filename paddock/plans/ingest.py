@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paddock import schema
@@ -10,7 +10,6 @@ from paddock.functions import scalars as S
 from paddock.operators.merge import merge_touch_or_insert
 from paddock.plans.day_counters import DayCounters, touched_days
 from paddock.schema import KEYS
-from paddock.session import materialize
 from paddock.sources import files, ndjson
 from paddock.sources.tables import VersionedTable, base_table
 
@@ -145,6 +144,20 @@ def ingest_folder(spark: SparkSession, landing: str, lake: str, prefix: str, cou
     return result
 
 
+def merge_batch(spark: SparkSession, lake: str, prefix: str, staged: DataFrame, batch: int, counters: DayCounters = None) -> dict:
+    """Merge one numbered batch of a stream into the tables its prefix feeds; returns
+    the merge counts. A batch that comes again, whole or half done, changes nothing
+    that is done already."""
+    _, targets, _ = FEEDS[prefix]
+    feed, result = prefix.rstrip("/"), {}
+    for name, project in targets.items():
+        result[name] = base_table(spark, lake, name).merge(project(staged), F.current_timestamp(), (feed, batch))
+    if counters is not None and "race_records" in targets:
+        tables = schema.RacingTables.load(spark, lake)
+        counters.extend(tables, touched_days(tables.races, staged_records(staged)))
+    return result
+
+
 def clean_masters(spark: SparkSession, folder: str) -> dict:
     """Clean every finished master of a folder that is not cleaned yet; returns the
     sums of their statistics, nothing if there was none."""
@@ -161,12 +174,13 @@ def clean_folder(spark: SparkSession, master: str, out: str) -> dict:
     What a failed job left of ``out``, without the mark of a finished one, is
     written anew.
 
-    Lines are parsed and shuffled once: the distinct records with their counts
-    give both the output and the statistics.
+    Lines are parsed and shuffled once, and the job that writes the distinct
+    records also counts them.
     """
     if files.committed(spark, out):
         return {}
     lines = ndjson.read_ndjson(spark, master)
-    counted = materialize(ndjson.record_counts(lines), "records")
+    seen = Observation()
+    counted = ndjson.record_counts(lines).observe(seen, *ndjson.stats_columns())
     counted.where(F.col(ndjson.RECORD).isNotNull()).select(ndjson.RECORD).write.mode("overwrite").text(out)
-    return ndjson.clean_stats(counted).first().asDict()
+    return seen.get

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,7 +60,8 @@ def load_with_bad_budget(
 
     The bad rows are dropped, as a warehouse load with an error budget does.
     Part files count towards the directory they belong to. Lines are parsed once:
-    the typed rows are stored, and both the check and the caller read them there.
+    the typed rows are stored, and the bad ones are counted while they are. Only if
+    all files together have over ``max_bad`` is it looked up where they are.
     """
     marked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -68,12 +69,17 @@ def load_with_bad_budget(
     file = F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "").alias("_file")
     parsed = lines.select(F.from_json("value", marked, options).alias("r"), file)
     broken = F.col(CORRUPT).isNotNull().alias("_bad")
-    staged = materialize(parsed.select("r.*", "_file").select(*schema.names, "_file", broken), "staged")
+    seen = Observation()
+    typed = parsed.select("r.*", "_file").select(*schema.names, "_file", broken)
+    staged = materialize(typed.observe(seen, F.count_if("_bad").alias("bad")), "staged")
+    good = staged.where("NOT _bad").select(*schema.names)
+    if (seen.get["bad"] or 0) <= max_bad:
+        return good
     bad = staged.where("_bad").groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
     worst = bad.where(F.col("_n") > max_bad).first()
     if worst is not None:
         raise BadRecordBudgetExceeded(f"{worst._n} malformed records in {worst._file}, {max_bad} allowed")
-    return staged.where("NOT _bad").select(*schema.names)
+    return good
 
 
 def clean_dedupe(lines: DataFrame, key: str = None) -> DataFrame:
@@ -94,12 +100,12 @@ def record_counts(lines: DataFrame) -> DataFrame:
     return lines.groupBy(RECORD).agg(F.count(F.lit(1)).alias("n"))
 
 
+def stats_columns() -> list[Column]:
+    """Aggregates over ``record_counts``: lines read, lines removed, records kept."""
+    initial, final = F.coalesce(F.sum("n"), F.lit(0)), F.count(RECORD)
+    return [initial.alias("initial_count"), (initial - final).alias("removed_count"), final.alias("final_count")]
+
+
 def clean_stats(counted: DataFrame) -> DataFrame:
-    """One row over ``record_counts``: lines read, lines removed, records kept."""
-    initial = F.coalesce(F.sum("n"), F.lit(0))
-    final = F.count(RECORD)
-    return counted.agg(
-        initial.alias("initial_count"),
-        (initial - final).alias("removed_count"),
-        final.alias("final_count"),
-    )
+    """One row over ``record_counts``, as a query."""
+    return counted.agg(*stats_columns())

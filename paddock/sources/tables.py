@@ -6,7 +6,7 @@ import hashlib
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +47,7 @@ class VersionedTable:
         unless another ``mark`` is asked for."""
         pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}=*{mark}")
         paths = [s.getPath() for s in self._fs().globStatus(pattern) or []]
-        return sorted(int((p.getParent() if mark else p).getName().split("=")[1]) for p in paths)
+        return sorted(int((p.getParent() if mark else p).getName().split("=")[-1]) for p in paths)
 
     def _claim(self) -> int:
         """A number above all in use, that no other writer gets: creating the file
@@ -62,19 +62,25 @@ class VersionedTable:
         """Newest committed version, 0 before the first write."""
         return max(self._numbers("v"), default=0)
 
-    def _store(self, df: DataFrame, name: str) -> None:
-        """Write a directory of the table, in its buckets if it has any. The mark of a
-        bucketed one comes last: without it the files are read as plain ones."""
-        path = f"{self.root}/{name}"
+    def _store(self, df: DataFrame, name: str, counts: dict[str, Column] = None) -> dict:
+        """Write a directory of the table, in its buckets if it has any; returns
+        ``counts`` (aggregates) of what was written, taken while writing. The mark of
+        a bucketed one comes last: without it the files are read as plain ones."""
+        path, seen = f"{self.root}/{name}", Observation()
+        if self.buckets:
+            df = df.repartition(self.buckets.count, self.buckets.key)
+        if counts:
+            # In the tasks that write: each of them is counted once, however often tried.
+            df = df.observe(seen, *[c.alias(n) for n, c in counts.items()])
         if self.buckets is None:
             df.write.parquet(path)
-            return
+            return seen.get if counts else {}
         key, count = self.buckets.key, self.buckets.count
         table = f"written_{uuid.uuid4().hex}"
-        spread = df.repartition(count, key).write.bucketBy(count, key).sortBy(key)
-        spread.option("path", path).saveAsTable(table)
+        df.write.bucketBy(count, key).sortBy(key).option("path", path).saveAsTable(table)
         self.spark.sql(f"DROP TABLE {table}")
         self._fs().createNewFile(self._path(f"{path}/_buckets={key}={count}"))
+        return seen.get if counts else {}
 
     def _path(self, text: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(text)
@@ -124,12 +130,18 @@ class VersionedTable:
         """Delete all but the newest ``keep`` committed versions, and the merges that
         the oldest of these holds. Readers of what goes must have finished."""
         kept = self._numbers("v")[-max(keep, 1) :]
+        if kept:
+            self._before_expiry(kept[0])
         for kind in ("v", "m", "_claim") if kept else ():
             for number in self._numbers(kind, ""):
                 if number < kept[0]:
                     self._fs().delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}={number}"), True)
 
 
+    def _before_expiry(self, first: int) -> None:
+        """What has to be noted before directories below a number go."""
+
+
 class MergedTable(VersionedTable):
     """A table that takes touch-or-insert merges without being rewritten.
 
@@ -176,15 +188,61 @@ class MergedTable(VersionedTable):
         joined = join_same(rows, touched, self.keys, "left")
         return joined.withColumn(UPDATED, F.coalesce("_touched", UPDATED)).select(*rows.columns)
 
-    def merge(self, source: DataFrame, now: Column) -> dict:
+    def _merged(self, feed: str, batch: int) -> bool:
+        """Whether a batch of a feed is in the table: its merge is committed, or a mark
+        says so. A writer that died leaves its number with nothing committed."""
+        if self._merged_mark(feed, batch):
+            return True
+        tried = self._numbers(f"_batch={feed}={batch}", "")
+        return bool(set(tried) & set(self._numbers("m")))
+
+    def _before_expiry(self, first: int) -> None:
+        """A batch whose writer died between commit and mark is marked now; what was
+        tried under the numbers that go is forgotten."""
+        committed = set(self._numbers("m"))
+        for status in self._fs().globStatus(self._path(f"{self.root}/_batch=*")) or []:
+            _, feed, batch, number = status.getPath().getName().split("=")
+            if int(number) < first:
+                if int(number) in committed and not self._merged_mark(feed, int(batch)):
+                    self._note_done(feed, int(batch))
+                self._fs().delete(status.getPath(), False)
+
+    def _merged_mark(self, feed: str, batch: int) -> bool:
+        done = self._numbers(f"_done={feed}", "")
+        return bool(done) and batch <= done[-1]
+
+    def _note_done(self, feed: str, batch: int) -> None:
+        """Mark a batch; batches of a feed come in order, so the newest mark will do."""
+        self._fs().createNewFile(self._path(f"{self.root}/_done={feed}={batch}"))
+        for older in self._numbers(f"_done={feed}", ""):
+            if older < batch:
+                self._fs().delete(self._path(f"{self.root}/_done={feed}={older}"), False)
+
+    def merge(self, source: DataFrame, now: Column, batch: tuple[str, int] = None) -> dict:
         """Touch the rows whose key ``source`` has, add its others; NULL is a key
         too, and one row per key counts. Returns how many keys were staged, updated
-        and inserted.
+        and inserted, as the job that writes them counts them.
 
         Of the table only the keys are read, against the small side of a semi join,
         and only the batch is written.
+
+        ``batch`` (feed, number) merges a numbered batch once: handed over again, it
+        leaves the table as it is and returns zeros. What it will be is noted with
+        the number of the merge before that is written, and counts with its commit.
         """
+        if batch is not None and self._merged(*batch):
+            self._note_done(*batch)
+            return {"staged": 0, "updated": 0, "inserted": 0}
         number = self._claim()
+        if batch is not None:
+            feed, known = batch
+            self._fs().createNewFile(self._path(f"{self.root}/_batch={feed}={known}={number}"))
+        counts = self._merge(source, now, number)
+        if batch is not None:
+            self._note_done(*batch)
+        return counts
+
+    def _merge(self, source: DataFrame, now: Column, number: int) -> dict:
         batch = materialize(one_per_key(source, self.keys), "batch")
         old = self._rows().select(*self.keys)
         known = join_same(old, batch.select(*self.keys), self.keys, "left_semi").distinct()
@@ -196,12 +254,9 @@ class MergedTable(VersionedTable):
         }
         fields.update({k: F.col(k).cast(self.schema[k].dataType) for k in self.keys})
         fields.update({CREATED: F.when(new, now), UPDATED: now, "_new": new, "_merge": F.lit(number).cast("long")})
-        path = f"{self.root}/m={number}"
-        self._store(marked.select(*[c.alias(n) for n, c in fields.items()]), f"m={number}")
-        written = self.spark.read.schema(self.merge_schema).parquet(path)
         total, added = F.count(F.lit(1)), F.count_if("_new")
-        counts = written.agg(total.alias("staged"), (total - added).alias("updated"), added.alias("inserted"))
-        return counts.first().asDict()
+        counts = {"staged": total, "updated": total - added, "inserted": added}
+        return self._store(marked.select(*[c.alias(n) for n, c in fields.items()]), f"m={number}", counts)
 
     def compact(self, keep: int = None) -> int:
         """Write all merges into a new version; with ``keep`` expire older ones."""
@@ -235,7 +290,8 @@ def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def write_by_date(df: DataFrame, path: str, at: str, mode: str = "overwrite") -> None:
-    """Partition by the calendar date of ``at``.
+    """Partition by the calendar date of ``at``. With ``mode="replace"`` only the dates
+    that ``df`` has are replaced, and the files of all others stay untouched.
 
     Rows are spread over date and a hash of the row first: few files per date,
     and a date that holds most rows is still written by many tasks.
@@ -243,7 +299,10 @@ def write_by_date(df: DataFrame, path: str, at: str, mode: str = "overwrite") ->
     dated = df.withColumn("dt", F.to_date(at))
     # The range shuffle orders by date and cuts a large date into several tasks.
     spread = dated.repartitionByRange(F.col("dt"), F.xxhash64(*df.columns))
-    spread.write.mode(mode).partitionBy("dt").parquet(path)
+    writer = spread.write.mode("overwrite" if mode == "replace" else mode).partitionBy("dt")
+    if mode == "replace":
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
 
 
 def read_by_date(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -15,7 +15,7 @@ from paddock.plans import day_counters, ingest, normalize, people
 from paddock.plans.day_counters import DayCounters
 from paddock.schema import RacingTables
 from paddock.sources import files, ndjson, tables
-from paddock.streaming.files import ingest_available
+from paddock.streaming.files import ingest_available, ingest_stream
 
 
 def values(spark, expression, texts, kind="string"):
@@ -228,6 +228,83 @@ def test_stream_picks_every_file_up_once(spark, tmp_path):
     assert seen == [2, 1]
 
 
+def test_stream_into_tables_once(spark, tmp_path):
+    """Batches of a stream are merged once each: handed over again, whole or when the
+    writer died half-way, they leave counts, stamps and counters as after one."""
+    landing, lake, state = tmp_path / "landing", str(tmp_path / "lake"), str(tmp_path / "state")
+    (landing / "horse_data").mkdir(parents=True)
+    stored = DayCounters(spark, f"{tmp_path}/counters")
+    for i, docs in enumerate([[(1, 10, 1), (2, 10, 2)], [(2, 10, 2), (3, 11, 1)]]):
+        (landing / "horse_data" / f"CLEANED_{i}.ndjson").write_text("\n".join(horse_doc(*d) for d in docs) + "\n{broken\n")
+        counts = ingest_stream(spark, str(landing), lake, "horse_data/", state, counters=stored)
+        assert [c["horses"]["inserted"] for c in counts] == [2 - i]
+    assert ingest_stream(spark, str(landing), lake, "horse_data/", state, counters=stored) == []
+    names = ("horses", "horse_careers", "races", "race_records")
+    read = lambda: {n: rows(tables.base_table(spark, lake, n).read()) for n in names}
+    before = read()
+    # The checkpoint is lost: all files come again, in one batch numbered 0.
+    staged = spark.read.schema(schema.STAGED_HORSE).json(f"{landing}/horse_data/CLEANED_1.ndjson").where("horse_id IS NOT NULL")
+    again = ingest.merge_batch(spark, lake, "horse_data/", staged, 1, stored)
+    assert all(c == {"staged": 0, "updated": 0, "inserted": 0} for c in again.values()) and read() == before
+    known = RacingTables.load(spark, lake)
+    assert rows(day_counters.jockeys(stored, "2025-09-01")) == rows(people.jockeys(known, "2025-09-01"))
+
+
+def test_batch_of_a_dead_writer(spark, tmp_path):
+    shape = schema.BREEDERS
+    batch = lambda *ids: spark.createDataFrame([(i, "n", "c") for i in ids], "breeder_id long, name string, city string")
+    table = tables.MergedTable(spark, str(tmp_path / "t"), shape, ["breeder_id"])
+    assert table.merge(batch(1, 2), F.current_timestamp(), ("f", 0))["inserted"] == 2
+    # One dies before its merge is committed, another right after.
+    (tmp_path / "t" / "_claim=2").touch()
+    (tmp_path / "t" / "_batch=f=1=2").touch()
+    (tmp_path / "t" / "m=2").mkdir()
+    assert table.merge(batch(2, 3), F.current_timestamp(), ("f", 1)) == {"staged": 2, "updated": 1, "inserted": 1}
+    os.remove(tmp_path / "t" / "_done=f=1")
+    before = rows(table.read())
+    table.compact(keep=1)
+    for number in (1, 0):
+        assert table.merge(batch(2, 3), F.current_timestamp(), ("f", number))["staged"] == 0
+    assert rows(table.read()) == before and table.merge(batch(4), F.current_timestamp(), ("g", 0))["inserted"] == 1
+
+
+def test_stream_stops_over_budget(spark, tmp_path):
+    folder = tmp_path / "landing" / "jockey_data"
+    folder.mkdir(parents=True)
+    (folder / "CLEANED_1.ndjson").write_text('{"jockey_id": 1}\n{broken\n')
+    with pytest.raises(Exception, match="malformed"):
+        ingest_stream(spark, str(tmp_path / "landing"), str(tmp_path / "lake"), "jockey_data/", str(tmp_path / "state"))
+    assert tables.base_table(spark, str(tmp_path / "lake"), "jockeys").read().count() == 0
+
+
+def test_replacing_one_date(spark, tmp_path):
+    path = str(tmp_path / "p")
+    df = lambda *days: spark.createDataFrame([(f"r{n}", dt.datetime(2025, 1, d)) for n, d in days], schema.INGESTION_METADATA)
+    tables.write_by_date(df((1, 1), (2, 1), (3, 2), (4, 3)), path, "last_processed_time")
+    files_of = lambda: {str(f): f.stat().st_mtime_ns for f in (tmp_path / "p").rglob("*.parquet")}
+    before = files_of()
+    tables.write_by_date(df((9, 2)), path, "last_processed_time", mode="replace")
+    after = files_of()
+    assert {f for f in before if "2025-01-02" not in f} == {f for f in after if f in before}
+    assert all(before[f] == after[f] for f in after if f in before)
+    assert sorted(r.prefix for r in tables.read_by_date(spark, path, schema.INGESTION_METADATA).collect()) == ["r1", "r2", "r4", "r9"]
+
+
+def test_one_job_writes_and_counts(spark, tmp_path):
+    """Cleaning and merging count while they write: no job reads the result back."""
+    master = tmp_path / "m.ndjson"
+    master.write_text('{"a":1}\n{"a":1}\n{"a":2}\n{\n')
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("once"))
+    spark.sparkContext.setJobGroup("once", "counted")
+    try:
+        assert ingest.clean_folder(spark, str(master), f"{tmp_path}/out") == {"initial_count": 4, "removed_count": 2, "final_count": 2}
+        done = jobs()
+        spark.read.text(f"{tmp_path}/out").count()
+        assert done <= 2 < done + jobs()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_partitioned_write_prunes(spark, tmp_path):
     df = spark.createDataFrame([("a", dt.datetime(2025, 1, d)) for d in (1, 1, 2)], schema.INGESTION_METADATA)
     tables.write_by_date(df, str(tmp_path / "p"), "last_processed_time")
