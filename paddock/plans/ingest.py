@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from paddock import schema
+from paddock.functions import farm
 from paddock.functions import scalars as S
 from paddock.operators.merge import merge_touch_or_insert
 from paddock.plans.day_counters import DayCounters, touched_days
@@ -49,6 +50,7 @@ def staged_records(staged: DataFrame) -> DataFrame:
     Prize money is rounded to whole units, halves away from zero; a place that
     is not a number is NULL.
     """
+    farm.register(staged.sparkSession)  # a stream's batches have a session of their own
     horse, r = F.col("horse_id"), F.col("r")
     return staged.select("horse_id", F.explode("races").alias("r")).select(
         S.record_key(horse, r["race_id"], r["start_order"]).alias("race_record_id"),

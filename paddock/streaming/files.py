@@ -21,10 +21,11 @@ from paddock.sources.ndjson import CORRUPT, BadRecordBudgetExceeded
 def cleaned_stream(
     spark: SparkSession, landing: str, schema: T.StructType, files_per_batch: int = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*CLEANED_*.ndjson")
+    """Rows of cleaned files, and of cleaned directories that a job wrote."""
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(landing)
+    return reader.json(f"{landing.rstrip('/')}/*CLEANED_*.ndjson")
 
 
 def ingest_available(
