@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paddock.session import materialize, scratch_path, tune
 
-__all__ = ["Names", "ascii_lower", "bucket_bits", "materialize", "prepared", "ranked", "row_keys", "scratch_path", "seeded", "source_key", "table"]
+__all__ = ["Names", "ascii_lower", "bucket_bits", "columns_of", "materialize", "packed", "prepared", "ranked", "row_keys", "scratch_path", "seeded", "source_key", "table", "unpacked"]
 
 HASH_BITS = 60
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -44,6 +44,23 @@ class Names:
         return made if len(made) > 1 else made[0]
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def packed(df: DataFrame, **needed: Column) -> DataFrame:
+    """Whole rows as one column ``row``, beside columns of other names made from them:
+    what an operator adds for a while can't meet a column of the table."""
+    return df.select(F.struct(*columns_of(df)).alias("row"), *[c.alias(name) for name, c in needed.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], *made: str) -> DataFrame:
+    """The columns of packed rows, but for those that ``made`` ones replace."""
+    kept = [F.col("row").getField(c).alias(c) for c in columns if c.lower() not in {m.lower() for m in made}]
+    return df.select(*kept, *made)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else. ``lower`` does just that, and faster,
     unless the text has a cased letter outside ASCII."""

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paddock.llm.common import ascii_lower, materialize, row_keys
+from paddock.llm.common import Names, ascii_lower, columns_of, materialize, row_keys
 
 N = 13
 ANCHOR = 3
@@ -111,14 +111,17 @@ def contaminated(least: int = 20) -> Column:
 def decontaminated(docs: DataFrame, benchmark: DataFrame, cut: bool = False, n: int = N) -> DataFrame:
     """Documents without the contaminated ones; with ``cut`` these stay, but the
     spans hit are removed from their texts (with what follows each word).
-    Columns are kept as they are; all copies of a row share its fate."""
+    Columns are kept as they are; all copies of a row share its fate. Null and
+    empty texts are clean, and without benchmark rows all are."""
     k1, k2 = row_keys(docs)
-    keyed = docs.withColumns({"_k1": k1, "_k2": k2})
-    bad = materialize(contamination(docs, benchmark, n).where(contaminated()).select("_k1", "_k2", "spans"), "contaminated")
+    one, two, spans = Names(docs).new("k1", "k2", "spans")
+    keyed = docs.withColumns({one: k1, two: k2})
+    bad = contamination(docs, benchmark, n).where(contaminated())
+    bad = materialize(bad.select(F.col("_k1").alias(one), F.col("_k2").alias(two), F.col("spans").alias(spans)), "contaminated")
     if not cut:
-        return keyed.join(bad, ["_k1", "_k2"], "left_anti").drop("_k1", "_k2")
+        return keyed.join(bad, [one, two], "left_anti").drop(one, two)
     chunks = F.regexp_extract_all("text", F.lit(CHUNK), F.lit(0))
-    outside = F.filter(chunks, lambda c, i: ~F.exists("_spans", lambda s: (i >= s["at"]) & (i < s["at"] + s["n"])))
+    outside = F.filter(chunks, lambda c, i: ~F.exists(spans, lambda s: (i >= s["at"]) & (i < s["at"] + s["n"])))
     rest = F.concat(F.regexp_extract("text", LEAD, 0), F.array_join(outside, ""))
-    joined = keyed.join(bad.withColumnRenamed("spans", "_spans"), ["_k1", "_k2"], "left")
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(rest)).select(*docs.columns)
+    joined = keyed.join(bad, [one, two], "left")
+    return joined.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(rest)).select(*columns_of(docs))

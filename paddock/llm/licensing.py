@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paddock.llm.common import LOWER, UPPER
+from paddock.llm.common import LOWER, UPPER, Names
 
 # Known licence sentences in normal form, as their licences state
 # them, each with its identifier.
@@ -151,16 +151,18 @@ def scanned(docs: DataFrame) -> DataFrame:
     """
     has_cue = F.col("text").rlike(f"(?i){CUE}")
     rows = docs.drop("licenses", "sentence_ids", "n_unknown", "status")
-    rows = rows.withColumn("_ids", F.when(has_cue, identifiers(F.col("text"))).otherwise(F.array().cast("array<string>")))
-    rows = rows.withColumn("_left0", F.array_join(F.transform("_ids", lambda x: F.concat(F.lit("<"), x, F.lit(">"))), ""))
+    taken = Names(rows, "licenses", "sentence_ids", "n_unknown", "status")
+    ids, *left = taken.new("ids", *[f"left{i}" for i in range(len(RULES) + 1)])
+    rows = rows.withColumn(ids, F.when(has_cue, identifiers(F.col("text"))).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn(left[0], F.array_join(F.transform(ids, lambda x: F.concat(F.lit("<"), x, F.lit(">"))), ""))
     found = []
-    for i, (license_id, sequence) in enumerate(RULES):
-        needle, left = F.lit("".join(map(token, sequence.split()))), F.col(f"_left{i}")
-        found.append(F.when(F.contains(left, needle), F.lit(license_id)))
-        rows = rows.withColumn(f"_left{i + 1}", F.replace(left, needle, F.lit("|")))
+    for (license_id, sequence), before, after in zip(RULES, left, left[1:]):
+        needle = F.lit("".join(map(token, sequence.split())))
+        found.append(F.when(F.contains(F.col(before), needle), F.lit(license_id)))
+        rows = rows.withColumn(after, F.replace(F.col(before), needle, F.lit("|")))
     # What is used up leaves a bar, so that its neighbours don't become one.
     names = F.array_distinct(F.filter(F.array(*found), lambda x: x.isNotNull()))
-    rest = F.regexp_count(f"_left{len(RULES)}", F.lit("<")).cast("long")
-    rows = rows.withColumns({"licenses": F.array_join(names, ","), "sentence_ids": F.array_join("_ids", " "), "n_unknown": rest})
+    rest = F.regexp_count(left[-1], F.lit("<")).cast("long")
+    rows = rows.withColumns({"licenses": F.array_join(names, ","), "sentence_ids": F.array_join(ids, " "), "n_unknown": rest})
     status = F.when(F.col("licenses") != "", "licensed").when(F.col("n_unknown") > 0, "unknown").otherwise("none")
-    return rows.withColumn("status", status).drop("_ids", *[f"_left{i}" for i in range(len(RULES) + 1)])
+    return rows.withColumn("status", status).drop(ids, *left)

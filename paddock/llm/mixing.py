@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paddock.llm.common import HASH_BITS, bucket_bits, materialize, ranked, seeded, source_key
+from paddock.llm.common import HASH_BITS, bucket_bits, materialize, packed, ranked, seeded, source_key, unpacked
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -58,12 +58,15 @@ def sampled(rows: DataFrame, size: str, source: str = "source", key: str = "doc_
 
     The result depends on the source, size, key and salt of rows alone, so reruns
     agree. A null source is a source of its own, last in order; a source without
-    words has target 0 and no copies. Equal rows are counted one by one. Columns
-    of the added names are replaced; helpers begin with an underscore. ``rows``
-    is read several times: pass a table or a cheap plan.
+    words has target 0 and no copies. Equal rows are counted one by one; null keys are
+    told apart by the salt; an empty table gives an empty result. Columns of the added
+    names are replaced, all others are kept. ``rows`` is read several times: pass a
+    table or a cheap plan.
     """
-    base = rows.drop(*({"source_size", "target", "copies"} - {size, source, key, *salt}))
-    base = base.withColumns({"_src": source_key(F.col(source)), "_h": seeded(seed, F.col(key), F.col(size))})
+    columns = rows.columns
+    salts = {f"salt{i}": F.col(c) for i, c in enumerate(salt)}
+    base = packed(rows, _src=source_key(F.col(source)), _h=seeded(seed, F.col(key), F.col(size)), size=F.col(size), key=F.col(key), **salts)
+    size, key, salt = "size", "key", tuple(salts)
     sizes = base.groupBy("_src").agg(F.sum(size).alias("source_size"), F.count("*").alias("docs"))
     targets = materialize(source_targets(sizes, most=float(most)), "targets")
     total = targets.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("n")).first()["n"]
@@ -76,13 +79,18 @@ def sampled(rows: DataFrame, size: str, source: str = "source", key: str = "doc_
     crossed = F.floor((F.col("_r") + 1) * F.col("_rate") + F.col("_u")) - F.floor(F.col("_r") * F.col("_rate") + F.col("_u"))
     placed = placed.withColumn("_rate", rate)
     placed = placed.withColumn("copies", F.least(crossed, F.ceil("_rate")).cast("int"))
-    return placed.drop("_src", "_h", "_b", "_r", "_u", "_rate", "docs")
+    return unpacked(placed, columns, "source_size", "target", "copies")
 
 
 def mixed(docs: DataFrame, seed: int = 6) -> DataFrame:
-    """The mix itself: each document as many times as it is taken."""
-    columns = docs.columns
-    rows = docs.withColumn("_size", n_words(F.col("text")))
-    taken = sampled(rows, "_size", seed=seed, salt=("text",)).where("copies > 0")
-    times = taken.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return times.select(*columns)
+    """The mix itself: each document as many times as it is taken, with its columns.
+
+    A null or empty text has no words, and whether it is taken is drawn like for any
+    other. Documents of one id, or without an id, are told apart by a hash of their
+    text; equal rows are drawn one by one. An empty table gives an empty mix.
+    """
+    words = n_words(F.col("text"))
+    rows = packed(docs, doc_id=F.col("doc_id"), source=F.col("source"), words=words, text_hash=F.xxhash64("text"))
+    kept = sampled(rows.withColumnRenamed("row", "doc"), "words", seed=seed, salt=("text_hash",)).where("copies > 0")
+    times = kept.select(F.col("doc").alias("row"), F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return unpacked(times, docs.columns)

@@ -167,9 +167,9 @@ WITH grouped AS (
 ended AS (
     SELECT *, list_max(list_transform(turns, lambda t, i: CASE WHEN t.role = 'assistant' THEN i ELSE 0 END)) AS n FROM grouped),
 paired AS (
-    SELECT a.conv_id, CASE WHEN a.n > 0 THEN a.turns[1:a.n] ELSE a.turns END AS chosen,
-           CASE WHEN a.n > 0 THEN list_concat(a.turns[1:a.n - 1], [struct_pack(turn := a.turns[a.n].turn, role := a.turns[a.n].role,
-               text := CASE WHEN b.n > 0 THEN b.turns[b.n].text ELSE '' END)]) ELSE a.turns END AS rejected
+    SELECT a.conv_id, a.turns AS chosen,
+           CASE WHEN a.n > 0 THEN list_concat(list_concat(a.turns[1:a.n - 1], [struct_pack(turn := a.turns[a.n].turn, role := a.turns[a.n].role,
+               text := CASE WHEN b.n > 0 THEN b.turns[b.n].text ELSE '' END)]), a.turns[a.n + 1:]) ELSE a.turns END AS rejected
     FROM ended a LEFT JOIN ended b ON b.conv_id = xor(a.conv_id, 1)),
 same AS (
     SELECT *, list_position(list_transform(chosen, lambda t, i: i <= len(rejected) AND t.role = rejected[i].role AND t.text = rejected[i].text), false) AS first

@@ -92,21 +92,20 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame, key: str = "pair_id
 
 
 def with_borrowed_replies(conversations: DataFrame, key: str = "conv_id") -> DataFrame:
-    """Pairs made from plain conversations: chosen is the conversation up to its
-    last assistant turn, rejected the same with that turn's text taken from its
-    neighbour (the key with its lowest bit flipped; without one: empty). Without
-    an assistant turn both are the whole conversation."""
-    rows = turns_of(conversations, key)
+    """Pairs made from plain conversations: chosen is the whole conversation, rejected
+    the same with the text of its last assistant turn taken from its neighbour (the key
+    with its lowest bit flipped; without one: empty). What follows that turn is kept on
+    both sides; it holds no assistant's words, so no mask covers it. Without an
+    assistant turn both are alike. Nulls, ties and repeated rows as in ``turns_of``; a
+    null key is one conversation without a neighbour, an empty table has no pairs, and
+    other columns are not kept."""
+    rows = turns_of(conversations.select(key, "turn", "role", "text"), key)
     last = F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda t: t["role"] == "assistant")), F.lit(True)) + 1
     rows = rows.withColumn("_last", F.when(last <= F.size("turns"), last).otherwise(0).cast("int"))
     reply = F.when(F.col("_last") > 0, F.get("turns", F.col("_last") - 1)["text"])
     replies = rows.select(F.col(key).bitwiseXOR(F.lit(1)).alias("_for"), reply.alias("_reply"))
     joined = rows.join(replies, rows[key] == replies["_for"], "left")
-    kept = F.slice("turns", F.lit(1), F.greatest(F.col("_last") - 1, F.lit(0)))
-    final = F.get("turns", F.col("_last") - 1)
-    borrowed = F.array(F.struct(final["turn"].alias("turn"), final["role"].alias("role"), F.coalesce("_reply", F.lit("")).alias("text")))
-    return joined.select(
-        key,
-        F.when(F.col("_last") > 0, F.slice("turns", F.lit(1), F.col("_last"))).otherwise(F.col("turns")).alias("chosen"),
-        F.when(F.col("_last") > 0, F.concat(kept, borrowed)).otherwise(F.col("turns")).cast(TURNS).alias("rejected"),
+    borrowed = F.transform(
+        "turns", lambda t, i: F.struct(t["turn"], t["role"], F.when(i + 1 == F.col("_last"), F.coalesce("_reply", F.lit(""))).otherwise(t["text"]))
     )
+    return joined.select(key, F.col("turns").alias("chosen"), borrowed.cast(TURNS).alias("rejected"))

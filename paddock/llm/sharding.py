@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paddock.llm.common import HASH_BITS, bucket_bits, ranked, seeded, source_key
+from paddock.llm.common import HASH_BITS, bucket_bits, packed, ranked, seeded, source_key, unpacked
 
 OFFSET_BITS = 20
 
@@ -26,15 +26,14 @@ def interleave(rows: DataFrame, shards: int, source: str = "source", key: str =
     The order depends on ``key`` and the ``salt`` columns. A null source is a
     source of its own; null keys are told apart by the salt; equal rows take
     neighbouring places of their source, in any order. An empty table gives an
-    empty result. Columns named ``shard`` or ``slot`` are replaced; names that
-    begin with an underscore and are used here (_src _h _b _r _n _f _fb _pos) are
-    not kept. ``rows`` is read several times: pass a table or a cheap plan.
+    empty result. Columns named ``shard`` or ``slot`` are replaced, all others are
+    kept. ``rows`` is read several times: pass a table or a cheap plan.
     """
     total = rows.count()
     bits = bucket_bits(total)
-    base = rows.drop("shard", "slot").withColumns(
-        {"_src": source_key(F.col(source)), "_h": seeded(seed, F.col(key), *[F.col(c) for c in salt])}
-    )
+    salts = {f"salt{i}": F.col(c) for i, c in enumerate(salt)}
+    base = packed(rows, _src=source_key(F.col(source)), _h=seeded(seed, F.col(key), *salts.values()), key=F.col(key), **salts)
+    key, salt = "key", tuple(salts)
     base = base.withColumn("_b", F.shiftright("_h", HASH_BITS - bits))
     order = ["_h", key, *salt]
     in_source = ranked(base, ["_src"], "_b", order, "_r", "_n")
@@ -46,4 +45,4 @@ def interleave(rows: DataFrame, shards: int, source: str = "source", key: str =
     shard = F.expr(f"CAST((_pos * {shards}) div {max(total, 1)} AS INT)")
     first = F.expr(f"(CAST(shard AS BIGINT) * {total} + {shards - 1}) div {shards}")
     placed = placed.withColumn("shard", shard).withColumn("slot", F.col("_pos") - first)
-    return placed.drop("_src", "_h", "_b", "_r", "_n", "_f", "_fb", "_all", "_pos")
+    return unpacked(placed, rows.columns, "shard", "slot")

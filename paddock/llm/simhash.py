@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from paddock.llm.common import materialize, prepared, row_keys
+from paddock.llm.common import Names, materialize, prepared, row_keys
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -245,7 +245,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", budget: int = MAX_BITS
     signed = materialize(signed, "signed")
     joined = signed.join(materialize(signed_components(signed, "id", budget), "components"), "fp")
     first = F.min(F.struct(F.col("id").isNull(), "id", "_k1", "_k2")).alias("kept")
-    kept = joined.groupBy("root").agg(first).select("kept._k1", "kept._k2")
+    one, two = Names(docs).new("k1", "k2")
+    kept = joined.groupBy("root").agg(first).select(F.col("kept._k1").alias(one), F.col("kept._k2").alias(two))
     kept = materialize(kept, "kept")
-    keyed = docs.withColumns({"_k1": k1, "_k2": k2})
-    return keyed.join(kept, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2")
+    keyed = docs.withColumns({one: k1, two: k2})
+    return keyed.join(kept, [one, two], "left_semi").dropDuplicates([one, two]).drop(one, two)

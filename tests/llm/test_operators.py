@@ -40,7 +40,9 @@ def odd(spark):
         (6, "ÉCOLE École école", "fr", "c", 1),
         (7, "12 345 !!", "fr", "c", 1),
     ]
-    clash = ["shard", "slot", "size", "target", "copies", "source_size", "lang_pred", "score", "licenses", "status", "fp", "component_id", "n_hit"]
+    clash = ["shard", "slot", "size", "target", "copies", "source_size", "lang_pred", "score", "licenses", "status", "fp", "component_id", "n_hit",
+             "_src", "_h", "_b", "_r", "_n", "_f", "_fb", "_all", "_pos", "_rate", "_u", "_size", "_time", "_k1", "_k2", "_spans", "_lid", "_found", "_ids", "_left0",
+             "_left1", "_rows", "_start", "_number", "_text_hash", "row", "key", "salt0", "copies2", "text_hash", "words", "doc", "_row"]
     df = spark.createDataFrame(rows, DOCS)
     return materialize(df.withColumns({c: F.lit("clash") for c in clash}), "odd")
 
@@ -408,6 +410,49 @@ def test_language_id(spark, sf, odd, none):
     assert kept.columns == odd.columns and not {2, 3, 4, 7} & {r["doc_id"] for r in kept.collect()}
 
 
+def test_probabilities_against_loops():
+    """The lookups of byte pairs, the plain network, and loops over places agree."""
+    rng = np.random.default_rng(3)
+    model = langid.ByteConv.fresh(["a", "b", "c"])
+    for bias in model.bias:
+        bias += rng.normal(0, 0.2, bias.shape).astype(np.float32)
+    x = np.concatenate([langid.windows_of(t) for t in ("short", "ÄÖ ü " * 90, "é", "x" * 1000)])
+    fast = model.probabilities(x, model.tables())
+    features = np.zeros((len(x), len(langid.WIDTHS) * langid.FILTERS))
+    for row, window in enumerate(x):
+        for w, (k, kernel, bias) in enumerate(zip(langid.WIDTHS, model.kernels, model.bias)):
+            for f in range(langid.FILTERS):
+                best = max(sum(float(kernel[i, window[at + i], f]) for i in range(k)) for at in range(len(window) - k + 1))
+                features[row, w * langid.FILTERS + f] = max(best + float(bias[f]), 0)
+    z = np.exp(features @ model.out.astype(float) + model.out_bias)
+    assert np.allclose(fast, z / z.sum(1, keepdims=True), atol=1e-4)
+    assert np.allclose(fast, model.softmax(model.pooled(x)[0]), atol=1e-5) and np.allclose(fast.sum(1), 1, atol=1e-5)
+
+
+def test_sample_takes_whole_texts(spark, monkeypatch):
+    """Pieces come from all over a text, and languages are learned from any of it."""
+    docs = spark.createDataFrame([(i, "head " * 400 + f"tail{i} " * 400, "x") for i in range(40)], "doc_id long, text string, lang string")
+    sample = langid.labelled_sample(prepared(spark).createDataFrame(docs.toPandas()), F.lit(True))
+    assert len(sample) == 40 and all(0 < len(p) <= langid.WINDOWS_PER_DOC and all(len(x) == langid.WINDOW for x in p) for p in sample["pieces"])
+    seen = [("head" in x, "tail" in x) for p in sample["pieces"] for x in p]
+    assert sum(a for a, _ in seen) > 20 and sum(b for _, b in seen) > 20
+    again = langid.labelled_sample(docs.repartition(3), F.lit(True)).sort_values("doc_id")
+    assert [list(p) for p in again["pieces"]] == [list(p) for p in sample.sort_values("doc_id")["pieces"]]
+
+
+def test_rejected_texts(spark, sf):
+    """Clean documents stay; shuffled, foreign and random text with letters goes."""
+    docs = prepared(spark).read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(4)
+    long = [r["text"] for r in docs.where("length(text) > 200").limit(40).collect()]
+    bad = ["".join(rng.sample(t, len(t))) for t in long] + ["Это предложение написано на русском языке. " * 9, "这是一个用中文写的句子。" * 20]
+    bad += ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789{};", k=400)) for _ in range(20)]
+    more = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(bad)], docs.schema)
+    kept = {r["doc_id"] for r in langid.accepted(docs.unionByName(more)).collect()}
+    clean = {r["doc_id"] for r in docs.collect() if langid.has_letter(r["text"])}
+    assert len(clean - kept) <= len(clean) // 100 and sum(i >= 10**9 for i in kept) <= 2
+
+
 def test_windows_cover_the_text():
     for n in (1, 3, 255, 256, 257, 509, 510, 5000):
         text = "".join(chr(97 + i % 26) for i in range(n))
@@ -498,13 +543,68 @@ def test_preferences(spark):
     assert preferences.preference_pairs(*[x.limit(0) for x in both]).count() == 0
 
 
+def plain_pairs(rows):
+    """Prompt and completions of each conversation, turn by turn."""
+    held = {}
+    for conv, turn, role, text in rows:
+        held.setdefault(conv, []).append((turn is not None, turn or 0, role or "user", text or ""))
+    turns = {c: [t[2:] for t in sorted(own)] for c, own in held.items()}
+    clean = lambda x: x.replace("<|", "< |")
+    out = {}
+
+    def last_reply(c):
+        return max((i for i, (role, _) in enumerate(turns.get(c, [])) if role == "assistant"), default=None)
+
+    def drawn(part):
+        text, spans = "", []
+        for role, said in part:
+            text += f"<|{clean(role)}|>\n"
+            if role == "assistant":
+                spans.append(f"{len(text)}-{len(text) + len(clean(said)) + 7}")
+            text += f"{clean(said)}<|end|>\n"
+        return text, " ".join(spans)
+
+    for c, own in turns.items():
+        at, other = last_reply(c), None if c is None else c ^ 1
+        rejected = list(own)
+        if at is not None:
+            there = None if other is None else last_reply(other)
+            rejected[at] = ("assistant", turns[other][there][1] if there is not None else "")
+        n = next((i for i, (a, b) in enumerate(zip(own, rejected)) if a != b), len(own))
+        (chosen, mask), (worse, other_mask) = drawn(own[n:]), drawn(rejected[n:])
+        out[c] = (n, drawn(own[:n])[0], chosen, worse, mask, other_mask, len(own) > n)
+    return out
+
+
+FORMATTED = ["n_prompt_turns", "prompt", "chosen_text", "rejected_text", "chosen_mask", "rejected_mask", "differs"]
+
+
 def test_borrowed_replies(spark):
+    """Against plain loops: turns after the last reply, nulls everywhere, ties, repeated
+    rows, marks of the template, a very long text, clashing columns, an empty table."""
+    rng = random.Random(12)
     rows = [(0, 0, "user", "q"), (0, 1, "assistant", "a0"), (0, 2, "user", "thanks"), (1, 0, "user", "r"), (1, 1, "assistant", "a1"),
-            (2, 0, "assistant", "lone"), (3, 0, "user", "no reply"), (None, 0, "user", "x")]
+            (2, 0, "assistant", "lone"), (3, 0, "user", "no reply"), (None, 0, "user", "x"), (None, 1, "assistant", "y"),
+            (4, 0, "user", "<|end|>"), (4, 1, "assistant", "long " * 200_000), (4, 2, "user", None), (5, None, None, "first")]
+    for c in range(6, 60):
+        rows += [(c, rng.choice([t, t, None]), rng.choice(["user", "assistant", "system", None]), rng.choice(["a", "b", "", None, "é<|"])) for t in range(rng.randrange(1, 7))]
+    rows += rows[:5]
     conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {r["conv_id"]: r for r in preferences.formatted(preferences.with_borrowed_replies(conv)).collect()}
-    assert len(got) == 5 and "a0" in got[0]["chosen_text"] and "a1" in got[0]["rejected_text"] and "thanks" not in got[0]["chosen_text"]
-    assert "a0" in got[1]["rejected_text"] and "lone" in got[2]["chosen_text"] and not got[3]["differs"] and not got[None]["differs"]
+    wide = conv.withColumns({c: F.lit("clash") for c in ("turns", "chosen", "rejected", "prompt", "_last", "_for", "_reply", "differs")})
+    pairs = materialize(preferences.formatted(preferences.with_borrowed_replies(wide.repartition(4))), "pairs")
+    assert {r["conv_id"]: tuple(r[c] for c in FORMATTED) for r in pairs.collect()} == plain_pairs(rows)
+    got = {r["conv_id"]: r for r in pairs.collect()}
+    assert "thanks" in got[0]["chosen_text"] and "thanks" in got[0]["rejected_text"] and "a1" in got[0]["rejected_text"]
+    assert preferences.formatted(preferences.with_borrowed_replies(wide.limit(0))).count() == 0
+
+
+def test_all_turns_are_rendered(spark, sf):
+    """Prompt and completion of the given conversations hold all their characters."""
+    conv = spark.read.parquet(f"{sf}/conversations.parquet")
+    pairs = preferences.formatted(preferences.with_borrowed_replies(conv))
+    rendered = pairs.agg(F.sum(F.length("prompt") + F.length("chosen_text"))).first()[0]
+    plain = conv.select(F.sum(F.length(F.replace("text", F.lit("<|"), F.lit("< |"))) + F.length("role") + len("<||>\n<|end|>\n"))).first()[0]
+    assert rendered == plain
 
 
 # SpotSigs

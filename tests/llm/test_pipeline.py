@@ -5,6 +5,7 @@ from collections import Counter
 import corpus_pipeline
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_operators import brute_components, brute_fingerprint
 
 from paddock.llm import langid, oracles
@@ -33,7 +34,8 @@ def test_language(stages):
     _, given, out = stages[0]
     assert keys(out) <= keys(given)
     gone = keys(given) - keys(out)
-    assert all(not langid.has_letter(text) for _, text in gone) and all(langid.has_letter(text) for _, text in keys(out))
+    lettered = [text for _, text in gone.elements() if langid.has_letter(text)]
+    assert len(lettered) <= given.count() // 100 and all(langid.has_letter(text) for _, text in keys(out))
 
 
 def test_dedup(stages):
@@ -76,3 +78,23 @@ def test_shards(stages):
 
 def test_run(spark, sf, stages):
     assert keys(corpus_pipeline.run(spark, sf)) == keys(stages[-1][2])
+
+
+def test_odd_rows(spark, sf):
+    """Null in every column, empty, white and very long texts, repeated rows and ids, and
+    columns with names that operators use, through all stages; then no rows at all."""
+    docs = table(spark, sf, "documents")
+    rows = [(None, "Words without an id and without a source, but long enough.", "en", None, 1), (10**9, None, None, None, None), (10**9 + 1, "", "en", "b", 0),
+            (10**9 + 2, " \t\n", "en", "b", 3), (10**9 + 3, " ".join(f"the{i % 97} and of" for i in range(60_000)), "en", "c", 1)]
+    wide = docs.unionByName(spark.createDataFrame(rows, docs.schema)).unionByName(docs.limit(5))
+    clash = ("shard", "slot", "size", "copies", "target", "lang_pred", "score", "_src", "_rate", "_size", "_k1", "_k2", "_lid", "_text_hash", "row", "fp", "root", "_found")
+    wide = materialize(wide.withColumns({c: F.concat(F.lit("kept "), "doc_id") for c in clash}), "wide")
+    for odd in (wide, wide.limit(0)):
+        out = odd
+        for name, stage in corpus_pipeline.STAGES:
+            given, out = out, materialize(stage(spark, out, sf), name)
+            replaced = {"shard", "slot"} if name == "shard" else set()
+            assert set(out.columns) == set(given.columns)
+            same = [c for c in clash if c not in replaced]
+            assert all(r[c] == (None if r["doc_id"] is None else f"kept {r['doc_id']}") for r in out.select("doc_id", *same).collect() for c in same)
+        assert out.count() > 150 if odd is wide else out.count() == 0
