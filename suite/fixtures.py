@@ -133,6 +133,8 @@ def with_views(sql: str, *names: str) -> str:
     """Reference SQL with the derived views it names in front."""
     ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
     head, rest = ("WITH ", sql.strip())
+    if rest.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{rest[15:]}"
     if rest.upper().startswith("WITH "):
         return f"{head}{ctes},\n{rest[5:]}"
     return f"{head}{ctes}\n{rest}"

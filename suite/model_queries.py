@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from paddock import schema
 from paddock.functions import scalars as S
-from paddock.ml import metrics, registry, score, train
+from paddock.ml import descent, metrics, registry, score, train
 from paddock.plans.first_version import race_features_v1
 from paddock.plans.horses import horse_features, shared_counts
 from paddock.plans.assembly import race_features
@@ -355,3 +355,95 @@ def _(spark, sf):
     fits = (F.col("score") == F.round(F.col("prob_1") * 100, 2)) & F.col("score").between(0, 100)
     checked = ranked.withColumns({"prob_total": total, "score_fits": fits})
     return checked.drop("score", "probs", *[f"prob_{i}" for i in range(1, 5)])
+
+
+# ---- constant-rate descent --------------------------------------------------
+# The same steps as recursion: the state is the list of weights, and a step is one
+# aggregate over all rows.
+RATING_INPUTS = ["age_years", "career_starts", "sire_win_pct"]
+PLACE_INPUTS = ["start_order", "jockey_weight_kg"]
+
+
+def scaled_sql(names: list[str], source: str) -> str:
+    parts = [f"COALESCE((CAST({c} AS DOUBLE) - AVG({c}) OVER ()) / COALESCE(NULLIF(STDDEV_POP({c}) OVER (), 0), 1), 0) AS x{i + 1}" for i, c in enumerate(names)]
+    return f"SELECT y, CAST(1 AS DOUBLE) AS x0, {', '.join(parts)} FROM {source} WHERE NOT held"
+
+
+def descent_sql(n_inputs: int, n_labels: int, errors: list[str], rate: float, steps: int, l2: float) -> str:
+    """CTEs ``state`` (step, w): weights of label k and input i at k * (n_inputs + 1) + i + 1."""
+    width = n_inputs + 1
+    slopes = [f"AVG(e{k} * x{i})" + (f" + {l2} * ANY_VALUE(w)[{k * width + i + 1}]" if i else "") for k in range(n_labels) for i in range(width)]
+    updated = ", ".join(f"ANY_VALUE(w)[{j + 1}] - {rate} * ({s})" for j, s in enumerate(slopes))
+    zeros = ", ".join(["CAST(0 AS DOUBLE)"] * (width * n_labels))
+    return f"""state AS (
+        SELECT 0 AS step, [{zeros}] AS w
+        UNION ALL
+        SELECT step + 1, [{updated}] FROM (SELECT step, w, xs.*, {", ".join(f"{e} AS e{k}" for k, e in enumerate(errors))} FROM state, xs WHERE step < {steps}) AS t
+        GROUP BY step)"""
+
+
+def linear_sql(width: int, label: int = 0) -> str:
+    return " + ".join(f"w[{label * width + i + 1}] * x{i}" for i in range(width))
+
+
+def softmax_errors(width: int, labels: list[str]) -> list[str]:
+    z = [f"({linear_sql(width, k)})" for k in range(len(labels))]
+    top = f"GREATEST({', '.join(z)})"
+    total = " + ".join(f"EXP({x} - {top})" for x in z)
+    return [f"EXP({x} - {top}) / ({total}) - CASE WHEN y = '{label}' THEN 1 ELSE 0 END" for x, label in zip(z, labels)]
+
+
+def weights_sql(names: list[str], labels: list[str]) -> str:
+    rows, width = [], len(names) + 1
+    for k, label in enumerate(labels):
+        for i, name in enumerate(["(intercept)", *names]):
+            rows.append(f"SELECT '{label}' AS label, '{name}' AS input, {rnd(f'w[{k * width + i + 1}]', 'weight')} FROM last")
+    return " UNION ALL ".join(rows)
+
+
+def weight_rows(spark, weights: descent.Weights, labels: list[str]):
+    names = ["(intercept)", *weights.names]
+    rows = [(label, name, float(w)) for label, row in zip(labels, weights.values) for name, w in zip(names, row)]
+    return spark.createDataFrame(rows, "label string, input string, weight double")
+
+
+@query(
+    "descent_rating",
+    f"""WITH RECURSIVE {HORSE_CTES}, hf AS ({HORSE_FEATURES}),
+        l AS (SELECT h.*, l.rating_score AS y, {held_sql("h.horse_id", 0.15)} AS held FROM hf h
+              JOIN horse_rating_labels l ON l.horse_id = CAST(h.horse_id AS VARCHAR) AND l.snapshot_date = {D} WHERE l.rating_score IS NOT NULL),
+        xs AS ({scaled_sql(RATING_INPUTS, "l")}),
+        {descent_sql(3, 1, [f"{linear_sql(4)} - y"], 0.1, 50, 1.0)},
+        last AS (SELECT w FROM state WHERE step = 50)
+        {weights_sql(RATING_INPUTS, ["rating"])}""",
+    f"{RR} horses horse_careers horse_rating_labels",
+    "weight",
+)
+def _(spark, sf):
+    """Weights of the rating model after 50 steps of rate 0.1; all inputs train beside."""
+    t = racing(spark, sf)
+    rows = train.join_labels(horse_features(t, AS_OF), view(spark, sf, "horse_rating_labels"), AS_OF)
+    weights, metrics = descent.train_rating(rows, RATING_INPUTS)
+    assert all(v is None or math.isfinite(v) for v in metrics.values())
+    return weight_rows(spark, weights, ["rating"])
+
+
+PLACES = [str(i) for i in range(1, 8)]
+
+
+@query(
+    "descent_place",
+    f"""WITH RECURSIVE s AS (SELECT CAST(finish_place AS VARCHAR) AS y, start_order, jockey_weight_kg, {held_sql("race_id horse_id", 0.15)} AS held
+              FROM race_records WHERE finish_place IS NOT NULL),
+        xs AS ({scaled_sql(PLACE_INPUTS, "s")}),
+        {descent_sql(2, 7, softmax_errors(3, PLACES), 0.05, 30, 1.0)},
+        last AS (SELECT w FROM state WHERE step = 30)
+        {weights_sql(PLACE_INPUTS, PLACES)}""",
+    "race_records",
+    "weight",
+)
+def _(spark, sf):
+    """Weights of a place model after 30 steps of rate 0.05."""
+    weights, metrics = descent.train_place(view(spark, sf, "race_records"), PLACE_INPUTS)
+    assert weights.labels == PLACES and all(v is None or math.isfinite(v) for v in metrics.values())
+    return weight_rows(spark, weights, weights.labels)
