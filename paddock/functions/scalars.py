@@ -159,11 +159,19 @@ def record_key(horse: Column, race: Column, order: Column) -> Column:
     return fingerprint(record_text(horse, race, order))
 
 
-def name_key(text: Column, strip_initial: bool = False, fold: bool = False) -> Column:
-    """Case- and edge-insensitive join key for a person's or horse's name."""
-    key = F.lower(F.trim(text))
+# Fixed value: the collation that ignores case, accents (strokes too) and blanks at the end.
+LENIENT = "UNICODE_CI_AI_RTRIM"
+
+
+def name_key(text: Column, strip_initial: bool = False, fold: bool = False, lenient: bool = False) -> Column:
+    """Case- and edge-insensitive join key for a person's or horse's name. ``fold``
+    takes the diacritics out; ``lenient`` leaves the name and compares it by a collation
+    that ignores them, by which keys are also hashed and sorted."""
+    key = F.trim(text) if lenient else F.lower(F.trim(text))
     if strip_initial:
         key = F.trim(F.regexp_replace(key, r"\s+\p{L}\.$", ""))
+    if lenient:
+        return F.collate(key, LENIENT)
     return F.when(text.isNotNull(), unaccent(key, lenient=True)) if fold else key
 
 

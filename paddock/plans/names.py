@@ -38,20 +38,21 @@ def starter_names(tables: RacingTables) -> DataFrame:
     return out.select("race_record_id", "race_id", "horse_name", "jockey_last_name", "trainer_last_name", "breeder_name")
 
 
-def _lookup(df: DataFrame, key: str, name: str, fold: bool) -> DataFrame:
+def _lookup(df: DataFrame, key: str, name: str, fold: bool, lenient: bool) -> DataFrame:
     return df.where(F.col(name).isNotNull()).select(
-        S.name_key(F.col(name), fold=fold).alias("_name"), key
+        S.name_key(F.col(name), fold=fold, lenient=lenient).alias("_name"), key
     )
 
 
 def resolve_names(
-    entries: DataFrame, tables: RacingTables, strip_initial: bool = False, fold: bool = False
+    entries: DataFrame, tables: RacingTables, strip_initial: bool = False, fold: bool = False, lenient: bool = False
 ) -> DataFrame:
     """Left-join entries to horses, jockeys and trainers on normalized names.
 
     Ids stay NULL without a match; a name that several entities share gives one
     row per entity. ``strip_initial`` reads 'Surname I.' as the bare surname,
-    ``fold`` ignores diacritics.
+    ``fold`` ignores diacritics; ``lenient`` joins on collated names instead, which
+    ignore case, accents and outer blanks without being rewritten.
     """
     out = entries
     for column, df, key, name in (
@@ -60,6 +61,6 @@ def resolve_names(
         ("trainer_last_name", tables.trainers, "trainer_id", "last_name"),
     ):
         person = column != "horse_name"
-        typed = S.name_key(F.col(column), strip_initial and person, fold)
-        out = out.withColumn("_name", typed).join(_lookup(df, key, name, fold), "_name", "left").drop("_name")
+        typed = S.name_key(F.col(column), strip_initial and person, fold, lenient)
+        out = out.withColumn("_name", typed).join(_lookup(df, key, name, fold, lenient), "_name", "left").drop("_name")
     return out.withColumnRenamed("starting_pos", "starting_position")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paddock.functions import vocab as V
@@ -94,3 +95,61 @@ def specialty_means(tables: RacingTables) -> DataFrame:
         "avg_place_delta_temp": "avg_temp_delta",
     }
     return race_features_v1(tables, list(names)).agg(*[F.avg(c).alias(a) for c, a in names.items()])
+
+
+# ---- all checks at once -----------------------------------------------------
+GROUPED = """finish_place distance_bucket temp_bucket track_surface_cat prize_amount_bucket
+    horse_race_count rest_bucket""".split()
+
+
+def _totals() -> dict[str, dict]:
+    """The aggregates over all rows, by check and name."""
+    flags = list(V.WEATHER_FLAGS)
+    started = F.col("win_rate_last_7").isNotNull()
+    return {
+        "temperature_range": {"min_temp": F.min("temp_c"), "max_temp": F.max("temp_c"), "null_clamped": F.count_if(F.col("temp_c").isNull())},
+        "weather_totals": {c.removeprefix("is_") + "_cnt": F.sum(c) for c in flags},
+        "form_means": {"avg_win2_for_7starters": F.avg(F.when(started, F.col("win_rate_last_2"))), "avg_win7": F.avg("win_rate_last_7")},
+        "entity_count_range": {f"{label}_{short}c": fn(f"{e}_race_count") for e, short in ENTITIES.items() for label, fn in (("min", F.min), ("max", F.max))},
+        "entity_rate_means": {f"avg_{short}w": F.avg(f"{e}_win_pct") for e, short in ENTITIES.items()},
+        "specialty_means": {
+            "avg_w1600": F.avg("win_pct_1600"), "avg_w2000": F.avg("win_pct_2000"), "avg_rain_delta": F.avg("win_pct_delta_rain"),
+            "avg_temp_delta": F.avg("avg_place_delta_temp"),
+        },
+    }
+
+
+def all_checks(tables: RacingTables, k: int = 10) -> DataFrame:
+    """All checks as rows (check, label, measure, value), from one pass over the
+    features: a grouping set for each column that is counted by its values, and one more
+    for the totals of the others. ``label`` is the value, null for unknown ones and for
+    totals. All are combined before the shuffle, so no value's rows meet in one task.
+    """
+    totals = _totals()
+    flags, entities = list(V.WEATHER_FLAGS), [f"{e}_{what}" for e in ENTITIES for what in ("race_count", "win_pct")]
+    form = ["win_rate_last_2", "win_rate_last_7", "win_pct_1600", "win_pct_2000", "win_pct_delta_rain", "avg_place_delta_temp"]
+    rows = race_features_v1(tables, ["horse_id", *GROUPED, "temp_c", *flags, *form, *entities])
+    measures = {f"{check}:{name}": c for check, named in totals.items() for name, c in named.items()}
+    sets = [[F.col(c)] for c in GROUPED] + [[]]
+    grouped = rows.groupingSets(sets, *[F.col(c) for c in GROUPED]).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_cnt"), F.countDistinct("horse_id").alias("_horses"),
+        *[c.cast("double").alias(name) for name, c in measures.items()],
+    )
+    # The bits of the columns that are not grouped by are set.
+    bit = {c: 1 << i for i, c in enumerate(reversed(GROUPED))}
+    every = sum(bit.values())
+    described = []
+    for column in GROUPED:
+        value, measure = (F.col("_horses"), "distinct_horses") if column == "rest_bucket" else (F.col("_cnt"), "cnt")
+        row = F.struct(F.lit(column).alias("check"), F.col(column).cast("string").alias("label"), F.lit(measure).alias("measure"), value.cast("double").alias("value"))
+        described.append(F.when(F.col("_set") == every - bit[column], F.array(row)))
+    whole = [
+        F.struct(F.lit(check).alias("check"), F.lit(None).cast("string").alias("label"), F.lit(name).alias("measure"), F.col(f"{check}:{name}").alias("value"))
+        for check, named in totals.items()
+        for name in named
+    ]
+    described.append(F.when(F.col("_set") == every, F.array(*whole)))
+    # Of the yearly start counts the largest; there are few of them.
+    place = F.row_number().over(W.partitionBy("_set").orderBy(F.col("horse_race_count").desc_nulls_last()))
+    wanted = (F.col("_set") != every - bit["horse_race_count"]) | (F.col("_place") <= k)
+    return grouped.withColumn("_place", place).where(wanted).select(F.inline(F.coalesce(*described)))

@@ -255,3 +255,35 @@ check(
     quality.specialty_means,
     "avg_w1600 avg_w2000 avg_rain_delta avg_temp_delta",
 )
+
+
+# ---- all checks from one pass -----------------------------------------------
+def long_rows(check_name: str, source: str, **measures: str) -> list[str]:
+    return [
+        f"SELECT '{check_name}' AS \"check\", CAST(NULL AS VARCHAR) AS label, '{name}' AS measure, {dbl(expr, 'value')} FROM {source}"
+        for name, expr in measures.items()
+    ]
+
+
+def long_counts(column: str, measure: str = "cnt", expr: str = "COUNT(*)", tail: str = "") -> str:
+    inner = f"SELECT {column} AS k, {expr} AS n FROM v GROUP BY 1 {tail}"
+    return f"SELECT '{column}', CAST(k AS VARCHAR), '{measure}', CAST(n AS DOUBLE) FROM ({inner}) AS g_{column}"
+
+
+LONG = [
+    *long_rows("temperature_range", "v", min_temp="MIN(temp_c)", max_temp="MAX(temp_c)", null_clamped="COUNT(*) - COUNT(temp_c)"),
+    *long_rows("weather_totals", "v", **{f"{c.removeprefix('is_')}_cnt": f"SUM({c})" for c in V.WEATHER_FLAGS}),
+    *long_rows("form_means", "v WHERE win_rate_last_7 IS NOT NULL", avg_win2_for_7starters="AVG(win_rate_last_2)", avg_win7="AVG(win_rate_last_7)"),
+    *long_rows("entity_count_range", "v", **{f"{f.lower()}_{p[0]}c": f"{f}({p}_race_count)" for p in PEOPLE for f in ("MIN", "MAX")}),
+    *long_rows("entity_rate_means", "v", **{f"avg_{p[0]}w": f"AVG({p}_win_pct)" for p in PEOPLE}),
+    *long_rows("specialty_means", "v", avg_w1600="AVG(win_pct_1600)", avg_w2000="AVG(win_pct_2000)", avg_rain_delta="AVG(win_pct_delta_rain)", avg_temp_delta="AVG(avg_place_delta_temp)"),
+    *[long_counts(c) for c in "finish_place distance_bucket temp_bucket track_surface_cat prize_amount_bucket".split()],
+    long_counts("horse_race_count", tail="ORDER BY 1 DESC NULLS LAST LIMIT 10"),
+    long_counts("rest_bucket", "distinct_horses", "COUNT(DISTINCT horse_id)"),
+]
+check(
+    "validate_all",
+    'SELECT "check", label, measure, ROUND(value, 6) AS value FROM (' + "\nUNION ALL\n".join(LONG) + ") AS every_check",
+    quality.all_checks,
+    "value",
+)
