@@ -99,51 +99,58 @@ FEEDS = {
 }
 
 
-def new_units(spark: SparkSession, folder: str, done: DataFrame) -> list:
-    """Cleaned inputs of a folder that ``done`` does not name: ``unit, created``.
+def new_units(spark: SparkSession, folder: str, done: DataFrame, after: str = "", page: int = files.PAGE) -> list:
+    """The first ``page`` cleaned inputs of a folder that ``done`` does not name, in the
+    order of their names from ``after`` on: ``unit, created, parts``.
 
-    A unit is a file, or a directory of part files that a job has finished; one
-    that is still being written waits for a later run. Units are told by name, not
-    by time, so one that is committed late is not missed.
+    A unit is a file, or a directory of part files (``parts``). Units are told by name,
+    not by time, so one that is committed late is not missed.
     """
     listing = files.discover_new_files(spark, folder)
     unit = F.regexp_replace("path", r"/part-[^/]*$", "").alias("unit")
     parts = F.bool_or(F.col("path").rlike(r"/part-[^/]*$")).alias("parts")
     units = listing.groupBy(unit).agg(parts, F.max("created").alias("created"))
-    found = units.join(done.select("unit"), "unit", "left_anti").orderBy("unit").collect()
-    return [u for u in found if not u.parts or files.committed(spark, u.unit)]
+    return units.where(F.col("unit") > after).join(done.select("unit"), "unit", "left_anti").orderBy("unit").limit(page).collect()
 
 
-def ingest_folder(spark: SparkSession, landing: str, lake: str, prefix: str, counters: DayCounters = None) -> dict:
+def ingest_folder(spark: SparkSession, landing: str, lake: str, prefix: str, counters: DayCounters = None, page: int = files.PAGE) -> dict:
     """Ingest the new cleaned files under one prefix; returns the merge counts. With
     ``counters`` the days that new starts fall on are counted again.
 
-    All new files are loaded as one batch. What was ingested is noted, and the
-    watermark moved, only after every table is written, so a failed run is simply
-    repeated.
+    New files are loaded in batches of at most ``page``. What was ingested is noted, and
+    the watermark moved, only after every table is written, so a failed run is simply
+    repeated. A directory that is still being written waits for a later run.
     """
     if prefix not in FEEDS:
         raise ValueError(f"unknown prefix {prefix!r}; expected one of {sorted(FEEDS)}")
-    staged_schema, targets, budget = FEEDS[prefix]
     ingested = VersionedTable(spark, f"{lake}/ingested_units/{prefix.rstrip('/')}", schema.INGESTED_UNITS)
-    done = ingested.read()
-    found = new_units(spark, f"{landing}/{prefix}", done)
-    if not found:
-        return {"processed_files": 0}
+    result, after = {"processed_files": 0}, ""
+    while units := new_units(spark, f"{landing}/{prefix}", ingested.read(), after, page):
+        after = units[-1].unit
+        found = [u for u in units if not u.parts or files.committed(spark, u.unit)]
+        if found:
+            counts = _ingest_units(spark, lake, prefix, found, ingested, counters)
+            result["processed_files"] += len(found)
+            for name, count in counts.items():
+                result[name] = {k: n + result.get(name, {}).get(k, 0) for k, n in count.items()}
+    return result
+
+
+def _ingest_units(spark: SparkSession, lake: str, prefix: str, found: list, ingested: VersionedTable, counters: DayCounters | None) -> dict:
+    staged_schema, targets, budget = FEEDS[prefix]
     # Staged once in columns: each target then reads only its own part.
     staged = ndjson.load_with_bad_budget(spark, [u.unit for u in found], staged_schema, budget)
-    result = {"processed_files": len(found)}
-    for name, project in targets.items():
-        result[name] = base_table(spark, lake, name).merge(project(staged), F.current_timestamp())
+    counts = {name: base_table(spark, lake, name).merge(project(staged), F.current_timestamp()) for name, project in targets.items()}
     if counters is not None and "race_records" in targets:
         tables = schema.RacingTables.load(spark, lake)
         counters.extend(tables, touched_days(tables.races, staged_records(staged)))
     meta = VersionedTable(spark, f"{lake}/ingestion_metadata", schema.INGESTION_METADATA)
     marks = spark.createDataFrame([(prefix, max(u.created for u in found))], "prefix string, created timestamp")
     meta.write(advance_watermark(meta.read(), marks))
-    ingested.write(done.unionByName(spark.createDataFrame([(u.unit, u.created) for u in found], schema.INGESTED_UNITS)))
+    noted = spark.createDataFrame([(u.unit, u.created) for u in found], schema.INGESTED_UNITS)
+    ingested.write(ingested.read().unionByName(noted))
     ingested.expire(keep=2)
-    return result
+    return counts
 
 
 def merge_batch(spark: SparkSession, lake: str, prefix: str, staged: DataFrame, batch: int, counters: DayCounters = None) -> dict:

@@ -9,6 +9,8 @@ from paddock import schema
 from paddock.functions import scalars as S
 
 SHARD_PATTERN = r"^shard_.*\.ndjson$"
+# Files whose names the driver holds at a time. A backlog is worked off in such pages.
+PAGE = 10_000
 
 
 def base_name(path: Column) -> Column:
@@ -86,7 +88,7 @@ def shard_lines(spark: SparkSession, prefix: str, pattern: str = SHARD_PATTERN)
 
 
 def merge_shards(
-    spark: SparkSession, prefix: str, out: str, pattern: str = SHARD_PATTERN, ledger: str = None
+    spark: SparkSession, prefix: str, out: str, pattern: str = SHARD_PATTERN, ledger: str = None, page: int = PAGE
 ) -> int:
     """Write the lines of all matching shards as one master directory.
 
@@ -96,7 +98,9 @@ def merge_shards(
 
     With ``ledger``, a folder that remembers the shards of each master, shards of
     earlier masters are left out, and their lines are not read again. What a
-    master holds is noted before it is written and counts once it is finished.
+    master holds is noted before it is written and counts once it is finished. One
+    master then takes the first ``page`` new shards; call again, with another ``out``,
+    for the rest.
     """
     name = base_name(F.col("path"))
     found = list_files(spark, prefix).where(name.rlike(pattern)).select("path", name.alias("shard"))
@@ -109,8 +113,7 @@ def merge_shards(
     if not committed(spark, out):
         known = merged_paths(spark, ledger, out.rsplit("/", 1)[0])
         new = found if known is None else found.join(known, "path", "left_anti")
-        new.write.mode("overwrite").parquet(note)
-        # Names of the new files only, which any reader lists on the driver too.
+        new.orderBy("path").limit(page).write.mode("overwrite").parquet(note)
         paths = [r.path for r in spark.read.schema(found.schema).parquet(note).select("path").collect()]
         if not paths:
             return 0

@@ -228,6 +228,25 @@ def test_stream_picks_every_file_up_once(spark, tmp_path):
     assert seen == [2, 1]
 
 
+def test_backlog_in_pages(spark, tmp_path):
+    """More shards and cleaned files than a page: all of them are taken, each once."""
+    landing, lake = tmp_path / "landing", str(tmp_path / "lake")
+    folder = landing / "jockey_data"
+    folder.mkdir(parents=True)
+    for i in range(5):
+        (folder / f"shard_{i}.ndjson").write_text(f'{{"jockey_id": {i}}}\n{{"jockey_id": 9}}\n')
+    for i in range(3):
+        (folder / f"CLEANED_{i}.ndjson").write_text(f'{{"jockey_id": {20 + i}}}\n')
+    (folder / "CLEANED_0.5.ndjson").mkdir()
+    (folder / "CLEANED_0.5.ndjson" / "part-0").write_text('{"jockey_id": 77}\n')  # not committed
+    out = flow.run_feed(spark, str(landing), lake, "jockey_data/", "2025-08-03T10_00_00_000Z", page=2)
+    assert out["merged"] == 5 and out["ingest"]["processed_files"] == 6
+    assert sorted(r.jockey_id for r in tables.base_table(spark, lake, "jockeys").read().collect()) == [0, 1, 2, 3, 4, 9, 20, 21, 22]
+    assert out["ingest"]["jockeys"]["inserted"] == 9
+    again = flow.run_feed(spark, str(landing), lake, "jockey_data/", "2025-08-03T10_00_00_000Z", page=2)
+    assert again["ingest"] == {"processed_files": 0} and again["clean"] == {}
+
+
 def test_stream_into_tables_once(spark, tmp_path):
     """Batches of a stream are merged once each: handed over again, whole or when the
     writer died half-way, they leave counts, stamps and counters as after one."""
