@@ -19,16 +19,20 @@ def parse_line(line: Column) -> Column:
     """Canonical JSON text of a line, NULL unless it is exactly one JSON value.
 
     Keys are sorted, so records that differ only in key order compare equal.
-    The parser ignores what follows a complete value; wrapping the line in an
-    array and in an object exposes that, because no trailing text can close both.
+    The parser ignores what follows a complete value. So the line is parsed as one of
+    two fields of an object, the other of which comes after it and is named by the MD5
+    of the line, which the line itself cannot hold: with text that closes the object,
+    or adds fields, there are not just these two.
 
     The parser also refuses values over its size limit and objects with a repeated
     key. Such a line, if well formed, is kept as it stands, without outer blanks.
     """
-    in_array = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"r":'), line, F.lit("}")))
-    value = F.to_json(F.try_variant_get(in_object, "$.r", "variant"))
-    return F.coalesce(F.when(in_array.isNotNull(), value), F.when(well_formed(line), F.trim(line)))
+    end = F.md5(line.cast("binary"))
+    wrapped = F.try_parse_json(F.concat(F.lit('{"r":'), line, F.lit(',"'), end, F.lit('":0}')))
+    fields = F.try_variant_get(wrapped, "$", "map<string,variant>")
+    whole = (F.size(fields) == 2) & F.map_contains_key(fields, end)
+    value = F.when(whole, F.to_json(F.try_element_at(fields, F.lit("r"))))
+    return F.coalesce(value, F.when(wrapped.isNull() & well_formed(line), F.trim(line)))
 
 
 # A JSON text without the characters in its strings; the quantifiers never go back.
@@ -38,10 +42,11 @@ STRINGS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 def well_formed(line: Column) -> Column:
     """Whether a line is exactly one JSON value, whatever its keys or size. These
     functions also take strings in single quotes, which JSON does not have."""
-    single = F.contains(F.regexp_replace(line, STRINGS, ""), F.lit("'"))
     one = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
     closed = F.size(F.json_object_keys(F.concat(F.lit('{"r":'), line, F.lit("}")))) == 1
-    return F.coalesce(one & closed & ~single, F.lit(False))
+    single = F.contains(F.regexp_replace(line, STRINGS, ""), F.lit("'"))
+    # The cheap test first: most lines that get here are broken and end there.
+    return F.when(F.coalesce(one, F.lit(False)), F.coalesce(closed, F.lit(False)) & ~single).otherwise(F.lit(False))
 
 
 def read_ndjson(spark: SparkSession, path, name_glob: str = None) -> DataFrame:
