@@ -1,9 +1,12 @@
 """Licence recognition by sentences and rules.
 
-A text is normalised, known licence sentences in it are replaced by identifiers
-however their lines are wrapped, the rest is cut into sentences, and the sequence of
-identifiers is matched against ordered rules. A rule uses up the identifiers it
-matches. Expressions only, and no shuffle: the tables are small and fixed.
+A text is normalised and cut into pieces where a sentence may end or a line break.
+Joins of neighbouring pieces that have the length of a known sentence are looked up in
+one map from sentences to identifiers, so sentences are known however their lines are
+wrapped, and the work does not grow with how many are known. The rest is cut into
+sentences, and the sequence of identifiers is matched against ordered rules. A rule
+uses up the identifiers it matches. Expressions only, and no shuffle: the tables are
+small and fixed.
 """
 
 from __future__ import annotations
@@ -82,8 +85,6 @@ CUE = "licens|copyright|warrant|redistribut|permission|public domain|free softwa
 UNKNOWN = "?"
 # A sentence goes on in the next line if that begins with a small letter.
 WRAPPED = r"\r?\n[ \t]*(?:[#*/;]+[ \t]*)?([a-z(])"
-SENTENCE_END = r"([.!?;])[ \t\r\n]+"
-NOISE = r"[^a-z0-9.\n-]+"
 EDGES = r"^[ .-]+|[ .-]+$"
 
 # A known sentence may go on over any line break and over ';' and ':'. Marks stand
@@ -101,7 +102,11 @@ LINES = [
     (r":[ \t]+", COLON),
 ]
 KEPT_NOISE = rf"[^a-z0-9.\n{MARKS}-]+"
+# What lies between two pieces, and what of it a sentence may go on across.
+BETWEEN = rf"[ .\n{MARKS}-]*[\n{MARKS}][ .\n{MARKS}-]*"
 GAP = f"[ {MARKS}]+"
+LENGTHS = sorted({len(sentence) for sentence in SENTENCES})
+MOST_PIECES = max(len(sentence.split()) for sentence in SENTENCES)
 
 
 def marked(text: Column) -> Column:
@@ -111,26 +116,90 @@ def marked(text: Column) -> Column:
     return F.regexp_replace(F.translate(text, UPPER, LOWER), KEPT_NOISE, " ")
 
 
-def named(text: Column) -> Column:
-    """Marked text with ``<identifier>`` on a line of its own for each known sentence
-    that begins and ends at a mark or sentence end; longer ones are tried first."""
-    for sentence in sorted(SENTENCES, key=len, reverse=True):
-        words = GAP.join(w.replace(".", r"\.") for w in sentence.split())
-        pattern = rf"(?:^|[\n{ON}{END}])[ .{MARKS}-]*{words}[ .-]*(?=\z|[\n{MARKS}])"
-        text = F.regexp_replace(text, pattern, f"\n<{SENTENCES[sentence]}>\n")
-    return text
+def gaps(text: Column) -> Column:
+    """What lies before and after each piece of a marked text."""
+    return F.concat(F.array(F.lit(END)), F.regexp_extract_all(text, F.lit(BETWEEN), F.lit(0)), F.array(F.lit(END)))
 
 
-def sentences(text: Column) -> Column:
-    """Known sentences as ``<identifier>``, others normalised: small letters, digits,
-    inner dots and dashes."""
-    return F.split(F.translate(named(marked(text)), END + ON + COLON, "\n  "), "\n")
+def pieces(text: Column, between: Column) -> Column:
+    """The pieces of a marked text with its gaps, as structs: ``plain`` without the blanks, dots and
+    dashes around it, what comes ``after`` it, whether a sentence may go on from the
+    piece before (``joins``), and whether one may begin here (``opens``)."""
+
+    def piece(part: Column, i: Column) -> Column:
+        plain = F.regexp_replace(F.regexp_replace(part, EDGES, ""), " +", " ")
+        gap = F.get(between, i)
+        return F.struct(
+            plain.alias("plain"), F.get(between, i + 1).alias("after"), gap.rlike(f"^{GAP}$").alias("joins"), gap.rlike(f"[\n{ON}{END}]").alias("opens")
+        )
+
+    return F.transform(F.split(text, BETWEEN), piece)
+
+
+def known_places(cut: Column) -> Column:
+    """Known sentences among the pieces, as structs (size, first, n, id), longest first.
+    From each piece on the next ones are counted together, as many as the words of the
+    longest known sentence; only joins of a known length are put together."""
+    table = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+    lengths = F.array(*[F.lit(n) for n in LENGTHS])
+    start = F.struct(F.lit(-1).alias("size"), F.lit(0).alias("n"), F.lit(True).alias("live"), F.array().cast("array<struct<size:int,n:int>>").alias("hits"))
+
+    def further(held: Column, piece: Column) -> Column:
+        size, n = held["size"] + 1 + F.length(piece["plain"]), held["n"] + 1
+        live = held["live"] & ((held["n"] == 0) | piece["joins"]) & (held["size"] < LENGTHS[-1])
+        hit = F.array(F.struct(size.alias("size"), n.alias("n")))
+        return F.struct(
+            size.alias("size"), n.alias("n"), live.alias("live"),
+            F.when(live & F.array_contains(lengths, size), F.concat(held["hits"], hit)).otherwise(held["hits"]).alias("hits"),
+        )
+
+    def starting(i: Column) -> Column:
+        hits = F.aggregate(F.slice(cut, i + 1, F.lit(MOST_PIECES)), start, further)["hits"]
+
+        def looked_up(hit: Column) -> Column:
+            joined = F.array_join(F.transform(F.slice(cut, i + 1, hit["n"]), lambda x: x["plain"]), " ")
+            return F.struct(hit["size"].alias("size"), i.alias("first"), hit["n"].alias("n"), F.try_element_at(table, joined).alias("id"))
+
+        return F.filter(F.transform(hits, looked_up), lambda c: c["id"].isNotNull())
+
+    found = F.flatten(F.transform(cut, lambda piece, i: F.when(piece["plain"] != "", starting(i)).otherwise(F.array().cast(PLACES))))
+    # Of equally long ones the first in the text comes first.
+    order = lambda a, b: F.when(a["size"] != b["size"], b["size"] - a["size"]).otherwise(a["first"] - b["first"])
+    return F.array_sort(found, order)
+
+
+PLACES = "array<struct<size:int,first:int,n:int,id:string>>"
+
+
+def taken_places(cut: Column, places: Column) -> Column:
+    """Of the known sentences, longer ones first, those that leave each other room. One
+    that begins within a line counts if it follows on another."""
+
+    def taken(held: Column, c: Column) -> Column:
+        clash = F.exists(held, lambda a: (c["first"] < a["first"] + a["n"]) & (a["first"] < c["first"] + c["n"]))
+        opens = F.get(cut, c["first"])["opens"] | F.exists(held, lambda a: a["first"] + a["n"] == c["first"])
+        return F.when(~clash & opens, F.concat(held, F.array(c))).otherwise(held)
+
+    return F.aggregate(places, F.array().cast(PLACES), taken)
+
+
+def named(cut: Column, held: Column) -> Column:
+    """Text again, with ``<identifier>`` on a line of its own for each known sentence."""
+
+    def written(piece: Column, i: Column) -> Column:
+        own = F.filter(held, lambda a: (a["first"] <= i) & (i < a["first"] + a["n"]))
+        name = F.when(F.get(own, F.lit(0))["first"] == i, F.concat(F.lit("\n<"), F.get(own, F.lit(0))["id"], F.lit(">\n"))).otherwise("")
+        return F.when(F.size(own) > 0, name).otherwise(F.concat(piece["plain"], piece["after"]))
+
+    return F.array_join(F.transform(cut, written), "")
 
 
 def identifiers(text: Column) -> Column:
-    """Identifiers of the sentences that speak of a licence, in order."""
+    """Identifiers of the sentences that speak of a licence, in order, from text with
+    the known ones named: ``?`` for any other."""
     known = F.lit("<")
-    cues = F.filter(sentences(text), lambda s: s.startswith(known) | s.rlike(CUE) & ~s.rlike("^[ .-]*copyright"))
+    cut = F.split(F.translate(text, END + ON + COLON, "\n  "), "\n")
+    cues = F.filter(cut, lambda s: s.startswith(known) | s.rlike(CUE) & ~s.rlike("^[ .-]*copyright"))
     return F.transform(cues, lambda s: F.when(s.startswith(known), F.translate(s, "<>", "")).otherwise(F.lit(UNKNOWN)))
 
 
@@ -152,8 +221,20 @@ def scanned(docs: DataFrame) -> DataFrame:
     has_cue = F.col("text").rlike(f"(?i){CUE}")
     rows = docs.drop("licenses", "sentence_ids", "n_unknown", "status")
     taken = Names(rows, "licenses", "sentence_ids", "n_unknown", "status")
-    ids, *left = taken.new("ids", *[f"left{i}" for i in range(len(RULES) + 1)])
-    rows = rows.withColumn(ids, F.when(has_cue, identifiers(F.col("text"))).otherwise(F.array().cast("array<string>")))
+    plain, between, cut, places, ids, *left = taken.new("plain", "between", "cut", "places", "ids", *[f"left{i}" for i in range(len(RULES) + 1)])
+    # Each step is a column of its own: within a function over an array, an expression
+    # would be computed again for each element.
+    steps = {
+        between: lambda: gaps(F.col(plain)),
+        cut: lambda: pieces(F.col(plain), F.col(between)),
+        places: lambda: known_places(F.col(cut)),
+    }
+    rows = rows.withColumn(plain, F.when(has_cue, marked(F.col("text"))))
+    for name, step in steps.items():
+        rows = rows.withColumn(name, F.when(F.col(plain).isNotNull(), step()))
+    rows = rows.withColumn(places, taken_places(F.col(cut), F.col(places)))
+    named_ids = F.when(F.col(plain).isNotNull(), identifiers(named(F.col(cut), F.col(places))))
+    rows = rows.withColumn(ids, F.coalesce(named_ids, F.array().cast("array<string>")))
     rows = rows.withColumn(left[0], F.array_join(F.transform(ids, lambda x: F.concat(F.lit("<"), x, F.lit(">"))), ""))
     found = []
     for (license_id, sequence), before, after in zip(RULES, left, left[1:]):
@@ -165,4 +246,4 @@ def scanned(docs: DataFrame) -> DataFrame:
     rest = F.regexp_count(left[-1], F.lit("<")).cast("long")
     rows = rows.withColumns({"licenses": F.array_join(names, ","), "sentence_ids": F.array_join(ids, " "), "n_unknown": rest})
     status = F.when(F.col("licenses") != "", "licensed").when(F.col("n_unknown") > 0, "unknown").otherwise("none")
-    return rows.withColumn("status", status).drop(ids, *left)
+    return rows.withColumn("status", status).drop(plain, between, cut, places, ids, *left)

@@ -108,6 +108,14 @@ def text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+# The law of the SQL: a line goes on in one that begins with a small letter, and a
+# sentence ends at '.', '!', '?' or ';' before a blank.
+WRAPPED_LINE = r"\r?\n[ \t]*(?:[#*/;]+[ \t]*)?([a-z(])"
+ENDED_SENTENCE = r"([.!?;])[ \t\r\n]+"
+SENTENCE_NOISE = r"[^a-z0-9.\n-]+"
+SENTENCE_EDGES = r"^[ .-]+|[ .-]+$"
+
+
 def license_sql() -> str:
     known = ", ".join(f"{text(k)}: {text(v)}" for k, v in licensing.SENTENCES.items())
     steps, found = [], []
@@ -118,15 +126,15 @@ def license_sql() -> str:
     end = f"left{len(licensing.RULES)}"
     return f"""
 WITH cut AS (
-    SELECT doc_id, text, regexp_replace(regexp_replace(text, {text(licensing.WRAPPED)}, ' \\1', 'g'), {text(licensing.SENTENCE_END)}, '\\1' || chr(10), 'g') AS t
+    SELECT doc_id, text, regexp_replace(regexp_replace(text, {text(WRAPPED_LINE)}, ' \\1', 'g'), {text(ENDED_SENTENCE)}, '\\1' || chr(10), 'g') AS t
     FROM documents),
 cues AS (
     SELECT doc_id, CASE WHEN regexp_matches(text, '(?i){licensing.CUE}') THEN list_filter(
-        string_split(regexp_replace(translate(t, {UPPER_TO_LOWER}), {text(licensing.NOISE)}, ' ', 'g'), chr(10)),
+        string_split(regexp_replace(translate(t, {UPPER_TO_LOWER}), {text(SENTENCE_NOISE)}, ' ', 'g'), chr(10)),
         lambda s: regexp_matches(s, '{licensing.CUE}') AND NOT regexp_matches(s, '^[ .-]*copyright')) ELSE [] END AS cues
     FROM cut),
 named AS (
-    SELECT doc_id, list_transform(cues, lambda s: coalesce(MAP {{{known}}}[regexp_replace(s, {text(licensing.EDGES)}, '', 'g')], '?')) AS ids FROM cues),
+    SELECT doc_id, list_transform(cues, lambda s: coalesce(MAP {{{known}}}[regexp_replace(s, {text(SENTENCE_EDGES)}, '', 'g')], '?')) AS ids FROM cues),
 used AS (
     SELECT doc_id, ids, array_to_string(list_transform(ids, lambda x: '<' || x || '>'), '') AS left0, {", ".join(steps)} FROM named),
 ruled AS (

@@ -23,7 +23,7 @@ from paddock.llm.common import Names, materialize, prepared, row_keys
 
 SHINGLE = 3
 MAX_BITS = 3
-NODE = 65_536
+NODE = 1 << 20
 LEAST_DEPTH = 4
 LEAF_PAIRS = 64
 FRONTIER = 200_000
