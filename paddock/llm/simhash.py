@@ -26,7 +26,7 @@ MAX_BITS = 3
 NODE = 1 << 20
 LEAST_DEPTH = 4
 LEAF_PAIRS = 64
-FRONTIER = 200_000
+FRONTIER = 32_768
 CHUNK_BITS = 24
 STEP = 8192
 LANES = np.uint64(0x0101010101010101)
