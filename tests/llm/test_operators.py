@@ -699,5 +699,25 @@ def test_references_of_given_pages(spark, sf):
     assert got == want and sum("©" in b and "·" in b for b in got.values()) == len(got) // 2
 
 
+def test_very_long_page(spark):
+    """A page of some megabytes: all its text, references and links are there."""
+    rows = 20_000
+    html_text = "<html><head><title>T &amp; t</title></head><body>" + "".join(f"<p>row {i} &copy; <a href='/x{i}'>l</a></p>" for i in range(rows)) + "</body></html>"
+    pages = spark.createDataFrame([(1, "http://h.example/a", html_text)], "page_id long, url string, html string")
+    got = {r["warc_type"]: r for r in warc.derived(warc.page_responses(pages)).collect()}
+    lines = got["conversion"]["block"].split("\n")
+    assert lines == [f"row {i} © l" for i in range(rows)] and "title: T & t" in got["metadata"]["block"]
+    assert got["metadata"]["block"].count("outlink: ") == rows and got["conversion"]["content_length"] == len(got["conversion"]["block"].encode())
+
+
+def test_similar_pairs_odd(spark, odd, none):
+    """Null, empty and white texts share one fingerprint and are no pair; repeated rows
+    count once; no rows give no pairs."""
+    assert spotsigs.similar_pairs(none).count() == 0 == spotsigs.similar_pairs(odd).count()
+    near = [(i, "the quick fox the lazy dog the red cat the blue cow the old man " + ("" if i % 2 else "the new car")) for i in range(6)]
+    more = odd.select("doc_id", "text").unionByName(spark.createDataFrame(near, "doc_id long, text string"))
+    assert [round(r["likeness"], 6) for r in spotsigs.similar_pairs(more).collect()] == [round(5 / 6, 6)]
+
+
 def test_level_of_equal_sources():
     assert math.isclose(sum(water_level({"a": 10, "b": 10, "c": 10}, {"a": 5, "b": 2, "c": 1}).values()), 45)
