@@ -90,10 +90,10 @@ def statements() -> list[tuple[str, str, str]]:
             "a BIGINT, b BIGINT, c BIGINT, d BIGINT, e BIGINT, f BIGINT, p BIGINT, q BIGINT, mul BIGINT",
             "farm_64_middle(a, e, f, farm_left(a, b, c, d), farm_32(a, b, c, d, mul), p, q, mul)",
         ),
-        ("farm_begin", "r BINARY, n INT", begin),
-        ("farm_blocks", f"r BINARY, n INT, begin {STATE}", f"aggregate({blocks}, begin, (s, i) -> {block('s', 'i * 64', f'{K1}L', False)})"),
-        ("farm_summed", f"n INT, s {STATE}", let("t", step, summed)),
-        ("farm_last", f"r BINARY, n INT, s {STATE}, mul BIGINT", block("s", "n - 64", "mul", True)),
+        ("farm_begin", "r BINARY, n INT", f"CASE WHEN r IS NOT NULL THEN {begin} END"),
+        ("farm_blocks", f"r BINARY, n INT, begin {STATE}", f"CASE WHEN r IS NOT NULL THEN aggregate({blocks}, begin, (s, i) -> {block('s', 'i * 64', f'{K1}L', False)}) END"),
+        ("farm_summed", f"n INT, s {STATE}", f"CASE WHEN s IS NOT NULL THEN {let('t', step, summed)} END"),
+        ("farm_last", f"r BINARY, n INT, s {STATE}, mul BIGINT", f"CASE WHEN r IS NOT NULL THEN {block('s', 'n - 64', 'mul', True)} END"),
         (
             "farm_long_end",
             f"s {STATE}, mul BIGINT",
@@ -102,17 +102,28 @@ def statements() -> list[tuple[str, str, str]]:
         ("farm_long_last", f"r BINARY, n INT, s {STATE}, mul BIGINT", "farm_long_end(farm_last(r, n, farm_summed(n, s), mul), mul)"),
         ("farm_long_blocks", f"r BINARY, n INT, s {STATE}", f"farm_long_last(r, n, s, {K1}L + shiftleft(s.z & 255, 1))"),
         ("farm_long", "r BINARY, n INT", "farm_long_blocks(r, n, farm_blocks(r, n, farm_begin(r, n)))"),
+        ("farm_of_3", "r BINARY, n INT", f"farm_3({bytes_at('0', 1)}, {bytes_at('n DIV 2', 1)}, {bytes_at('n - 1', 1)}, n)"),
+        ("farm_of_7", "r BINARY, n INT, mul BIGINT", f"farm_two(n + shiftleft({bytes_at('0', 4)}, 3), {bytes_at('n - 4', 4)}, mul)"),
+        ("farm_of_16", "r BINARY, n INT, mul BIGINT", f"farm_16({bytes_at('0')} + {K2}L, {bytes_at('n - 8')}, mul)"),
         (
+            "farm_of_32",
+            "r BINARY, n INT, mul BIGINT",
+            f"farm_32({bytes_at('0')} * {K1}L, {bytes_at('8')}, {bytes_at('n - 8')} * mul, {bytes_at('n - 16')} * {K2}L, mul)",
+        ),
+        (
+            "farm_of_64",
+            "r BINARY, n INT, mul BIGINT",
+            f"""farm_64({bytes_at('0')} * {K2}L, {bytes_at('8')}, {bytes_at('n - 8')} * mul, {bytes_at('n - 16')} * {K2}L,
+            {bytes_at('16')} * mul, {bytes_at('24')}, {bytes_at('n - 32')}, {bytes_at('n - 24')}, mul)""",
+        ),
+        (
+            # Arguments are computed before the class is known: those of others are null,
+            # of which nothing is computed further.
             "farm_reversed",
             "r BINARY, n INT, mul BIGINT",
-            f"""CASE WHEN n IS NULL THEN NULL WHEN n = 0 THEN {K2}L
-            WHEN n < 4 THEN farm_3({bytes_at('0', 1)}, {bytes_at('n DIV 2', 1)}, {bytes_at('n - 1', 1)}, n)
-            WHEN n < 8 THEN farm_two(n + shiftleft({bytes_at('0', 4)}, 3), {bytes_at('n - 4', 4)}, mul)
-            WHEN n <= 16 THEN farm_16({bytes_at('0')} + {K2}L, {bytes_at('n - 8')}, mul)
-            WHEN n <= 32 THEN farm_32({bytes_at('0')} * {K1}L, {bytes_at('8')}, {bytes_at('n - 8')} * mul, {bytes_at('n - 16')} * {K2}L, mul)
-            WHEN n <= 64 THEN farm_64({bytes_at('0')} * {K2}L, {bytes_at('8')}, {bytes_at('n - 8')} * mul, {bytes_at('n - 16')} * {K2}L,
-                {bytes_at('16')} * mul, {bytes_at('24')}, {bytes_at('n - 32')}, {bytes_at('n - 24')}, mul)
-            ELSE farm_long(r, n) END""",
+            f"""CASE WHEN n = 0 THEN {K2}L ELSE coalesce(farm_of_3(CASE WHEN n < 4 THEN r END, n), farm_of_7(CASE WHEN n BETWEEN 4 AND 7 THEN r END, n, mul),
+            farm_of_16(CASE WHEN n BETWEEN 8 AND 16 THEN r END, n, mul), farm_of_32(CASE WHEN n BETWEEN 17 AND 32 THEN r END, n, mul),
+            farm_of_64(CASE WHEN n BETWEEN 33 AND 64 THEN r END, n, mul), farm_long(CASE WHEN n > 64 THEN r END, n)) END""",
         ),
         (
             NAME,
