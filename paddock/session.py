@@ -15,6 +15,10 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Splits the hot partitions of a shuffled join at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A measured side up to this size is broadcast, so the other is not shuffled.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # Rows dealt by one key meet others on that and a further key where they are.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # The JVM never compiles a method of more bytecode; the projection of a wide
     # feature table is then better cut into several methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
