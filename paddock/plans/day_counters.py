@@ -27,6 +27,7 @@ MONTHS = "kind string, id long, surface string, band int, starts long, wins long
 # No counter, but a row that every counted day has, so that a day without starts
 # replaces what was stored for it.
 COUNTED = "counted"
+WHO = "_who"
 
 # Distances at which any band begins: what lies between two of them is one band here.
 CUTS = sorted({edge + step for bands in (V.RACE_BANDS, V.JOCKEY_BANDS) for low, high in bands.values() for edge, step in ((low, 0), (high, 1)) if edge})
@@ -63,8 +64,17 @@ def count_starts(tables: RacingTables, first=None, last=None, days: list = None)
     facts = starts.select(
         day.alias("day"), F.col("track_type").alias("surface"), fine_band(F.col("track_distance_m")).alias("band"), S.is_win().alias("win"), F.inline(who)
     )
-    counted = facts.where("id IS NOT NULL").groupBy(*KEYS, "day").agg(F.count(F.lit(1)).alias("starts"), F.count_if("win").alias("wins"))
-    return counted.select(*[f.split()[0] for f in DAYS.split(", ")])
+    sums = [F.count(F.lit(1)).alias("starts"), F.count_if("win").alias("wins")]
+    return summed(facts.where("id IS NOT NULL"), "day", sums).select(*[f.split()[0] for f in DAYS.split(", ")])
+
+
+def summed(rows: DataFrame, by: str, sums: list[Column]) -> DataFrame:
+    """``sums`` for each counter and ``by``, dealt as they are written: in ranges of
+    ``by``, of which a large one is cut into several by who is counted. Hardly two starts
+    share a counter, so combining them before the shuffle would only fill memory, and
+    another shuffle before the write would move them again."""
+    dealt = rows.withColumn(WHO, F.xxhash64("kind", "id")).repartitionByRange(by, WHO)
+    return dealt.groupBy(*KEYS, by, WHO).agg(*sums).drop(WHO)
 
 
 class DayCounters:
@@ -78,10 +88,9 @@ class DayCounters:
         self.spark, self.root = spark, root.rstrip("/")
 
     def _write(self, df: DataFrame, table: str, by: str, whole: bool) -> None:
-        # A date is cut into several tasks when it is large; small ones share one.
-        spread = df.repartitionByRange(F.col(by), F.xxhash64("kind", "id"))
+        # Rows come in ranges of the date (see ``summed``).
         mode = "static" if whole else "dynamic"
-        spread.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(by).parquet(f"{self.root}/{table}")
+        df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(by).parquet(f"{self.root}/{table}")
 
     def rebuild(self, tables: RacingTables) -> None:
         """Count all starts anew."""
@@ -108,9 +117,8 @@ class DayCounters:
 
     @staticmethod
     def _month_sums(days: DataFrame) -> DataFrame:
-        month = F.trunc("day", "month").alias("month")
         sums = [F.sum(c).alias(c) for c in ("starts", "wins")]
-        grouped = days.groupBy(*KEYS, month).agg(*sums, F.max("day").alias("last_day"))
+        grouped = summed(days.withColumn("month", F.trunc("day", "month")), "month", [*sums, F.max("day").alias("last_day")])
         return grouped.select(*[f.split()[0] for f in MONTHS.split(", ")])
 
     def _read(self, table: str, schema: str) -> DataFrame:
@@ -164,7 +172,9 @@ def person_features(counters: DayCounters, as_of, person: str, bands: dict) -> D
     families.update({f"{pct}_dist_{n}": in_bands(*edges) for n, edges in bands.items()})
     for name, condition in families.items():
         columns[name] = F.coalesce(S.ratio(total("wins", condition), total("starts", condition)), F.lit(0.0))
-    grouped = rows.groupBy(F.col("id").alias(f"{person}_id")).agg(*[c.alias(n) for n, c in columns.items()])
+    # Dealt before they are summed: there are some for each surface, band and month, but
+    # a person's sums are wide, and every task would have its own of everybody.
+    grouped = rows.repartition("id").groupBy(F.col("id").alias(f"{person}_id")).agg(*[c.alias(n) for n, c in columns.items()])
     # Whoever started in the last 60 days, though only before this month, has a month.
     return grouped.where(F.col(f"{person}_total_starts") > 0)
 
