@@ -1,8 +1,8 @@
 """Full-batch gradient descent with a constant rate, as the models were defined.
 
-The rows are stored once, standardized. Each step is one aggregate over them: every
-task sums up the gradient of its rows, the sums are added by coordinate, and the
-driver gets one number for each weight. Nothing depends on how rows are dealt but the
+The rows are stored once, standardized, a column for each input. Each step is one
+aggregate over them: every task sums up the gradient of its rows, the sums are added by
+coordinate, and the driver gets one number for each weight. Nothing depends on how rows are dealt but the
 last bits of the sums.
 """
 
@@ -33,11 +33,11 @@ class Weights:
     labels: list[str]
     values: np.ndarray
 
+    def scaled(self) -> list[Column]:
+        return [F.coalesce((F.col(c).cast("double") - F.lit(m)) / F.lit(d), F.lit(0.0)) for c, m, d in zip(self.names, self.means, self.deviations)]
+
     def inputs(self) -> Column:
-        scaled = [
-            F.coalesce((F.col(c).cast("double") - F.lit(m)) / F.lit(d), F.lit(0.0)) for c, m, d in zip(self.names, self.means, self.deviations)
-        ]
-        return F.array(F.lit(1.0), *scaled)
+        return F.array(F.lit(1.0), *self.scaled())
 
     def linear(self, inputs: Column) -> list[Column]:
         """What each label's weights make of the inputs."""
@@ -70,15 +70,15 @@ def gradient(x: np.ndarray, y: np.ndarray, weights: np.ndarray, softmax: bool) -
 
 
 def gradient_sums(rows: DataFrame, weights: np.ndarray, softmax: bool) -> np.ndarray:
-    """The gradient over all rows (x, y), as one aggregate."""
+    """The gradient over all rows (the inputs but the intercept's, then y), as one
+    aggregate."""
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros_like(weights)
         for batch in batches:
-            y = batch.column("y").to_numpy(zero_copy_only=False)
+            *inputs, y = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if len(y):
-                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
-                total += gradient(x, y, weights, softmax)
+                total += gradient(np.column_stack([np.ones(len(y)), *inputs]), y, weights, softmax)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size), pa.int32()), pa.array(total.ravel())], names=["at", "part"])
 
     parts = rows.mapInArrow(summed, "at int, part double").groupBy("at").agg(F.sum("part").alias("total")).collect()
@@ -97,7 +97,7 @@ def descend(rows: DataFrame, label: str, names: list[str], rate: float, steps: i
     means, deviations = standardized(rows, names)
     start = Weights(names, means, deviations, labels or [], np.zeros((len(labels) if labels else 1, len(names) + 1)))
     y = F.col(label).cast("double") if labels is None else (F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(label).cast("string")) - 1).cast("double")
-    stored = materialize(rows.select(start.inputs().alias("x"), y.alias("y")), "descent")
+    stored = materialize(rows.select(*[c.alias(f"x{i}") for i, c in enumerate(start.scaled())], y.alias("y")), "descent")
     total, weights = stored.count(), start.values
     for _ in range(steps if total else 0):
         slope = gradient_sums(stored, weights, labels is not None) / total

@@ -4,9 +4,9 @@ import datetime as dt
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from paddock import quality, schema
+from paddock.ml import descent
 from paddock.plans import day_counters
 from paddock.plans.first_version import race_features_v1
 from paddock.schema import RacingTables, with_schema
@@ -56,3 +56,13 @@ def test_only_rest_buckets_tell_horses_apart(tables):
 def test_counters_are_shuffled_once(tables):
     text = plan(day_counters.count_starts(tables))
     assert not re.search(r"hashpartitioning\(kind", text) and text.count("rangepartitioning(day") == 1
+
+
+def test_descent_reads_columns(spark, monkeypatch):
+    """Steps read a plain column for each input, not an array built for every row."""
+    seen = []
+    monkeypatch.setattr(descent, "materialize", lambda df, label: seen.append(df.dtypes) or df)
+    rows = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, None, 5.0)], "a double, b double, y double")
+    weights = descent.descend(rows, "y", ["a", "b"], 0.1, 1)
+    assert seen == [[("x0", "double"), ("x1", "double"), ("y", "double")]]
+    assert [round(w, 9) for w in weights.values[0]] == [0.4, 0.1, 0.0]
