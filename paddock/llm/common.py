@@ -15,8 +15,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def prepared(spark: SparkSession) -> SparkSession:
     """Runtime settings of this subpackage: Arrow batches of few rows, because a
-    row may hold a very long text, and Spark's own limit for generated methods."""
+    row may hold a very long text, and Spark's own limits for generated methods,
+    broadcasts and dealt rows."""
     tune(spark)
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     return spark
