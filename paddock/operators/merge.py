@@ -23,6 +23,21 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return kept.select(*keys, "_row.*").select(*df.columns)
 
 
+def one_per_key_beside(df: DataFrame, old: DataFrame, keys: list[str], known: str) -> DataFrame:
+    """``one_per_key`` with a flag ``known``: whether ``old`` has the key as well.
+
+    Rows and keys are grouped together, so each side is shuffled once and NULL is a
+    key without a join that says so.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*rest, F.lit(True).alias("_staged"))
+    staged = df.select(*keys, row.alias("_row"), F.lit(False).alias(known))
+    both = staged.unionByName(old.select(*keys, F.lit(True).alias(known)), allowMissingColumns=True)
+    kept = both.groupBy(*keys).agg(F.min("_row").alias("_row"), F.bool_or(known).alias(known))
+    kept = kept.where(F.col("_row").isNotNull())
+    return kept.select(*keys, "_row.*", known).select(*df.columns, known)
+
+
 def merge_touch_or_insert(
     target: DataFrame,
     source: DataFrame,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paddock import schema as shapes
-from paddock.operators.merge import CREATED, UPDATED, one_per_key
+from paddock.operators.merge import CREATED, UPDATED, one_per_key, one_per_key_beside
 from paddock.operators.ordered import join_same
 from paddock.schema import with_schema
 from paddock.session import materialize
@@ -73,7 +73,7 @@ class VersionedTable:
             # In the tasks that write: each of them is counted once, however often tried.
             df = df.observe(seen, *[c.alias(n) for n, c in counts.items()])
         if self.buckets is None:
-            df.write.parquet(path)
+            df.write.option("compression", "zstd").parquet(path)
             return seen.get if counts else {}
         key, count = self.buckets.key, self.buckets.count
         table = f"written_{uuid.uuid4().hex}"
@@ -184,7 +184,11 @@ class MergedTable(VersionedTable):
         if merges is None:
             return rows
         # One narrow row per touched key; small ones are broadcast by measured size.
-        touched = merges.where("NOT _new").groupBy(*self.keys).agg(F.max_by(UPDATED, "_merge").alias("_touched"))
+        touched = merges.where("NOT _new")
+        if self._merge_count() == 1:  # a merge has one row per key
+            touched = touched.select(*self.keys, F.col(UPDATED).alias("_touched"))
+        else:
+            touched = touched.groupBy(*self.keys).agg(F.max_by(UPDATED, "_merge").alias("_touched"))
         joined = join_same(rows, touched, self.keys, "left")
         return joined.withColumn(UPDATED, F.coalesce("_touched", UPDATED)).select(*rows.columns)
 
@@ -218,13 +222,19 @@ class MergedTable(VersionedTable):
             if older < batch:
                 self._fs().delete(self._path(f"{self.root}/_done={feed}={older}"), False)
 
-    def merge(self, source: DataFrame, now: Column, batch: tuple[str, int] = None) -> dict:
+    def _merge_count(self) -> int:
+        version = self.version()
+        return sum(n > version for n in self._numbers("m"))
+
+    def merge(self, source: DataFrame, now: Column, batch: tuple[str, int] = None, whole: bool = False) -> dict:
         """Touch the rows whose key ``source`` has, add its others; NULL is a key
         too, and one row per key counts. Returns how many keys were staged, updated
         and inserted, as the job that writes them counts them.
 
         Of the table only the keys are read, against the small side of a semi join,
-        and only the batch is written.
+        and only the batch is written. For a batch about as large as the table
+        (``whole``) both are grouped together instead: the batch is then shuffled once
+        and not written in between, but all keys of the table are shuffled.
 
         ``batch`` (feed, number) merges a numbered batch once: handed over again, it
         leaves the table as it is and returns zeros. What it will be is noted with
@@ -237,19 +247,23 @@ class MergedTable(VersionedTable):
         if batch is not None:
             feed, known = batch
             self._fs().createNewFile(self._path(f"{self.root}/_batch={feed}={known}={number}"))
-        counts = self._merge(source, now, number)
+        counts = self._merge(source, now, number, whole)
         if batch is not None:
             self._note_done(*batch)
         return counts
 
-    def _merge(self, source: DataFrame, now: Column, number: int) -> dict:
-        batch = materialize(one_per_key(source, self.keys), "batch")
+    def _merge(self, source: DataFrame, now: Column, number: int, whole: bool) -> dict:
         old = self._rows().select(*self.keys)
-        known = join_same(old, batch.select(*self.keys), self.keys, "left_semi").distinct()
-        marked = join_same(batch, known.withColumn("_known", F.lit(True)), self.keys, "left")
-        new = F.col("_known").isNull()
+        if whole:
+            marked = one_per_key_beside(source, old, self.keys, "_known")
+            new = ~F.col("_known")
+        else:
+            batch = materialize(one_per_key(source, self.keys), "batch")
+            known = join_same(old, batch.select(*self.keys), self.keys, "left_semi").distinct()
+            marked = join_same(batch, known.withColumn("_known", F.lit(True)), self.keys, "left")
+            new = F.col("_known").isNull()
         fields = {
-            f.name: F.when(new, F.col(f.name) if f.name in batch.columns else F.lit(None)).cast(f.dataType)
+            f.name: F.when(new, F.col(f.name) if f.name in source.columns else F.lit(None)).cast(f.dataType)
             for f in self.schema.fields
         }
         fields.update({k: F.col(k).cast(self.schema[k].dataType) for k in self.keys})

@@ -230,10 +230,10 @@ def stored(df, shape):
 
 
 def merged(base, name, staged):
-    """The table after one merge into its stored form."""
+    """The table after one merge, as large as itself, into its stored form."""
     table = tables.base_table(base.sparkSession, scratch_path(base.sparkSession, "lake"), name)
     table.write(base)
-    table.merge(staged, now())
+    table.merge(staged, now(), whole=True)
     return table.read()
 
 
