@@ -13,6 +13,7 @@ from paddock.plans.people import breeders, jockeys, trainers
 from paddock.plans.races import STATIC_SOURCES, race_context, static_columns
 from paddock.plans.starts import asof_starts
 from paddock.schema import RacingTables
+from paddock.session import lookup
 
 
 def _filled_recent(person: str):
@@ -32,8 +33,8 @@ def race_features(
 
     Entity features use the one cut-off ``as_of`` for all races. Horse and
     breeder features meet at horse grain first, so the starters are shuffled
-    once per key: horse, race, jockey, trainer (the last two turn into
-    broadcasts when their measured size allows it). Flags are derived after the
+    once per key: horse, race, jockey, trainer (the last two are counted first and
+    broadcast when their size allows it). Flags are derived after the
     joins from the few columns behind them, which keeps shuffled rows narrow.
     """
     starts = asof_starts(tables, as_of) if starts is None else starts
@@ -52,8 +53,8 @@ def race_features(
         "race_id", "horse_id", "jockey_id", "trainer_id", "start_order", "jockey_weight_kg",
         "finish_place",
     )
-    rider = jockeys(tables, as_of, starts)
-    coach = trainers(tables, as_of, starts)
+    rider = lookup(jockeys(tables, as_of, starts), "jockeys")
+    coach = lookup(trainers(tables, as_of, starts), "trainers")
     wide = (
         ran.join(horse, "horse_id")
         .join(race, "race_id", "left")

@@ -95,39 +95,57 @@ class Bodies:
         each = [f"SELECT {key}, {', '.join(c if c in columns else f'NULL AS {c}' for c in names)} FROM ({query})" for query, columns in parts]
         return f"SELECT {key}, {', '.join(f'max({c}) AS {c}' for c in names)} FROM ({' UNION ALL '.join(each)}) GROUP BY {key}"
 
-    def horses_recent(self) -> str:
-        fn = "horses_recent"
-        known = f"SELECT horse_id, {fn}.model_date AS model_day FROM {self.base['horses']}"
+    def recent_columns(self) -> str:
+        """Columns of careers (``races3`` and so on), ``last_date`` and ``model_day``."""
         pct3, pct1 = (f"coalesce({ratio(f'wins{n}', f'races{n}')}, 0D)" for n in (3, 1))
-        sums = ("races3", "wins3", "races1", "wins1")
-        rows = self.merged("horse_id", (known, ("model_day",)), (self.careers(fn), sums), (self.form(fn), ("last_date",)))
-        return f"""SELECT horse_id, coalesce(races3, 0) AS rolling_race_count_last_3yrs, coalesce(wins3, 0) AS rolling_win_count_last_3yrs,
+        return f"""coalesce(races3, 0) AS rolling_race_count_last_3yrs, coalesce(wins3, 0) AS rolling_win_count_last_3yrs,
                    {pct3} AS rolling_win_pct_last_3yrs, coalesce(races1, 0) AS race_count_current_year,
                    coalesce(wins1, 0) AS win_count_current_year, {pct1} AS win_pct_current_year,
                    {pct1} - {pct3} AS current_vs_last3yrs_win_pct,
-                   CAST(datediff(model_day, to_date(last_date)) AS BIGINT) AS days_since_last_race
-            FROM ({rows}) WHERE model_day IS NOT NULL"""
+                   CAST(datediff(model_day, to_date(last_date)) AS BIGINT) AS days_since_last_race"""
 
-    def horses_perf(self) -> str:
-        fn, base, columns = "horses_perf", self.base["horses"], []
+    def horses_recent(self) -> str:
+        fn = "horses_recent"
+        known = f"SELECT horse_id, {fn}.model_date AS model_day FROM {self.base['horses']}"
+        sums = ("races3", "wins3", "races1", "wins1")
+        rows = self.merged("horse_id", (known, ("model_day",)), (self.careers(fn), sums), (self.form(fn), ("last_date",)))
+        return f"SELECT horse_id, {self.recent_columns()} FROM ({rows}) WHERE model_day IS NOT NULL"
+
+    def counted(self, fn: str) -> str:
+        """Starts, wins and the last date of every horse, trainer and breeder from one
+        pass over the pairs. A horse counts for each breeder it is listed with."""
+        bred = f"SELECT horse_id, collect_list(breeder_id) AS breeders FROM {self.base['horses']} GROUP BY horse_id"
+        ids = """concat(array(struct('horse' AS kind, p.horse_id AS id), struct('trainer' AS kind, p.trainer_id AS id)),
+            transform(coalesce(b.breeders, array()), x -> struct('breeder' AS kind, x AS id)))"""
+        each = f"SELECT inline({ids}), p.starts, p.wins, p.last_date FROM ({self.pairs(fn)}) p LEFT JOIN ({bred}) b ON b.horse_id = p.horse_id"
+        return f"SELECT kind, id, sum(starts) AS starts, sum(wins) AS wins, max(last_date) AS last_date FROM ({each}) GROUP BY kind, id"
+
+    def roles(self, fn: str) -> str:
+        """Counts of each horse's sire, dam, trainer and breeder, and its own last date."""
+        base, columns = self.base["horses"], []
         roles = {"sire": ("horse", "father_id"), "dam": ("horse", "mother_id"), "trainer": ("trainer", "trainer_id"), "breeder": ("breeder", "breeder_id")}
-        links = ", ".join(f"struct('{role}' AS role, '{kind}' AS kind, {column} AS id)" for role, (kind, column) in roles.items())
-        bred = f"""SELECT h.breeder_id, sum(f.starts) AS starts, sum(f.wins) AS wins
-            FROM {base} h JOIN ({self.form(fn)}) f ON f.horse_id = h.horse_id GROUP BY h.breeder_id"""
-        kinds = {"horse": self.form(fn), "trainer": self.form(fn, "trainer_id"), "breeder": bred}
-        counts = " UNION ALL ".join(f"SELECT '{kind}' AS kind, {kind}_id AS id, starts, wins FROM ({query})" for kind, query in kinds.items())
-        found = f"""SELECT l.horse_id, l.role, c.starts, c.wins FROM (SELECT horse_id, inline(array({links})) FROM {base}) l
-            JOIN ({counts}) c ON c.kind = l.kind AND c.id = l.id"""
-        every = f"SELECT horse_id, '' AS role, 0 AS starts, 0 AS wins FROM {base}"
+        named = {**roles, "self": ("horse", "horse_id")}
+        links = ", ".join(f"struct('{role}' AS role, '{kind}' AS kind, {column} AS id)" for role, (kind, column) in named.items())
+        found = f"""SELECT l.horse_id, l.role, c.starts, c.wins, c.last_date FROM (SELECT horse_id, inline(array({links})) FROM {base}) l
+            JOIN ({self.counted(fn)}) c ON c.kind = l.kind AND c.id = l.id"""
+        every = f"SELECT horse_id, '' AS role, 0 AS starts, 0 AS wins, NULL AS last_date FROM {base}"
         for role in roles:
             starts, wins = (f"sum(CASE WHEN role = '{role}' THEN {c} ELSE 0 END)" for c in ("starts", "wins"))
             columns += [f"{starts} AS {role}_starts", f"{wins} AS {role}_wins", f"coalesce({ratio(wins, starts)}, 0D) AS {role}_win_pct"]
-        return f"SELECT horse_id, {', '.join(columns)} FROM ({every} UNION ALL {found}) GROUP BY horse_id"
+        own = "max(CASE WHEN role = 'self' THEN last_date END) AS last_date"
+        return f"SELECT horse_id, {', '.join(columns)}, {own} FROM ({every} UNION ALL {found}) GROUP BY horse_id"
+
+    def horses_perf(self) -> str:
+        return f"SELECT * EXCEPT (last_date) FROM ({self.roles('horses_perf')})"
 
     def horse_features(self) -> str:
-        day = "horse_features.model_date"
-        return f"""SELECT * FROM horses_base({day}) JOIN horses_perf({day}) USING (horse_id)
-            JOIN horses_career({day}) USING (horse_id) JOIN horses_recent({day}) USING (horse_id)"""
+        """Its parts by their own columns, so that starts and careers are counted once."""
+        fn = "horse_features"
+        day = f"{fn}.model_date"
+        career = f"""SELECT *, {ratio("career_wins", "career_starts")} AS career_win_pct,
+                   {ratio("total_earnings", "career_starts")} AS earnings_per_start, {day} AS model_day FROM ({self.careers(fn)})"""
+        return f"""SELECT *, {self.recent_columns()}
+            FROM horses_base({day}) JOIN ({self.roles(fn)}) USING (horse_id) JOIN ({career}) USING (horse_id)"""
 
     def person(self, fn: str, person: str, bands: dict) -> str:
         pct = f"{person}_win_pct"
