@@ -1,11 +1,12 @@
 """Token ids in compressed binary blocks.
 
 A document's ids are cut into blocks of at most BLOCK ids. Each block is coded on
-its own by an adaptive range coder: the ids that followed the last two and the
-last id before are the order-2 and order-1 guesses; a symbol says which of them is
-right, or else how many bits the id has. Its probabilities mix three adaptive
-models: of order 0, of the order-1 context and of the order-2 context. The bits
-below the top one of an id that was not guessed follow as they are.
+its own by an adaptive range coder that mixes three predictions of the next id: the
+id that followed the last two before (order 2), the one that followed the last
+(order 1), and a law over all ids (order 0). The weights of the mix adapt to how
+often each was right in the same state. The law of order 0 counts the block's ids in
+classes, four to an octave, and is renewed at growing distances; within a class all
+ids are alike, so the bits below an id's class are kept as they are.
 
 Numpy codes many blocks in step, one id of each at a time.
 """
@@ -19,6 +20,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -26,280 +29,456 @@ from pyspark.sql.types import LongType
 from paddock.llm.common import materialize, prepared
 
 BLOCK = 1024
-LANES = 4096
-SYMBOLS = 19  # 0: the order-2 guess, 1: the order-1 guess, 2 + bits of the id
+LANES = 3072
 TOTAL_BITS = 14
 RATE = 5
-TABLE_BITS = 11
-TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
-MAGIC = b"RCB1"
+# Bounds of a weight. Both weights together stay below the total by a 64th.
+LEAST, MOST = 32, (1 << TOTAL_BITS) - (1 << TOTAL_BITS) // 64 - 32
+STATES = 8
+TABLE_BITS = 10
+LAW_BITS = 10
+# Steps at which the laws of order 0 are renewed, besides every 512th.
+RENEWED = (12, 32, 80, 200)
+# A span is kept from LOW up to SPAN; 32 bits are put out at a time.
+SPAN_BITS, LOW_BITS = 62, 30
+MAGIC = b"RCB2"
 END_ID = 2
 CACHE = 800_000
+CACHE_CHARS = 16_000_000
+BATCH_BYTES = 4_000_000
 NONE = 65535
 
 
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """The class of each id, and how many low bits its class leaves open."""
+    ids = np.arange(1 << 16)
+    low = np.maximum(np.frexp(ids.astype(np.float64))[1] - 3, 0)
+    return (low << 2) + (ids >> low), low
+
+
+CLASS, OPEN = _classes()
+CLASSES = int(CLASS[-1]) + 1
+BASE = np.searchsorted(CLASS, np.arange(CLASSES))
+CLASS, OPEN = CLASS.astype(np.uint8), OPEN[BASE]
+
+
 class Model:
-    """Guesses and probabilities of many blocks, one row for each."""
+    """Predictions and weights of many blocks."""
 
     def __init__(self, lanes: int):
-        start = (np.arange(SYMBOLS) << TOTAL_BITS) // SYMBOLS
-        self.lanes = np.arange(lanes)
-        # Cumulative frequencies below each symbol: order 0, the contexts of order
-        # 1 and those of order 2, all in one array. The last symbol ends at 2^14.
-        self.contexts = 1 + SYMBOLS + 6
-        self.cdf = np.tile(start.astype(np.int16), (lanes * self.contexts, 1))
-        self.after1 = np.full(lanes << TABLE_BITS, NONE, np.uint16)
-        self.after2 = np.full(lanes << TABLE_BITS, NONE, np.uint16)
-        self.last = np.zeros(lanes, np.int64)
-        self.before = np.zeros(lanes, np.int64)
-        self.symbol = np.zeros(lanes, np.int64)
-        # What the frequencies of a context move to when a symbol occurs: 32 for
-        # every other symbol, the rest for this one.
-        below = np.arange(SYMBOLS)
-        self.target = np.array(
-            [np.where(below > s, (1 << TOTAL_BITS) - (SYMBOLS - below) * 32, below * 32) for s in range(SYMBOLS)], np.int16
-        )
-
-    def predict(self, n: int) -> np.ndarray:
-        """Mixed cumulative frequencies (n, SYMBOLS) of the first n blocks."""
-        lanes, last = self.lanes[:n], self.last[:n]
-        hashed = last * 40503
-        self.at1 = (lanes << TABLE_BITS) + ((hashed >> 3) & ((1 << TABLE_BITS) - 1))
-        self.at2 = (lanes << TABLE_BITS) + ((hashed + self.before[:n] * 25717 >> 3) & ((1 << TABLE_BITS) - 1))
-        self.guess1, self.guess2 = self.after1[self.at1].astype(np.int64), self.after2[self.at2].astype(np.int64)
-        state = np.where(self.guess2 == NONE, 0, np.where(self.guess1 == self.guess2, 1, 2)) * 2 + (self.symbol[:n] < 2)
-        row = lanes * self.contexts
-        self.rows = [row, row + 1 + self.symbol[:n], row + 1 + SYMBOLS + state]
-        self.parts = [self.cdf.take(r, axis=0) for r in self.rows]
-        low = self.parts[0] + self.parts[1]  # below 2^15, as all are below 2^14
-        low >>= 1
-        low += self.parts[2]
-        low >>= 1
-        return low
-
-    def bounds(self, cdf: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where a symbol's range begins, and its width."""
-        flat, at = cdf.ravel(), self.lanes[: len(symbol)] * SYMBOLS + symbol
-        lower = flat.take(at).astype(np.uint64)
-        upper = np.where(symbol == SYMBOLS - 1, np.int64(1 << TOTAL_BITS), flat.take(np.minimum(at + 1, flat.size - 1)))
-        return lower, upper.astype(np.uint64) - lower
-
-    def symbols(self, ids: np.ndarray) -> np.ndarray:
-        bits = np.frexp(ids.astype(np.float32))[1] + 2
-        return np.where(ids == self.guess2, 0, np.where(ids == self.guess1, 1, bits))
-
-    def update(self, n: int, ids: np.ndarray, symbol: np.ndarray) -> None:
-        target = self.target.take(symbol, axis=0)
-        for rows, part in zip(self.rows, self.parts):
-            step = target - part
+        # What followed the last id, and the last two, side by side for each block.
+        self.tables = np.arange(lanes) << TABLE_BITS + 1
+        self.after = np.full(lanes << TABLE_BITS + 1, NONE, np.uint16)
+        self.weights1 = np.full(lanes * STATES, 1 << TOTAL_BITS - 3, np.int64)
+        self.weights2 = self.weights1.copy()
+        self.hit_states = np.arange(lanes) * STATES + 4
+        self.states = self.hit_states - 4
+        self.hash1, self.hash2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.counts = np.ones(lanes * CLASSES, np.int32)
+        self.first = np.arange(lanes) * CLASSES
+
+    def predict(self, n: int) -> None:
+        """Ids guessed by orders 1 and 2, and their weights, for the first n blocks."""
+        self.at1, self.at2 = self.hash1[:n] >> 3, self.hash2[:n] >> 3
+        for at in (self.at1, self.at2):
+            at &= (1 << TABLE_BITS) - 1
+            at += self.tables[:n]
+        self.at2 += 1 << TABLE_BITS
+        self.guess1, self.guess2 = self.after.take(self.at1), self.after.take(self.at2)
+        row = (self.guess2 != NONE).view(np.int8) + 2 * (self.guess1 == self.guess2).view(np.int8)
+        self.row = self.states[:n] + row
+        self.weight1, self.weight2 = self.weights1.take(self.row), self.weights2.take(self.row)
+
+    def update(self, n: int, ids: np.ndarray, at: np.ndarray, hit1: np.ndarray, hit2: np.ndarray) -> None:
+        """Learn the ids that came, their classes' places in the counts, and who was right."""
+        self.after[self.at1] = ids
+        self.after[self.at2] = ids
+        for weights, weight, hit in ((self.weights1, self.weight1, hit1), (self.weights2, self.weight2, hit2)):
+            step = hit.astype(np.int64)
+            step *= MOST - LEAST
+            step += LEAST
+            step -= weight
             step >>= RATE
-            part += step
-            self.cdf[rows] = part
-        self.after1[self.at1] = ids
-        self.after2[self.at2] = ids
-        self.before[:n] = self.last[:n]
-        self.last[:n], self.symbol[:n] = ids, symbol
-
-
-def _order(sizes: np.ndarray) -> np.ndarray:
-    """Longest blocks first, so that those still running are a prefix."""
-    return np.argsort(-sizes, kind="stable")
+            step += weight
+            weights[self.row] = step
+        miss = (~(hit1 | hit2)).astype(np.int64)
+        miss <<= 2
+        self.counts[at] = self.counts.take(at) + miss.astype(np.int32)
+        self.states[:n] = self.hit_states[:n] - miss
+        self.hash2[:n] = self.hash1[:n] * 25717
+        np.multiply(ids, 40503, out=self.hash1[:n], dtype=np.int64)
+        self.hash2[:n] += self.hash1[:n]
+
+    def laws(self) -> np.ndarray:
+        """Where the range of each class begins in each block, and its width, in one number."""
+        counts = self.counts.reshape(-1, CLASSES)
+        ends = np.cumsum(counts, axis=1, dtype=np.int64)
+        ends *= (1 << LAW_BITS) - CLASSES
+        ends //= counts.sum(axis=1, keepdims=True)
+        ends += np.arange(1, CLASSES + 1)
+        widths = np.diff(ends, axis=1, prepend=0)
+        return (ends - widths << 16 | widths).ravel().astype(np.int32)
+
+
+def _groups(sizes: np.ndarray) -> list[np.ndarray]:
+    """Blocks to code in step, about LANES at a time and as many in each group. Longest
+    blocks come first, so that those still running are a prefix."""
+    order = np.argsort(-sizes, kind="stable")
+    return np.array_split(order, max(1, round(len(order) / LANES))) if len(order) else []
+
+
+def _running(sizes: np.ndarray) -> list[int]:
+    """How many blocks have an id at each step."""
+    return np.searchsorted(-sizes, -np.arange(sizes[0]), side="left").tolist()
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """Code each array of ids (below 65535) into bytes."""
     sizes = np.array([len(b) for b in blocks], np.int64)
     out: list[bytes] = [b""] * len(blocks)
-    order = _order(sizes)
-    for at in range(0, len(order), LANES):
-        part = order[at : at + LANES]
+    for part in _groups(sizes):
         for i, data in zip(part, _encode([blocks[i] for i in part], sizes[part])):
             out[i] = data
     return out
 
 
 def _encode(blocks: list[np.ndarray], sizes: np.ndarray) -> list[bytes]:
-    lanes, steps = len(blocks), int(sizes[0]) if len(sizes) else 0
-    ids = np.zeros((steps, lanes), np.int64)
-    for i, b in enumerate(blocks):
-        ids[: len(b), i] = b
+    lanes, steps = len(blocks), int(sizes[0])
+    ids = np.zeros((lanes, steps), np.uint16)
+    ids[np.arange(steps) < sizes[:, None]] = np.concatenate(blocks)
+    ids = np.ascontiguousarray(ids.T)
     model = Model(lanes)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0), np.uint64)
-    words, ends = np.zeros((lanes, 2 * steps + 8), np.uint16), np.zeros(lanes, np.int64)
-    sixteen = np.uint64(16)
-
-    def settle(n: int) -> None:
-        lo, sp = low[:n], span[:n]
-        while True:
-            same = (lo ^ (lo + sp)) < TOP
-            small = ~same & (sp < BOTTOM)
-            go = np.flatnonzero(same | small)
-            if not go.size:
-                return
-            tight = np.flatnonzero(small)
-            sp[tight] = (np.uint64(0) - lo[tight]) & (BOTTOM - np.uint64(1))
-            words[go, ends[go]] = lo[go] >> np.uint64(48)
-            ends[go] += 1
-            lo[go] <<= sixteen
-            sp[go] <<= sixteen
-
-    running = np.searchsorted(-sizes, -np.arange(steps), side="left")
-    for t in range(steps):
-        n = int(running[t])
+    low, span = np.zeros(lanes, np.int64), np.full(lanes, 1 << SPAN_BITS, np.int64)
+    # Words of 32 bits, and a 33rd one that is carried to the word before, with their blocks.
+    words, of = [], []
+    for t, n in enumerate(_running(sizes)):
+        if t in RENEWED or t & 511 == 0:
+            law = model.laws()
         now = ids[t, :n]
-        cdf = model.predict(n)
-        symbol = model.symbols(now)
-        lower, width = model.bounds(cdf, symbol)
-        unit = span[:n] >> np.uint64(TOTAL_BITS)
-        low[:n] += unit * lower
-        span[:n] = unit * width
-        extra = np.maximum(symbol - 3, 0).astype(np.uint64)
-        span[:n] >>= extra
-        low[:n] += span[:n] * (now.astype(np.uint64) & ((np.uint64(1) << extra) - np.uint64(1)))
-        settle(n)
-        model.update(n, now, symbol)
-    for _ in range(4):
-        words[np.arange(lanes), ends] = low >> np.uint64(48)
-        ends += 1
-        low <<= sixteen
-    return [words[i, : ends[i]].astype("<u2").tobytes() for i in range(lanes)]
+        model.predict(n)
+        hit2 = model.guess2 == now
+        hit1 = (model.guess1 == now) > hit2
+        unit = span[:n] >> TOTAL_BITS
+        by2, by1 = unit * model.weight2, unit * model.weight1
+        add = by2 + by1
+        unit <<= TOTAL_BITS
+        unit -= add
+        unit >>= LAW_BITS
+        kind = CLASS.take(now).astype(np.int64)
+        at = model.first[:n] + kind
+        share = law.take(at).astype(np.int64)
+        add += unit * (share >> 16)
+        share &= 65535
+        unit *= share
+        unit >>= OPEN.take(kind)
+        add += unit * (now - BASE.take(kind))
+        np.copyto(add, by2, where=hit1)
+        np.copyto(unit, by1, where=hit1)
+        np.copyto(add, 0, where=hit2)
+        np.copyto(unit, by2, where=hit2)
+        add += low[:n]
+        go = np.flatnonzero(unit < 1 << LOW_BITS)
+        put = add.take(go)
+        words.append(put >> LOW_BITS)
+        of.append(go.astype(np.uint16))
+        add[go] = (put & (1 << LOW_BITS) - 1) << 32
+        unit[go] <<= 32
+        low[:n], span[:n] = add, unit
+        model.update(n, now, at, hit1, hit2)
+    words.append(low + (1 << LOW_BITS) - 1 >> LOW_BITS)
+    of = np.concatenate([*of, np.arange(lanes, dtype=np.uint16)])
+    coded, sizes = np.concatenate(words)[np.argsort(of, kind="stable")], np.bincount(of, minlength=lanes)
+    while (carry := coded >> 32).any():
+        coded &= (1 << 32) - 1
+        coded[:-1] += carry[1:]
+    data, ends = coded.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def decode(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     sizes = np.array(sizes, np.int64)
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(payloads)
-    order = _order(sizes)
-    for at in range(0, len(order), LANES):
-        part = order[at : at + LANES]
+    for part in _groups(sizes):
         for i, ids in zip(part, _decode([payloads[i] for i in part], sizes[part])):
             out[i] = ids
     return out
 
 
 def _decode(payloads: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
-    lanes, steps = len(payloads), int(sizes[0]) if len(sizes) else 0
-    longest = max([len(p) for p in payloads], default=0) // 2 + 8
-    words = np.zeros((lanes, longest), np.uint64)
-    for i, p in enumerate(payloads):
-        words[i, : len(p) // 2] = np.frombuffer(p, "<u2")
+    lanes, steps = len(payloads), int(sizes[0])
+    # Behind each payload's words come two of zeros.
+    words = np.frombuffer(bytes(8).join([*payloads, bytes(8)]), "<u4").astype(np.int64)
+    begins = np.cumsum([0, *[len(p) // 4 + 2 for p in payloads[:-1]]])
+    code = words[begins] << 30 | words[begins + 1] >> 2
+    # The span has 62 bits, so that words are read two bits late.
+    late, read = (words[:-1] & 3) << 30 | words[1:] >> 2, begins + 1
+    span = np.full(lanes, 1 << SPAN_BITS, np.int64)
     model = Model(lanes)
-    ids = np.zeros((steps, lanes), np.int64)
-    sixteen = np.uint64(16)
-    low, span, code = np.zeros(lanes, np.uint64), np.full(lanes, ~np.uint64(0), np.uint64), np.zeros(lanes, np.uint64)
-    for i in range(4):
-        code = (code << sixteen) | words[:, i]
-    read = np.full(lanes, 4, np.int64)
-    running = np.searchsorted(-sizes, -np.arange(steps), side="left")
-    for t in range(steps):
-        n = int(running[t])
-        cdf = model.predict(n)
-        unit = span[:n] >> np.uint64(TOTAL_BITS)
-        place = np.minimum((code[:n] - low[:n]) // unit, np.uint64((1 << TOTAL_BITS) - 1)).astype(np.int16)
-        symbol = np.count_nonzero(cdf[:, 1:] <= place[:, None], axis=1)
-        lower, width = model.bounds(cdf, symbol)
-        low[:n] += unit * lower
-        span[:n] = unit * width
-        extra = np.maximum(symbol - 3, 0).astype(np.uint64)
-        span[:n] >>= extra
-        rest = (code[:n] - low[:n]) // span[:n]
-        plain = symbol > 1
-        rest = np.where(plain, rest, np.uint64(0))
-        low[:n] += span[:n] * rest
-        top = np.where(symbol > 2, np.int64(1) << extra.astype(np.int64), 0)
-        now = np.where(symbol == 0, model.guess2, np.where(symbol == 1, model.guess1, top + rest.astype(np.int64)))
-        ids[t, :n] = now
-        lo, sp, co = low[:n], span[:n], code[:n]
-        while True:
-            same = (lo ^ (lo + sp)) < TOP
-            small = ~same & (sp < BOTTOM)
-            go = np.flatnonzero(same | small)
-            if not go.size:
-                break
-            tight = np.flatnonzero(small)
-            sp[tight] = (np.uint64(0) - lo[tight]) & (BOTTOM - np.uint64(1))
-            co[go] = (co[go] << sixteen) | words[go, np.minimum(read[go], longest - 1)]
-            read[go] += 1
-            lo[go] <<= sixteen
-            sp[go] <<= sixteen
-        model.update(n, now, symbol)
-    return [ids[:n, i].astype(np.uint32) for i, n in enumerate(sizes)]
+    ids = np.zeros((steps, lanes), np.uint16)
+    slots, numbers = np.arange(lanes) << LAW_BITS, np.tile(np.arange(CLASSES, dtype=np.uint8), lanes)
+    for t, n in enumerate(_running(sizes)):
+        if t in RENEWED or t & 511 == 0:
+            law = model.laws()
+            slot = np.repeat(numbers, law & 65535)
+        model.predict(n)
+        now, unit = code[:n], span[:n] >> TOTAL_BITS
+        by2, by1 = unit * model.weight2, unit * model.weight1
+        both = by2 + by1
+        hit2 = now < by2
+        hit1 = (now < both) > hit2
+        unit <<= TOTAL_BITS
+        unit -= both
+        unit >>= LAW_BITS
+        left = now - both
+        place = left // unit
+        place += slots[:n]
+        kind = slot.take(place, mode="clip")
+        at = model.first[:n] + kind
+        share = law.take(at).astype(np.int64)
+        left -= unit * (share >> 16)
+        share &= 65535
+        unit *= share
+        unit >>= OPEN.take(kind)
+        rest = left // unit
+        left -= unit * rest
+        rest += BASE.take(kind)
+        found = rest.astype(np.uint16)
+        np.copyto(found, model.guess1, where=hit1)
+        np.copyto(found, model.guess2, where=hit2)
+        np.copyto(left, now - by2, where=hit1)
+        np.copyto(left, now, where=hit2)
+        np.copyto(unit, by1, where=hit1)
+        np.copyto(unit, by2, where=hit2)
+        go = np.flatnonzero(unit < 1 << LOW_BITS)
+        here = read.take(go)
+        left[go] = left.take(go) << 32 | late.take(here, mode="clip")
+        read[go] = here + 1
+        unit[go] <<= 32
+        ids[t, :n], code[:n], span[:n] = found, left, unit
+        model.update(n, found, at, hit1, hit2)
+    ids = np.ascontiguousarray(ids.T)
+    return [row[:n].astype("<u4") for row, n in zip(ids, sizes.tolist())]
 
 
 def framed(payload: bytes, ids: np.ndarray) -> bytes:
     """magic, number of ids, CRC-32 of the ids, CRC-32 of the payload, payload."""
-    head = np.array([len(ids), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(payload)], "<u4")
+    head = np.array([len(ids), zlib.crc32(ids.astype("<u4")), zlib.crc32(payload)], "<u4")
     return MAGIC + head.tobytes() + payload
 
 
 def unframed(blocks: list[bytes]) -> list[np.ndarray]:
     """Ids of framed blocks. Raises if one is damaged."""
-    heads = [np.frombuffer(b, "<u4", 3, 4) for b in blocks]
+    heads = [np.frombuffer(b, "<u4", 3, 4).tolist() for b in blocks]
     payloads = [b[16:] for b in blocks]
     for b, head, payload in zip(blocks, heads, payloads):
         if b[:4] != MAGIC or zlib.crc32(payload) != head[2]:
             raise ValueError("damaged block")
-    arrays = decode(payloads, [int(h[0]) for h in heads])
+    arrays = decode(payloads, [h[0] for h in heads])
     for ids, head in zip(arrays, heads):
-        if zlib.crc32(ids.astype("<u4").tobytes()) != head[1]:
+        if zlib.crc32(ids) != head[1]:
             raise ValueError("block does not decode to its ids")
     return arrays
 
 
 class Encoder:
-    """The tokenizer, with the ids of pieces between spaces kept.
+    """The tokenizer, with the ids of pieces of texts kept.
 
     The vocabulary is byte-level BPE; its pre-tokenizer always cuts before a space
-    that stands alone, so a text may be cut there and each piece coded alone.
-    Texts with other runs of white space go to the tokenizer whole.
+    that follows anything but white space, so a text may be cut there and each piece
+    coded alone. Arrow cuts texts at every space and finds the distinct words; texts
+    with spaces that follow white space are cut one by one.
+
+    Words are cut further where the pre-tokenizer cuts whatever stands around: behind
+    letters that ASCII marks follow, and behind a line end that stands alone.
     """
 
-    # White space next to a space, or a space at either end.
-    RUNS = re.compile(r"\s | \s|^ | $")
+    CUTS = re.compile(r"(?<=\S)(?= )")
+    SPACE = re.compile(r"\s")
+    # For Arrow, whose own class of white space is that of ASCII.
+    SOLID = r"([^\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])"
+    AFTER_LETTERS = (r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-@\[-`{-~\n])", r"\1 \2")
+    AFTER_LINE_END = (SOLID + r"\n" + SOLID, "\\1\n \\2")
+    JOINED = 2000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = [None if self.RUNS.search(t) else self._pieces(t) for t in texts]
-        fresh = list({p for ps in pieces if ps for p in ps if p not in self.known})
-        if len(self.known) + len(fresh) > CACHE:
-            self.known = {}
-            fresh = list({p for ps in pieces if ps for p in ps})
-        self._learn([p for p in fresh if p[0] == " "])
-        first = [p for p in fresh if p[0] != " "]
-        self.known.update(zip(first, self._batch(first)))
-        whole = iter(self._batch([t for t, ps in zip(texts, pieces) if ps is None]))
-        get, end = self.known.__getitem__, self._packed([END_ID])
-        ids = [b"".join(map(get, ps)) if ps is not None else next(whole) for ps in pieces]
-        return [np.frombuffer(i + end, "<u2") for i in ids]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Code pieces that begin with a space, many joined to one text."""
-        for at in range(0, len(pieces), 2000):
-            part = pieces[at : at + 2000]
-            coded = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            starts = np.array([a for a, _ in coded.offsets])
-            begins = np.cumsum([0, *map(len, part)])
-            cuts = np.searchsorted(starts, begins).tolist()
-            ids = self._packed(coded.ids)
-            self.known.update((p, ids[2 * a : 2 * b]) for p, a, b in zip(part, cuts, cuts[1:]))
-
-    @staticmethod
-    def _pieces(text: str) -> list[str]:
-        if not text:
+        # The same model for words of ASCII letters, which need no pattern to be told apart.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = WhitespaceSplit()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        [self.line_end] = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        # Tokens that begin with the byte of a space, which the vocabulary writes as this letter.
+        self.spaced = np.zeros(NONE + 1, bool)
+        self.spaced[[i for token, i in self.tokenizer.get_vocab().items() if token[0] == "\u0120"]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        # Ids of all known pieces behind each other, and in how many batches a piece came, up to 2.
+        self.ids, self.starts = np.zeros(0, np.uint16), np.zeros(1, np.int64)
+        self.seen, self.chars = np.zeros(0, np.int8), 0
+
+    def _bound(self) -> None:
+        """Forget pieces that came in one batch only when too many are known, or all."""
+        if len(self.number) <= CACHE and self.chars <= CACHE_CHARS:
+            return
+        kept = [(p, i) for p, i in self.number.items() if self.seen[i] > 1]
+        if len(kept) > CACHE * 3 // 4 or sum(len(p) for p, _ in kept) > CACHE_CHARS * 3 // 4:
+            kept = []
+        numbers = np.array([i for _, i in kept], np.int64)
+        ids, sizes = self._ids(numbers)
+        self._forget()
+        self._add([p for p, _ in kept], ids, sizes)
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        if not len(texts):
             return []
-        first, *rest = text.split(" ")
-        return [first, *[" " + p for p in rest]]
-
-    @staticmethod
-    def _packed(ids: list[int]) -> bytes:
-        return np.array(ids, "<u2").tobytes()
-
-    def _batch(self, texts: list[str]) -> list[bytes]:
-        return [self._packed(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self._bound()
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        cut = pc.split_pattern(texts, " ")
+        offsets = cut.offsets.to_numpy()
+        begins, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+        coded = cut.flatten().dictionary_encode()
+        index, words = coded.indices.to_numpy(), coded.dictionary
+        # A word that is empty or ends in white space must not be the one before a cut.
+        size = pc.binary_length(words)
+        closed = pc.and_(pc.equal(pc.binary_length(pc.utf8_rtrim_whitespace(words)), size), pc.greater(size, 0))
+        open_end = ~closed.to_numpy(zero_copy_only=False)[index]
+        open_end[ends - 1] = False
+        loose = np.flatnonzero(np.logical_or.reduceat(open_end, begins)).tolist()
+        plain = np.ones(len(index), bool)
+        plain[begins] = False
+        for i in loose:
+            plain[begins[i] : ends[i]] = False
+        used = np.flatnonzero(np.bincount(index[plain], minlength=len(words)))
+        # Words behind a space, and then the first of each text.
+        rows = {i: [p for p in self.CUTS.split(texts[i].as_py()) if p] for i in loose}
+        chosen = np.concatenate([used, index[begins]])
+        parts = self._parts(words.take(pa.array(chosen)), len(used))
+        n_parts = np.diff(parts.offsets.to_numpy())
+        pieces = parts.values.dictionary_encode()
+        found = self._numbers([*pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), *(p for row in rows.values() for p in row)])
+        ids, sizes = self._ids(found[pieces.indices.to_numpy()])
+        word_ends = np.cumsum(sizes)[np.cumsum(n_parts) - 1]
+        word_sizes = np.append(np.diff(word_ends, prepend=0), 1)
+        ids, word_starts = np.append(ids, np.uint16(END_ID)), np.append(word_ends, len(ids) + 1) - word_sizes
+        place = np.zeros(len(words), np.int64)
+        place[used] = np.arange(len(used))
+        sequence = place[index]
+        sequence[begins] = np.arange(len(used), len(chosen))
+        sequence = np.insert(sequence, ends, len(chosen))
+        sizes = word_sizes[sequence]
+        row_ends = np.cumsum(sizes)[ends + np.arange(len(ends))]
+        out = np.split(_gathered(ids, word_starts[sequence], sizes), row_ends[:-1])
+        at = len(pieces.dictionary)
+        for i, row in rows.items():
+            out[i] = np.append(self._ids(found[at : at + len(row)])[0], np.uint16(END_ID))
+            at += len(row)
+        return out
+
+    def _parts(self, words: pa.Array, n: int) -> pa.ListArray:
+        """Words, which hold no space, in parts. The first n have a space before them."""
+        whole = pc.utf8_is_alpha(words)
+        for content in self.added:
+            whole = pc.or_(whole, pc.match_substring(words, content))
+        mixed = pc.invert(whole)
+        cut = words.filter(mixed)
+        lines = pc.match_substring(cut, "\n")
+        cut = pc.replace_with_mask(cut, lines, pc.replace_substring_regex(cut.filter(lines), *self.AFTER_LINE_END))
+        cut = pc.replace_substring_regex(cut, *self.AFTER_LETTERS)
+        parts = pc.split_pattern(pc.replace_with_mask(words, mixed, cut), " ")
+        spaced = np.zeros(len(parts.values), bool)
+        spaced[parts.offsets.to_numpy()[:n]] = True
+        prefix = pc.if_else(pa.array(spaced), pa.scalar(" ", words.type), pa.scalar("", words.type))
+        return type(parts).from_arrays(parts.offsets, pc.binary_join_element_wise(prefix, parts.values, pa.scalar("", words.type)))
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of pieces; those that are new are learned."""
+        found = list(map(self.number.get, pieces))
+        if None in found:
+            new = [i for i, n in enumerate(found) if n is None]
+            self._learn({pieces[i] for i in new})
+            for i in new:
+                found[i] = self.number[pieces[i]]
+        found = np.array(found, np.int64)
+        self.seen[found] = np.minimum(self.seen[found], 1) + 1
+        return found
+
+    def _ids(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered pieces behind each other, and how many each piece has."""
+        starts = self.starts[numbers]
+        sizes = self.starts[numbers + 1] - starts
+        return _gathered(self.ids, starts, sizes), sizes
+
+    def _add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        known = len(self.seen)
+        self.number.update(zip(pieces, range(known, known + len(pieces))))
+        self.ids = np.concatenate([self.ids, ids])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.seen = np.concatenate([self.seen, np.zeros(len(pieces), np.int8)])
+        self.chars += sum(map(len, pieces))
+
+    def _learn(self, fresh: set[str]) -> None:
+        """Code pieces with the tokenizer. Many that begin with their only space, and many
+        without white space, are coded as one text."""
+        letters, spaced, solid, others = [], [], [], []
+        for p in fresh:
+            if p.isascii() and p[0:1] == " " and p[1:].isalpha():
+                letters.append(p)
+            elif p.rfind(" ") == 0 and not p[-1].isspace():
+                spaced.append(p)
+            elif p and not self.SPACE.search(p):
+                solid.append(p)
+            else:
+                others.append(p)
+        ids, sizes = [], []
+        for kind, mark in ((letters, ""), (spaced, ""), (solid, "\n")):
+            for at in range(0, len(kind), self.JOINED):
+                part = kind[at : at + self.JOINED]
+                if kind is letters:
+                    text = "".join(part).replace(" ", " \u0120")
+                    coded = np.array(self.letters.encode(text, add_special_tokens=False).ids, np.uint16)
+                else:
+                    coded = self._coded(mark.join(part))
+                if mark:
+                    marks = coded == self.line_end
+                    begins = np.append(0, np.flatnonzero(marks) - np.arange(len(part) - 1))
+                    coded = coded[~marks]
+                else:
+                    begins = np.flatnonzero(self.spaced[coded])
+                ids.append(coded)
+                sizes.append(np.diff(begins, append=len(coded)))
+        for p in others:
+            ids.append(self._coded(p))
+            sizes.append([len(ids[-1])])
+        self._add([*letters, *spaced, *solid, *others], np.concatenate(ids), np.concatenate(sizes))
+
+    def _coded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint16)
+
+
+def _gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Ranges of values behind each other."""
+    at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    at += np.arange(len(at))
+    return values[at]
+
+
+def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, pa.Array]]:
+    """Ids and texts of some batches at a time, BATCH_BYTES or what goes beyond with one more."""
+    doc_ids, texts, size = [], [], 0
+    for rows in parts:
+        doc_ids += rows["doc_id"].to_pylist()
+        texts.append(rows["text"].cast(pa.large_string()))
+        size += rows["text"].nbytes
+        if size >= BATCH_BYTES:
+            yield doc_ids, pa.concat_arrays(texts)
+            doc_ids, texts, size = [], [], 0
+    if texts:
+        yield doc_ids, pa.concat_arrays(texts)
 
 
 @lru_cache(1)
@@ -318,31 +497,32 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     fewer than 65,535 ids, the same on all executors.
     """
 
-    def code(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, doc, held = encoder_of(tokenizer), 0, []
+    columns = pa.schema([("doc_id", pa.int64()), ("doc", pa.int64()), ("piece", pa.int32()), ("n_tokens", pa.int64()), ("block", pa.binary())])
 
-        def flush() -> pd.DataFrame:
-            rows = pd.DataFrame(held, columns=["doc_id", "doc", "piece", "ids"])
-            ids = list(rows.pop("ids"))
-            rows["doc_id"] = rows["doc_id"].astype("Int64")
-            rows["n_tokens"] = [len(x) for x in ids]
-            rows["block"] = [framed(p, x) for p, x in zip(encode(ids), ids)]
-            held.clear()
-            return rows
+    def code(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, doc, held, ids = encoder_of(tokenizer), 0, [], []
 
-        for rows in parts:
-            for doc_id, ids in zip(rows["doc_id"], encoder([t or "" for t in rows["text"]])):
-                for piece, at in enumerate(range(0, len(ids), BLOCK)):
-                    held.append((None if pd.isna(doc_id) else int(doc_id), doc, piece, ids[at : at + BLOCK]))
+        def flush() -> pa.RecordBatch:
+            blocks = [framed(p, x) for p, x in zip(encode(ids), ids)]
+            made = [*zip(*held), [len(x) for x in ids], blocks]
+            held.clear()
+            ids.clear()
+            return pa.record_batch([pa.array(v, f.type) for v, f in zip(made, columns)], columns)
+
+        for doc_ids, texts in _batches(parts):
+            for doc_id, coded in zip(doc_ids, encoder(texts)):
+                for piece, at in enumerate(range(0, len(coded), BLOCK)):
+                    held.append((doc_id, doc, piece))
+                    ids.append(coded[at : at + BLOCK])
                 doc += 1
-            if len(held) >= LANES:
+            if len(ids) >= LANES:
                 yield flush()
-        if held:
+        if ids:
             yield flush()
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sorted_rows = rows.repartitionByRange(F.col("doc_id").asc_nulls_last()).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
-    blocks = sorted_rows.mapInPandas(code, "doc_id long, doc long, piece int, n_tokens long, block binary")
+    blocks = sorted_rows.mapInArrow(code, "doc_id long, doc long, piece int, n_tokens long, block binary")
     return blocks.withColumn("part", F.spark_partition_id())
 
 
@@ -363,10 +543,10 @@ def read_pieces(blocks: DataFrame, ids: bool = True) -> DataFrame:
         def flush() -> pd.DataFrame:
             rows = pd.concat(held, ignore_index=True)
             held.clear()
-            raw = [x.astype("<u4").tobytes() for x in unframed(list(rows.pop("block")))]
+            arrays = unframed(list(rows.pop("block")))
             rows["doc_id"] = rows["doc_id"].astype("Int64")
-            rows["crc"] = [zlib.crc32(x) for x in raw]
-            return rows.assign(ids=raw) if ids else rows
+            rows["crc"] = [zlib.crc32(x) for x in arrays]
+            return rows.assign(ids=[x.tobytes() for x in arrays]) if ids else rows
 
         for rows in parts:
             held.append(rows)

@@ -495,6 +495,41 @@ def test_pieces_code_like_whole_texts(vocabulary):
     assert [x.tolist() for x in cut(texts)] == [[*whole.encode(t, add_special_tokens=False).ids, tokens.END_ID] for t in texts]
 
 
+def test_known_pieces_need_no_tokenizer(vocabulary):
+    from tokenizers import Tokenizer
+
+    whole, cut = Tokenizer.from_file(vocabulary), tokens.Encoder(vocabulary)
+    cut(["Foo bar, baz.\nQux one.", "Foo  baz.\nbar"])
+    cut.tokenizer = cut.letters = None
+    texts = ["Foo  baz.\nbar", "Foo baz, bar.", "Foo one,", "Foo bar.\nQux"]
+    assert [x.tolist() for x in cut(texts)] == [[*whole.encode(t, add_special_tokens=False).ids, tokens.END_ID] for t in texts]
+
+
+def test_forgotten_pieces_code_alike(vocabulary, monkeypatch):
+    from tokenizers import Tokenizer
+
+    whole, cut = Tokenizer.from_file(vocabulary), tokens.Encoder(vocabulary)
+    rng = random.Random(3)
+    made = ["".join(rng.choice("abéß.,'\n1_\u00a0\u0301²<|") for _ in range(rng.randrange(1, 7))) for _ in range(60)]
+    for cache in (40, 5, 0):
+        monkeypatch.setattr(tokens, "CACHE", cache)
+        for _ in range(6):
+            texts = [rng.choice([" ", " ", "  "]).join(rng.choices([*made, "", "<|endoftext|>", "x<|endoftext|>.y"], k=8)) for _ in range(12)]
+            assert [x.tolist() for x in cut(texts)] == [[*whole.encode(t, add_special_tokens=False).ids, tokens.END_ID] for t in texts]
+
+
+def test_blocks_of_all_shapes(monkeypatch):
+    rng = np.random.default_rng(7)
+    blocks = [rng.integers(0, 65_535, n).astype(np.uint16) for n in rng.integers(0, 1025, 50)]
+    blocks += [np.repeat(rng.integers(0, 65_535, 30), rng.integers(1, 40, 30)).astype(np.uint16) for _ in range(30)]
+    blocks += [np.full(n, i, np.uint16) for n, i in ((1, 0), (2, 65_534), (1024, 65_534), (1500, 7))]
+    whole = tokens.encode(blocks)
+    monkeypatch.setattr(tokens, "LANES", 8)
+    assert tokens.encode(blocks) == whole
+    assert all((x == y).all() and len(x) == len(y) for x, y in zip(tokens.decode(whole, [len(b) for b in blocks]), blocks))
+    assert tokens.encode([]) == [] and tokens.decode([], []) == []
+
+
 def test_crc_of_joined_texts():
     data = random.Random(4).randbytes(5000)
     for n in (0, 1, 4, 4096, 5000):
