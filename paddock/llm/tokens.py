@@ -45,7 +45,7 @@ SPAN_BITS, LOW_BITS = 62, 30
 MAGIC = b"RCB2"
 END_ID = 2
 CACHE = 1_500_000
-CACHE_CHARS = 16_000_000
+CACHE_CHARS = 24_000_000
 BATCH_BYTES = 4_000_000
 NONE = 65535
 
