@@ -132,7 +132,7 @@ def shared_counts(
     starts = asof_starts(tables, as_of) if starts is None else starts
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name) if name in stored else df
+        return materialize(df, name, True) if name in stored else df
 
     recent = after(F.col("race_date"), one_year_before(as_of))
     pairs = starts.groupBy("horse_id", "trainer_id").agg(
